@@ -386,3 +386,180 @@ FROM gold_supplier_scorecard ORDER BY gold_supplier_scorecard.net_revenue DESC,
 def preview_top_suppliers(spark, sf_dir):
     df = _gold(spark, sf_dir).supplier_scorecard
     return G.as_output(A.preview(df, [F.desc("net_revenue"), "supplier_key"], 15), "supplier_scorecard")
+
+
+# -- K1-K6 SQL table functions ----------------------------------------------------------
+
+def _tool_query(name, **params):
+    def q(spark, sf_dir):
+        from mercato.functions import tools
+        tools.register(spark, _gold(spark, sf_dir), names=[name])
+        return tools.call(spark, name, **params)
+    return q
+
+
+register("fn_revenue_by_region", with_ctes(["gold_monthly_sales"], f"""
+SELECT year_month, region, {d('SUM(net_revenue)')} AS net_revenue, CAST(SUM(num_orders) AS BIGINT) AS num_orders,
+  {rhu(O.avg('profit_margin_pct', 2), 2)} AS profit_margin_pct, {rhu(O.avg('yoy_growth_pct', 2), 2)} AS yoy_growth_pct
+FROM gold_monthly_sales WHERE year_month >= '0000-00' AND year_month <= '9999-99' GROUP BY year_month, region"""))(
+    _tool_query("get_revenue_by_region", region_name="ALL", start_month="0000-00", end_month="9999-99"))
+
+register("fn_top_products", with_ctes(["gold_product_performance"], f"""
+SELECT brand, part_type, price_band, {d('net_revenue')} AS net_revenue, profit_margin_pct, return_rate_pct,
+  total_quantity_sold, num_orders FROM gold_product_performance
+ORDER BY profit_margin_pct DESC NULLS LAST, brand, part_type, price_band, manufacturer LIMIT 25"""))(
+    _tool_query("get_top_products", n=25, sort_by="profit_margin_pct"))
+
+register("fn_supplier_scorecard", with_ctes(["gold_supplier_scorecard"], f"""
+SELECT supplier_name, supplier_nation, supplier_region, {d('net_revenue')} AS net_revenue, profit_margin_pct,
+  on_time_delivery_pct, return_rate_pct, total_line_items FROM gold_supplier_scorecard
+ORDER BY -return_rate_pct DESC NULLS LAST, supplier_key LIMIT 50"""))(
+    _tool_query("get_supplier_scorecard", region_filter="ALL", sort_metric="return_rate_pct", top_n=50))
+
+register("fn_executive_summary", with_ctes(["gold_executive_summary"], f"""
+SELECT year_quarter, total_orders, active_customers, {d('gross_order_value')} AS gross_order_value, avg_order_value,
+  revenue_per_customer, qoq_revenue_growth_pct FROM gold_executive_summary
+WHERE year_quarter >= '0000-Q0' AND year_quarter <= '9999-Q9'"""))(
+    _tool_query("get_executive_summary", start_quarter="0000-Q0", end_quarter="9999-Q9"))
+
+
+# -- N1-N5 data quality ------------------------------------------------------------------
+
+def _silver_tables(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return {"dim_geography": s.dim_geography, "dim_customer": s.dim_customer, "dim_supplier": s.dim_supplier,
+            "dim_part": s.dim_part, "dim_date": s.dim_date(), "fact_orders": s.fact_orders,
+            "fact_lineitem": s.fact_lineitem}
+
+
+def _dq_rules_sql():
+    from mercato.operators.quality import RULES
+    parts = [f"SELECT '{t}' AS table_name, '{n}' AS rule, '{e}' AS expression, "
+             f"CAST(SUM(CASE WHEN NOT ({e}) THEN 1 ELSE 0 END) AS BIGINT) AS violations FROM {t}"
+             for t, n, e in RULES]
+    return with_ctes(sorted({t for t, _, _ in RULES}), " UNION ALL ".join(parts))
+
+
+@register("dq_rules", _dq_rules_sql())
+def dq_rules(spark, sf_dir):
+    from functools import reduce as _r
+
+    from mercato.operators.quality import RULES, rule_report
+    tabs = _silver_tables(spark, sf_dir)
+    by_table: dict = {}
+    for t, n, e in RULES:
+        by_table.setdefault(t, {})[n] = e
+    reps = [rule_report(tabs[t], rules, t) for t, rules in by_table.items()]
+    out = _r(DataFrame.unionByName, reps)
+    return out.withColumn("violations", F.coalesce(F.col("violations"), F.lit(0)).cast("long"))
+
+
+_RECON = ["region", "nation", "supplier", "part", "partsupp", "customer", "orders", "lineitem"]
+
+
+@register("dq_reconcile", with_ctes(["partsupp"], " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS source_rows, COUNT(*) AS bronze_rows, 'match' AS status FROM {t}"
+    for t in _RECON)))
+def dq_reconcile(spark, sf_dir):
+    from mercato.operators.quality import reconcile
+    from mercato.plans.layers import bronze
+    from mercato.sources.tables import raw
+    srcs = {t: raw(spark, sf_dir, t) for t in _RECON}
+    return reconcile(srcs, {t: bronze(df, t, "check") for t, df in srcs.items()})
+
+
+_INV_COLS = {"dim_geography": 4, "dim_customer": 9, "dim_supplier": 7, "dim_part": 10, "dim_date": 12,
+             "fact_orders": 14, "fact_lineitem": 28}
+
+
+@register("table_inventory", with_ctes(list(_INV_COLS), " UNION ALL ".join(
+    f"SELECT 'silver' AS layer, '{t}' AS table_name, COUNT(*) AS rows, {c} AS columns FROM {t}"
+    for t, c in _INV_COLS.items())))
+def table_inventory(spark, sf_dir):
+    from mercato.operators.quality import inventory
+    return inventory(_silver_tables(spark, sf_dir), "silver")
+
+
+# -- B9-B12, P1 serving ------------------------------------------------------------------
+
+register("serving_customer", with_ctes(["gold_customer_rfm"], f"""
+SELECT customer_key, market_segment, customer_nation, customer_region, recency_days, frequency,
+  {d('monetary')} AS lifetime_value, avg_order_value, rfm_score, rfm_segment, customer_lifetime_days
+FROM gold_customer_rfm"""))(lambda s, p: __import__("mercato.plans.serving", fromlist=["x"]).customer_online(
+    _gold(s, p).customer_rfm))
+
+register("serving_product", with_ctes(["gold_product_performance"], f"""
+SELECT concat_ws('|', brand, part_type, manufacturer, price_band) AS product_id, brand, part_type, manufacturer,
+  price_band, {d('net_revenue')} AS net_revenue, {d('total_profit')} AS total_profit, profit_margin_pct,
+  total_quantity_sold, return_rate_pct, avg_discount FROM gold_product_performance"""))(
+    lambda s, p: __import__("mercato.plans.serving", fromlist=["x"]).product_online(_gold(s, p).product_performance))
+
+register("serving_supplier", with_ctes(["gold_supplier_scorecard"], f"""
+SELECT supplier_key, supplier_name, supplier_nation, supplier_region, {d('net_revenue')} AS net_revenue,
+  {d('total_profit')} AS total_profit, profit_margin_pct, on_time_delivery_pct, avg_delivery_delay_days,
+  return_rate_pct, total_line_items FROM gold_supplier_scorecard"""))(
+    lambda s, p: __import__("mercato.plans.serving", fromlist=["x"]).supplier_online(_gold(s, p).supplier_scorecard))
+
+register("product_catalog", with_ctes(["dim_part"], """
+SELECT part_key AS product_id, part_name, brand, manufacturer, part_type, container, price_band, retail_price,
+  concat_ws(' | ', part_name, brand, manufacturer, part_type, container, price_band) AS search_text FROM dim_part"""))(
+    lambda s, p: __import__("mercato.plans.serving", fromlist=["x"]).product_catalog(silver(s, p).dim_part))
+
+
+_SUPP_COLS = ["supplier_name", "supplier_nation", "supplier_region", "net_revenue", "total_profit",
+              "profit_margin_pct", "on_time_delivery_pct", "avg_delivery_delay_days", "return_rate_pct",
+              "total_line_items"]
+
+
+def _diff_sql():
+    def cmp(c):
+        return f"CASE WHEN o.{c} IS DISTINCT FROM n.{c} THEN '{c}' END"
+    changed = f"concat_ws(',', {', '.join(cmp(c) for c in _SUPP_COLS)})"
+    any_change = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in _SUPP_COLS)
+    vals = ", ".join(f"CASE WHEN n.supplier_key IS NULL THEN o.{c} ELSE n.{c} END AS {c}" for c in _SUPP_COLS)
+    sel = lambda t: (f"SELECT supplier_key, supplier_name, supplier_nation, supplier_region, {d('net_revenue')} AS net_revenue, "
+                     f"{d('total_profit')} AS total_profit, profit_margin_pct, on_time_delivery_pct, "
+                     f"avg_delivery_delay_days, return_rate_pct, total_line_items FROM {t}")
+    return with_ctes(["gold_supplier_scorecard", "gold_supplier_scorecard_v"], f"""
+, o AS ({sel('gold_supplier_scorecard')}), n AS ({sel('gold_supplier_scorecard_v')})
+SELECT COALESCE(o.supplier_key, n.supplier_key) AS supplier_key,
+  CASE WHEN o.supplier_key IS NULL THEN 'insert' WHEN n.supplier_key IS NULL THEN 'delete' ELSE 'update' END AS change_type,
+  CASE WHEN o.supplier_key IS NOT NULL AND n.supplier_key IS NOT NULL THEN {changed} END AS changed_columns, {vals}
+FROM o FULL OUTER JOIN n ON o.supplier_key = n.supplier_key
+WHERE o.supplier_key IS NULL OR n.supplier_key IS NULL OR {any_change}""")
+
+
+@register("snapshot_diff", _diff_sql())
+def snapshot_diff_q(spark, sf_dir):
+    """What changes in the supplier serving table when the refresh switches from
+    the notebook to the view semantics (on-time from ship date)."""
+    from mercato.plans.serving import snapshot_diff, supplier_online
+    old = supplier_online(_gold(spark, sf_dir, G.NOTEBOOK).supplier_scorecard)
+    new = supplier_online(_gold(spark, sf_dir, G.VIEW).supplier_scorecard)
+    return snapshot_diff(old, new, ["supplier_key"], _SUPP_COLS)
+
+
+_KEYED = {"serving_customer": ("customer_key",), "serving_product": ("product_id",),
+          "serving_supplier": ("supplier_key",), "product_catalog": ("product_id",)}
+
+
+def _keys_sql():
+    parts = []
+    for q, (k,) in _KEYED.items():
+        inner = ORACLE[q]
+        name = {"serving_customer": "customer_rfm_online", "serving_product": "product_perf_online",
+                "serving_supplier": "supplier_score_online", "product_catalog": "product_catalog"}[q]
+        parts.append(f"""SELECT '{name}' AS table_name, '{k}' AS key_columns, CAST(SUM(n) AS BIGINT) AS rows,
+  (SELECT COUNT(*) FROM ({inner}) z WHERE {k} IS NULL) AS null_keys, COUNT(*) FILTER (WHERE n > 1) AS duplicate_keys
+FROM (SELECT {k}, COUNT(*) AS n FROM ({inner}) y GROUP BY {k}) x""")
+    return " UNION ALL ".join(parts)
+
+
+@register("dq_keys", _keys_sql())
+def dq_keys(spark, sf_dir):
+    from mercato.plans import serving as S
+    g = _gold(spark, sf_dir)
+    return S.key_report({"customer_rfm_online": S.customer_online(g.customer_rfm),
+                         "product_perf_online": S.product_online(g.product_performance),
+                         "supplier_score_online": S.supplier_online(g.supplier_scorecard),
+                         "product_catalog": S.product_catalog(g.s.dim_part)})

@@ -33,7 +33,7 @@ def get_spark(app: str = "mercato", master: str | None = None,
         return active
     b = SparkSession.builder.appName(app)
     b = b.master(master or os.environ.get("MERCATO_MASTER", "local[8]"))
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     b = b.config("spark.driver.memory", os.environ.get("MERCATO_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
