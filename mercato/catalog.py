@@ -563,3 +563,103 @@ def dq_keys(spark, sf_dir):
                          "product_perf_online": S.product_online(g.product_performance),
                          "supplier_score_online": S.supplier_online(g.supplier_scorecard),
                          "product_catalog": S.product_catalog(g.s.dim_part)})
+
+
+# -- M1-M11 machine learning -------------------------------------------------------------
+
+@register("churn_training", with_ctes(["gold_customer_rfm"], f"""
+SELECT customer_key, recency_days, frequency, {d('monetary')} AS lifetime_value, avg_order_value, r_score, f_score,
+  m_score, rfm_score, customer_lifetime_days, market_segment, customer_region,
+  CASE WHEN rfm_segment IN ('At Risk', 'Needs Attention', 'Lost') THEN 1 ELSE 0 END AS churn_label
+FROM gold_customer_rfm"""))
+def churn_training(spark, sf_dir):
+    from mercato.plans.ml import churn_frame
+    return churn_frame(_gold(spark, sf_dir).customer_rfm)
+
+
+def churn_scores_df(spark, sf_dir):
+    from mercato.plans.ml import churn_frame, score, train_churn
+    rfm = _gold(spark, sf_dir).customer_rfm
+    model, _, _ = train_churn(rfm, cache_key=(sf_dir, G.NOTEBOOK))
+    return score(model, churn_frame(rfm))
+
+
+register("churn_scores")(churn_scores_df)
+register("dash_churn_risk")(lambda s, p: A.churn_risk_distribution(churn_scores_df(s, p)))
+register("app_churn_summary")(lambda s, p: A.churn_tier_summary(churn_scores_df(s, p)))
+register("app_riskiest_customers")(lambda s, p: A.riskiest_customers(churn_scores_df(s, p)))
+
+
+@register("churn_metrics")
+def churn_metrics(spark, sf_dir):
+    from mercato.plans.ml import evaluate, train_churn
+    model, _, test = train_churn(_gold(spark, sf_dir).customer_rfm, cache_key=(sf_dir, G.NOTEBOOK))
+    return evaluate(model, test)
+
+
+@register("churn_feature_importance")
+def churn_feature_importance(spark, sf_dir):
+    from mercato.plans.ml import feature_importance, train_churn
+    model, _, _ = train_churn(_gold(spark, sf_dir).customer_rfm, cache_key=(sf_dir, G.NOTEBOOK))
+    return feature_importance(model)
+
+
+@register("fn_churn_risk")
+def fn_churn_risk(spark, sf_dir):
+    from mercato.functions import tools
+    tools.register(spark, _gold(spark, sf_dir), churn_scores=churn_scores_df(spark, sf_dir),
+                   names=["get_churn_risk"])
+    return tools.call(spark, "get_churn_risk", risk_level="ALL", top_n=100)
+
+
+_FI = f"""
+, fi AS (SELECT region, CAST(strptime(year_month || '-01', '%Y-%m-%d') AS DATE) AS ds, SUM(net_revenue) AS y
+  FROM gold_monthly_sales GROUP BY year_month, region)"""
+
+
+@register("forecast_input", with_ctes(["gold_monthly_sales"], _FI + f"\nSELECT region, ds, {d('y')} AS y FROM fi"))
+def forecast_input_q(spark, sf_dir):
+    from mercato.plans.ml import forecast_input
+    return forecast_input(_gold(spark, sf_dir).monthly_sales).withColumn("y", F.col("y").cast("double"))
+
+
+_BASELINE = _FI + f""",
+s AS (SELECT region, ds, y, year(ds) * 12 + month(ds) - 1 AS m, CAST(y * 100 AS BIGINT) AS yc FROM fi),
+t0 AS (SELECT region, MIN(m) AS m0, MAX(m) AS m1 FROM s GROUP BY region),
+s2 AS (SELECT s.*, s.m - t0.m0 AS t FROM s JOIN t0 USING (region)),
+st AS (SELECT region, COUNT(*) AS n, SUM(t) AS st, SUM(yc) AS sy, SUM(t * t) AS stt, SUM(t * yc) AS sty
+  FROM s2 GROUP BY region),
+ab0 AS (SELECT *, {d('n * sty - st * sy')} / NULLIF({d('n * stt - st * st')}, 0) AS b FROM st),
+ab AS (SELECT region, b, ({d('sy')} - b * {d('st')}) / {d('n')} AS a FROM ab0),
+hist AS (SELECT s2.region, s2.ds, {d('s2.y')} AS y, ab.a + ab.b * {d('s2.t')} AS fit, month(s2.ds) AS moy, s2.yc
+  FROM s2 JOIN ab USING (region)),
+idx AS (SELECT region, moy, {d('SUM(r)')} / {d('COUNT(r)')} AS s FROM
+  (SELECT region, moy, CAST({rhu(f"{d('yc')} / NULLIF(fit, 0)", 8)} AS DECIMAL(20,8)) AS r FROM hist) GROUP BY region, moy),
+fut AS (SELECT t0.region, make_date(CAST((t0.m1 + k) // 12 AS INTEGER), CAST((t0.m1 + k) % 12 + 1 AS INTEGER), 1) AS ds,
+  CAST(NULL AS DOUBLE) AS y, ab.a + ab.b * {d('t0.m1 - t0.m0 + k')} AS fit
+  FROM t0 JOIN ab USING (region) CROSS JOIN (SELECT unnest(range(1, 7)) AS k) kk),
+rows_ AS (SELECT region, ds, y, fit, month(ds) AS moy FROM hist UNION ALL SELECT region, ds, y, fit, month(ds) FROM fut),
+fc AS (SELECT rows_.region, rows_.ds, rows_.y, {rhu('rows_.fit * idx.s / CAST(100 AS DOUBLE)', 2)} AS yhat,
+  CASE WHEN rows_.y IS NULL THEN 'forecast' ELSE 'actual' END AS is_forecast
+  FROM rows_ LEFT JOIN idx ON rows_.region IS NOT DISTINCT FROM idx.region AND rows_.moy = idx.moy)"""
+
+
+@register("forecast_baseline", with_ctes(["gold_monthly_sales"], _BASELINE + "\nSELECT * FROM fc"))
+def forecast_baseline_q(spark, sf_dir):
+    from mercato.plans.ml import baseline_forecast, forecast_input
+    return baseline_forecast(forecast_input(_gold(spark, sf_dir).monthly_sales))
+
+
+@register("forecast_mape", with_ctes(["gold_monthly_sales"], _BASELINE + f"""
+SELECT region, {rhu(f"{d('SUM(ape)')} / {d('COUNT(ape)')} * CAST(100 AS DOUBLE)", 4)} AS mape_pct FROM
+  (SELECT region, CAST({rhu('ABS(y - yhat) / NULLIF(y, 0)', 8)} AS DECIMAL(20,8)) AS ape FROM fc
+   WHERE is_forecast = 'actual') GROUP BY region"""))
+def forecast_mape_q(spark, sf_dir):
+    from mercato.plans.ml import baseline_forecast, forecast_input, forecast_mape
+    return forecast_mape(baseline_forecast(forecast_input(_gold(spark, sf_dir).monthly_sales)))
+
+
+@register("demand_forecast")
+def demand_forecast_q(spark, sf_dir):
+    from mercato.plans.ml import demand_forecast, forecast_input
+    return demand_forecast(forecast_input(_gold(spark, sf_dir).monthly_sales))
