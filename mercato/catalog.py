@@ -6,6 +6,7 @@ query has an SQL twin.  Keys follow SURVEY §7.7.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -663,3 +664,65 @@ def forecast_mape_q(spark, sf_dir):
 def demand_forecast_q(spark, sf_dir):
     from mercato.plans.ml import demand_forecast, forecast_input
     return demand_forecast(forecast_input(_gold(spark, sf_dir).monthly_sales))
+
+
+# -- P1-P6 search and documents ----------------------------------------------------------
+
+@register("similar_vectors", f"""
+WITH m AS (SELECT label, MIN(vec_id) AS qid FROM embeddings GROUP BY label),
+ex AS (SELECT m.label, e.vec_id AS qid, CAST(e.embedding AS DOUBLE[]) AS qvec FROM embeddings e JOIN m ON e.vec_id = m.qid),
+s AS (SELECT ex.label, ex.qid AS query_id, c.vec_id AS match_id,
+        list_cosine_similarity(ex.qvec, CAST(c.embedding AS DOUBLE[])) AS sim
+      FROM ex CROSS JOIN embeddings c WHERE c.vec_id <> ex.qid),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY sim DESC, match_id) AS rk FROM s)
+SELECT label, query_id, match_id, {rhu('sim', 6)} AS similarity, CAST(rk AS INTEGER) AS rank FROM r WHERE rk <= 10""")
+def similar_vectors_q(spark, sf_dir):
+    from mercato.plans.search import similar_vectors
+    from mercato.sources.tables import read
+    return similar_vectors(read(spark, sf_dir, "embeddings"))
+
+
+@register("extract_fields", """
+SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS title,
+  regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang, regexp_extract(html, '<h1>(.*?)</h1>', 1) AS h1,
+  regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host, CAST(length(html) AS BIGINT) AS html_chars FROM pages""")
+def extract_fields_q(spark, sf_dir):
+    from mercato.plans.search import page_fields
+    from mercato.sources.tables import read
+    return page_fields(read(spark, sf_dir, "pages"))
+
+
+@register("passage_topk")
+def passage_topk_q(spark, sf_dir):
+    """Benchmark items as questions → top-5 document passages (all documents, every line)."""
+    from mercato.plans.search import passage_topk
+    from mercato.sources.tables import read
+    q = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    return passage_topk(read(spark, sf_dir, "documents"), q, k=5)
+
+
+@register("catalog_embeddings")
+def catalog_embeddings(spark, sf_dir):
+    from mercato.plans.search import embed
+    from mercato.plans.serving import product_catalog
+    _, emb = embed(product_catalog(silver(spark, sf_dir).dim_part))
+    from pyspark.ml.functions import vector_to_array
+    v = vector_to_array("embedding")
+    return emb.select("product_id", "search_text", F.size(F.filter(v, lambda x: x != 0)).alias("nonzero_terms"))
+
+
+# -- ST1 streaming ingest ------------------------------------------------------------------
+
+@register("stream_ingest_events")
+def stream_ingest_events(spark, sf_dir):
+    """Events arrive as two file drops (cut at the median timestamp); the stream
+    ingests both once; a second run with the same checkpoint adds nothing."""
+    from mercato.sources.tables import read
+    from mercato.streaming.ingest import drop_files, ingest, scratch
+    ev = read(spark, sf_dir, "events")
+    cut = ev.agg(F.percentile_approx("ts", 0.5).alias("m")).first()["m"]
+    base = scratch(spark, "events")
+    landing, target = os.path.join(base, "landing"), os.path.join(base, "bronze")
+    drop_files(ev, landing, "ts", [cut])
+    ingest(spark, os.path.join(landing, "*"), target, ev.schema, "events")
+    return spark.read.parquet(target).drop("_ingested_at", "_source_file")

@@ -17,12 +17,17 @@ DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 def plan_stats(df: DataFrame) -> tuple[int | None, int]:
     """(row count estimate or None, size estimate in bytes) from the optimized plan."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    size = int(stats.sizeInBytes().toString())
+    size = _num(stats.sizeInBytes())
     rows = stats.rowCount()
-    n = int(rows.get().toString()) if rows.isDefined() else None
+    n = _num(rows.get()) if rows.isDefined() else None
     return n, size
 
 
+def _num(v) -> int:
+    """py4j returns Scala BigInt either converted or as an object."""
+    return int(v) if isinstance(v, int) else int(v.toString())
+
+
 def broadcast_bounded(df: DataFrame, max_rows: int | None = None,
                       max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
     """Broadcast ``df`` only if its estimated size is within the bounds."""
