@@ -36,6 +36,19 @@ SAMPLE_PER_BUCKET = 40
 Order = Sequence[tuple[str, bool]]  # (column, ascending); NULLS FIRST asc, NULLS LAST desc
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the cluster's shared checkpoint folder.
+
+    Ranking reads its input several times (count, sample, bucket counts,
+    final pass); materialising once cuts the lineage so those passes read
+    stored rows instead of recomputing the input plan, and a lost executor
+    does not re-run the upstream stages.
+    """
+    from mercato.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _key_columns(df: DataFrame, order: Order) -> tuple[DataFrame, list[str]]:
     """Encode each order column as (null flag, ascending value) columns."""
     types = dict((f.name, f.dataType) for f in df.schema.fields)
@@ -88,11 +101,14 @@ def _bucket_expr(keys: list[str], cuts: list[tuple], lo: int, hi: int) -> Column
 
 def global_rank(df: DataFrame, order: Order, rank_col: str = "_rank",
                 rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
-                seed: int = 42) -> tuple[DataFrame, int]:
+                seed: int = 42, materialized: bool = False) -> tuple[DataFrame, int]:
     """Add a 1-based ``rank_col`` (row number in ``order``); returns (df, row count).
 
     ``order`` must end with a unique key for the result to be deterministic.
+    ``materialized``: the caller already checkpointed ``df``.
     """
+    if not materialized:
+        df = materialize(df)
     n = df.count()
     keyed, keys = _key_columns(df, order)
     w_order = [F.col(k) for k in keys]

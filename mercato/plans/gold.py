@@ -110,10 +110,11 @@ def rfm_segment_by_rules(r, f, m):
             .when(r >= 2, "At Risk").otherwise("Lost"))
 
 
-def _scores(base: DataFrame, **kw) -> DataFrame:
+def _scores(base: DataFrame, base_materialized: bool = False, **kw) -> DataFrame:
     """Quintile scores; ties broken by customer_key (NULL key sorts first)."""
     key = ("customer_key", True)
-    s = distributed_ntile(base, 5, [("recency_days", False), key], "r_score", **kw)
+    s = distributed_ntile(base, 5, [("recency_days", False), key], "r_score",
+                          materialized=base_materialized, **kw)
     s = distributed_ntile(s, 5, [("frequency", True), key], "f_score", **kw)
     s = distributed_ntile(s, 5, [("monetary", True), key], "m_score", **kw)
     return s.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
@@ -161,7 +162,7 @@ def customer_rfm(fact_ord: DataFrame, variant: str = NOTEBOOK,
                  round_half_up(exact_avg("total_price"), 2).alias("avg_order_value")))
     if materialize:
         base = _materialize(base)
-    s = _scores(base, **kw)
+    s = _scores(base, base_materialized=materialize, **kw)
     life = F.datediff("last_order_date", "first_order_date").alias("customer_lifetime_days")
     head = ["customer_key", "market_segment", "customer_nation", "customer_region", "recency_days",
             "frequency", "monetary", "first_order_date", "last_order_date", "avg_order_value"]
