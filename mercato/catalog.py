@@ -726,3 +726,32 @@ def stream_ingest_events(spark, sf_dir):
     drop_files(ev, landing, "ts", [cut])
     ingest(spark, os.path.join(landing, "*"), target, ev.schema, "events")
     return spark.read.parquet(target).drop("_ingested_at", "_source_file")
+
+
+# -- L28 remaining previews -------------------------------------------------------------
+
+_MONEY_M = ("net_revenue", "gross_revenue", "total_cost", "total_profit")
+
+
+@register("preview_monthly_sales", with_ctes(["gold_monthly_sales"], f"""
+SELECT * EXCLUDE ({', '.join(_MONEY_M)}), {', '.join(f"{d(c)} AS {c}" for c in _MONEY_M)}
+FROM gold_monthly_sales ORDER BY year_month, region NULLS FIRST, segment NULLS FIRST LIMIT 15"""))
+def preview_monthly_sales(spark, sf_dir):
+    df = _gold(spark, sf_dir).monthly_sales
+    return G.as_output(A.preview(df, ["year_month", "region", "segment"], 15), "monthly_sales")
+
+
+@register("preview_top_products", with_ctes(["gold_product_performance"], f"""
+SELECT * EXCLUDE (net_revenue, total_profit, total_cost), {d('net_revenue')} AS net_revenue,
+  {d('total_profit')} AS total_profit, {d('total_cost')} AS total_cost
+FROM gold_product_performance ORDER BY gold_product_performance.net_revenue DESC, {_PK} LIMIT 15"""))
+def preview_top_products(spark, sf_dir):
+    df = _gold(spark, sf_dir).product_performance
+    return G.as_output(A.preview(df, [F.desc("net_revenue"), *A.PRODUCT_KEY], 15), "product_performance")
+
+
+@register("preview_shipping", with_ctes(["gold_shipping_analysis"], f"""
+SELECT * EXCLUDE (net_revenue), {d('net_revenue')} AS net_revenue FROM gold_shipping_analysis"""))
+def preview_shipping(spark, sf_dir):
+    return G.as_output(_gold(spark, sf_dir).shipping_analysis.orderBy("ship_mode", "customer_region"),
+                       "shipping_analysis")

@@ -125,3 +125,18 @@ def test_dashboard_queries_validate(spark):
     qs = E.queries()
     rep = validate_queries(spark, {n: qs[n](spark, SF001) for n in qs if n.startswith("dash_") and "churn" not in n})
     assert all(r.status == "ok" and r.rows > 0 for r in rep.collect())
+
+
+def test_reembed_changed_and_feature_lookup(spark):
+    from mercato.plans.search import embed, reembed_changed
+    from mercato.plans.serving import with_features
+    old = spark.createDataFrame([(1, "brass bolt"), (2, "steel nut"), (3, "tin can")], "product_id long, search_text string")
+    new = spark.createDataFrame([(1, "brass bolt"), (2, "polished steel nut"), (4, "copper wire")],
+                                "product_id long, search_text string")
+    model, _ = embed(old)
+    diff = snapshot_diff(old, new, ["product_id"])
+    emb = reembed_changed(model, diff, ["product_id"])
+    assert sorted(r.product_id for r in emb.collect()) == [2, 4]
+    feats = spark.createDataFrame([(1, 0.5), (4, 0.9)], "product_id long, score double")
+    got = {r.product_id: r.score for r in with_features(new, feats, ["product_id"]).collect()}
+    assert got == {1: 0.5, 2: None, 4: 0.9}
