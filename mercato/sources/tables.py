@@ -30,9 +30,21 @@ def path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Plain scan of one given table."""
-    return spark.read.parquet(path(sf_dir, name))
+    """Plain scan of one given table.
+
+    The inferred schema is remembered per path, so building a plan that reads
+    the same (read-only) table several times infers it once.
+    """
+    p = path(sf_dir, name)
+    schema = _SCHEMAS.get(p)
+    df = (spark.read if schema is None else spark.read.schema(schema)).parquet(p)
+    if schema is None:
+        _SCHEMAS[p] = df.schema
+    return df
 
 
 def _pick(values: list[str], idx0: Column) -> Column:
