@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,3 +59,30 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 <
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """The texts of a batch; null is the empty text."""
     return [t or "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
+
+
+_STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A one-to-one scattering of 64-bit words."""
+    x = np.asarray(x, np.uint64)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(33))
+
+
+class Spans:
+    """64-bit hashes of any spans of a sequence, from prefix sums of a polynomial."""
+
+    def __init__(self, codes: np.ndarray):
+        n = codes.size + 1
+        powers, inverse = np.full(n, _STEP, np.uint64), np.full(n, pow(_STEP, -1, 1 << 64), np.uint64)
+        powers[0] = inverse[0] = 1
+        self.inverse = np.multiply.accumulate(inverse)
+        self.sums = np.zeros(n, np.uint64)
+        letters = mix(np.arange(1, 257, dtype=np.uint64))[codes] if codes.dtype == np.uint8 else mix(codes.astype(np.uint64) + np.uint64(1))
+        np.cumsum(letters * np.multiply.accumulate(powers)[:-1], out=self.sums[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts])

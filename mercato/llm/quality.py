@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import slices, texts_of
+from mercato.llm.common import Spans, slices, texts_of
 
 # ------------------------------------------------------------------ features
 
@@ -72,18 +72,7 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     kind = np.where(x < 0x250, _TABLE[np.minimum(x, 0x24F)], _LOWER)
     counts = np.bincount(line * _CLASSES + kind, minlength=n * _CLASSES).reshape(n, _CLASSES).astype(np.float64)
     counts[:, _SPACE] -= 1  # the line's end
-    # words and lines are compared by hashes from prefix sums over their characters
-    mixed = (x.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= mixed >> np.uint64(29)
-    plain, placed = np.zeros(x.size + 1, np.uint64), np.zeros(x.size + 1, np.uint64)
-    np.cumsum(mixed, out=plain[1:])
-    np.cumsum(mixed * np.arange(x.size, dtype=np.uint64), out=placed[1:])
-
-    def hashes(at: np.ndarray, to: np.ndarray) -> np.ndarray:
-        total = plain[to] - plain[at]
-        moment = placed[to] - placed[at] - total * at.astype(np.uint64)
-        return (total ^ (moment * np.uint64(0xC2B2AE3D27D4EB4F))) * np.uint64(0x165667B19E3779F9)
-
+    hashes = Spans(x)  # words and lines are compared by these
     blank = np.concatenate(([True], kind == _SPACE))
     opens = np.flatnonzero(blank[:-1] & ~blank[1:])
     shuts = np.flatnonzero(~blank[:-1] & blank[1:])

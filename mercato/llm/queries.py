@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import language_id, packing, quality, topk
+from mercato.llm import language_id, near_dedup, packing, quality, topk
 from mercato.llm.common import crc_of_id, table
 
 
@@ -32,6 +32,10 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_of_id(F.col("doc_id")) % 5 == 0
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_language_id": op4_language_id,
     "op6_exact_top_k": op6_exact_top_k,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_quality_classifier": op9_quality_classifier,
 }
 
