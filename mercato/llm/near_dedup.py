@@ -14,15 +14,16 @@ shingles reaches a threshold; the groups are the connected components.
    A candidate must pass the sizes, then the sketches' estimate, then the exact
    similarity of the full sets.
 4. Links found so far give components.  In buckets that still hold more than
-   one component, the pairs *across* components are tested the same way: the
-   sketches are compared inside tasks over bounded blocks of the bucket, and
-   only pairs that pass leave the task.  So every pair that shares a bucket is
-   tested or already connected, without listing the pairs of a group.
+   one component, members outside the bucket's first component are held against
+   all members of other components: the sketches are compared inside tasks over
+   bounded blocks of the bucket, and only pairs that pass leave the task and are
+   tested.  So every pair that shares a bucket is tested or already connected,
+   without listing the pairs of a group.
 
 With 40 bands of 4 samples, two documents at similarity 0.75 share no bucket
-with probability 2.5e-7; the sketch's limit lies so far below the threshold
-(0.45) that it loses a true link with probability below 1e-9.  Sets are held as
-64-bit hashes of their shingles.
+with probability 2.5e-7.  The sketches hold 512 samples; their limit, an
+estimate of 0.66, lies 4.7 standard deviations below the threshold.  Sets are
+held as 64-bit hashes of their shingles.
 
 Defined results: a text that is null, empty or white space has an empty set and
 is linked with nothing; one of fewer words than a shingle has one shingle;
@@ -44,8 +45,8 @@ from pyspark.sql import functions as F
 from mercato.llm.common import Spans, mix, shuffle_partitions, slices, stored
 
 BANDS, ROWS = 40, 4
-SAMPLES = BANDS * ROWS
-SKETCH_WORDS = 16
+SAMPLES = 512  # all go into the sketch, the first BANDS * ROWS into the bands
+SKETCH_WORDS = 32
 SKETCH_BITS = 64 * SKETCH_WORDS
 _SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
 
@@ -93,15 +94,15 @@ def shingle_sets(texts: list[bytes], words: int = 5) -> list[np.ndarray]:
 def samples(s: np.ndarray) -> np.ndarray:
     """MinHash samples of a set."""
     low = np.full(SAMPLES, np.iinfo(np.uint64).max, np.uint64)
-    for a in range(0, s.size, 2048):
-        part = s[a:a + 2048]
+    for a in range(0, s.size, 256):
+        part = s[a:a + 256]
         np.minimum(low, (part[:, None] * _FACTOR + _TERM).min(0), out=low)
     return low
 
 
 def band_keys(low: np.ndarray) -> np.ndarray:
     """Of samples (documents x SAMPLES)."""
-    grouped = low.reshape(len(low), BANDS, ROWS)
+    grouped = low[:, :BANDS * ROWS].reshape(len(low), BANDS, ROWS)
     return mix((mix(grouped) * _WORD[:ROWS]).sum(2) + _BAND).view(np.int64)
 
 
@@ -221,43 +222,57 @@ def components(edges: DataFrame) -> DataFrame:
 def _across(members: DataFrame, reps: DataFrame, threshold: float, least_estimate: float, block: int) -> DataFrame:
     """Pairs across components within buckets that pass sizes and sketches.
 
-    ``members``: key, id, label.  A bucket is cut into blocks of about ``block``
-    members; each pair of blocks is one group, so no group is larger than two
-    blocks however many documents share a key.
+    ``members``: key, id, label and low, the bucket's smallest label.  Members
+    of other components than ``low`` are *strays*; the pairs wanted are a stray
+    and any member of another component.  Strays and members are cut into blocks
+    of about ``block``, and a pair of blocks is a cell, so no cell is larger than
+    that however many documents share a key.  Small buckets share cells.
     """
-    counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).select((F.col("key") + 0).alias("key"), "size")
-    # small buckets together: a group of rows holds all of a bucket or two blocks of it
-    cut = members.join(counts, "key").withColumn("parts", F.ceil(F.col("size") / block).cast("int")) \
-        .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \
-        .select(F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("cell"),
-                "key", "id", "label", "part", (F.col("part") != F.col("other")).alias("two"))
-    facts = cut.join(reps.select("id", "n", *_SKETCH), "id")
+    stray = F.col("label") != F.col("low")
+    counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("all"), F.count_if(stray).alias("strays")).select(
+        (F.col("key") + 0).alias("key"), F.ceil(F.col("all") / block).cast("int").alias("parts"),
+        F.ceil(F.col("strays") / block).cast("int").alias("stray_parts"))
+    tasks = shuffle_partitions(members.sparkSession)
+    sized = members.join(counts, "key")
+    own = F.xxhash64("id")
+    as_member = sized.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("stray_parts") - 1))) \
+        .withColumn("j", F.pmod(own, F.col("parts")).cast("int")).withColumn("as_stray", F.lit(False))
+    as_stray = sized.filter(stray).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \
+        .withColumn("i", F.pmod(own, F.col("stray_parts")).cast("int")).withColumn("as_stray", F.lit(True))
+    cell = F.when((F.col("parts") == 1) & (F.col("stray_parts") == 1), F.pmod(F.xxhash64("key"), F.lit(8 * tasks))) \
+        .otherwise(F.xxhash64("key", "i", "j"))
+    cells = as_member.select(cell.alias("cell"), "key", "id", "label", "as_stray", stray.alias("is_stray")) \
+        .unionByName(as_stray.select(cell.alias("cell"), "key", "id", "label", "as_stray", stray.alias("is_stray")))
+    facts = cells.join(reps.select("id", "n", *_SKETCH), "id").repartition(tasks, "cell")
     limit = most_ones(least_estimate)
 
     def compare(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.drop_duplicates(["id"])
-        ids, label, n, part = (g[c].to_numpy() for c in ("id", "label", "n", "part"))
-        sketch = g[_SKETCH].to_numpy(np.int64)
-        two = bool(g["two"].iloc[0])
+        g = g.sort_values(["key", "as_stray"], kind="stable")
+        key, ids, label, n, as_stray, is_stray = (g[c].to_numpy() for c in ("key", "id", "label", "n", "as_stray", "is_stray"))
+        sketch = g[_SKETCH].to_numpy(np.int64).view(np.uint64)  # of signed words, numpy counts the ones of the absolute value
+        edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
         a_out, b_out = [], []
-        for i in range(0, len(ids), 256):
-            s = slice(i, i + 256)
-            ok = (label[s, None] != label) & (ids[s, None] < ids)
-            if two:
-                ok &= part[s, None] != part
-            ok &= np.minimum(n[s, None], n) >= threshold * np.maximum(n[s, None], n)
-            x, y = np.nonzero(ok)
-            ones = np.bitwise_count(sketch[s][x] ^ sketch[y]).sum(1) if x.size else x
-            a_out.append(ids[s][x[ones <= limit]])
-            b_out.append(ids[y[ones <= limit]])
-        return pd.DataFrame({"a": np.concatenate(a_out), "b": np.concatenate(b_out)})
+        for start, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            mid = start + int(np.searchsorted(as_stray[start:end], True))
+            for at in range(mid, end, 256):
+                s, m = slice(at, min(at + 256, end)), slice(start, mid)
+                ok = label[s, None] != label[m]
+                ok &= ~is_stray[m] | (ids[s, None] < ids[m])
+                ok &= np.minimum(n[s, None], n[m]) >= threshold * np.maximum(n[s, None], n[m])
+                x, y = np.nonzero(ok)
+                for c in range(0, x.size, 1 << 16):
+                    p, q = x[c:c + (1 << 16)] + at, y[c:c + (1 << 16)] + start
+                    near = np.bitwise_count(sketch[p] ^ sketch[q]).sum(1) <= limit
+                    a_out.append(np.minimum(ids[p[near]], ids[q[near]]))
+                    b_out.append(np.maximum(ids[p[near]], ids[q[near]]))
+        none = [np.zeros(0, np.int64)]
+        return pd.DataFrame({"a": np.concatenate(a_out or none), "b": np.concatenate(b_out or none)}).drop_duplicates()
 
     return facts.groupBy("cell").applyInPandas(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5, id_col: str = "doc_id", text_col: str = "text",
-                    least_estimate: float = 0.45, block: int = 512) -> DataFrame:
+                    least_estimate: float = 0.66, block: int = 512) -> DataFrame:
     """id, n_shingles, component_id and kept of every row of ``docs``."""
     threshold = percent / 100
     described = stored(describe(docs, id_col, text_col, words))
@@ -278,7 +293,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5, id_col:
         .select("key", "id", F.coalesce("label", "id").alias("label"), "center")
     mixed = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"),
                                       F.count(F.lit(1)).alias("size")).filter("low <> high AND size > 2")
-    members = marked.filter("id <> center").join(mixed.select((F.col("key") + 0).alias("key")), "key").select("key", "id", "label")
+    members = marked.filter("id <> center").join(mixed.select((F.col("key") + 0).alias("key"), "low"), "key").select("key", "id", "label", "low")
     more = stored(_across(stored(members), reps, threshold, least_estimate, block).join(star, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         rest = linked(more, docs, percent, id_col, text_col, words)
