@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from mercato.llm.common import stored
 
-BINS = 64
+BINS = 64  # a multiple of 4
 _UNIT = float(1 << 52)
 
 
@@ -85,11 +85,10 @@ def _followed(docs: DataFrame, per_bucket: int) -> DataFrame:
 
 def _terms(text: Column) -> Column:
     """The pairs of neighbouring words; a single word pairs with nothing."""
-    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
     words = F.array_remove(F.split(text, r"\s+"), "")
     n = F.size(words)
-    pairs = F.arrays_zip(words.alias("p"), F.slice(words, F.lit(2), F.greatest(n - 1, F.lit(1))).alias("q"))
-    return F.when(n > 1, F.slice(pairs, F.lit(1), F.greatest(n - 1, F.lit(1)))).otherwise(pairs)
+    count = F.greatest(n - 1, F.lit(1))
+    return F.slice(F.arrays_zip(words.alias("p"), F.slice(words, F.lit(2), count).alias("q")), F.lit(1), count)
 
 
 def _unit(term: Column, which: int) -> Column:
@@ -108,19 +107,33 @@ def _sample(term: Column, weight: Column) -> Column:
     return F.when(weight > 0, F.shiftleft(high, 31).bitwiseOR(F.shiftrightunsigned(F.xxhash64(term, t, F.lit(6)), 33)))
 
 
-def _hex(mark: str) -> Column:
-    """The bins of a mark column as a string: four digits each, zeros where the bin is empty."""
-    return F.array_join(F.transform(F.col(mark), lambda m: F.lpad(F.lower(F.hex(m)), 4, "0")), "")
+def _marks(sample: str) -> Column:
+    """Aggregate: the bins of a text, 16 bits each and zero where empty, as an array of longs."""
+    mark = F.pmod(F.xxhash64(sample), F.lit(65535)) + 1
+    placed = F.when(F.col(sample).isNotNull(), F.call_function("shiftleft", mark, ((F.col("bin") % 4) * 16).cast("int")))
+    return F.array(*[F.coalesce(F.bit_or(F.when(F.floor(F.col("bin") / 4) == q, placed)), F.lit(0).cast("long"))
+                     for q in range(BINS // 4)])
 
 
-def _likeness(a: Column, b: Column) -> Column:
+def _hex(marks: str) -> Column:
+    """Marks as a string, four digits a bin."""
+    return F.array_join(F.transform(marks, lambda m: F.lpad(F.lower(F.hex(m)), 16, "0")), "")
+
+
+def _likeness(a: str, b: str) -> Column:
     """Equal samples among the bins that are filled in either; 1 if none is."""
-    same = F.aggregate(F.zip_with(a, b, lambda x, y: ((x == y) & (x > 0)).cast("int")), F.lit(0), lambda s, x: s + x)
-    filled = F.aggregate(F.zip_with(a, b, lambda x, y: ((x > 0) | (y > 0)).cast("int")), F.lit(0), lambda s, x: s + x)
-    return F.when(filled == 0, F.lit(1.0)).otherwise(same / F.greatest(filled, F.lit(1)))
+    def lanes(x: Column) -> list[Column]:
+        return [F.shiftrightunsigned(x, 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in range(4)]
+
+    def total(f) -> Column:
+        counts = F.zip_with(a, b, lambda x, y: sum((f(p, q).cast("int") for p, q in zip(lanes(x), lanes(y), strict=True)), F.lit(0)))
+        return F.aggregate(counts, F.lit(0), lambda s, c: s + c)
+
+    filled = total(lambda p, q: (p > 0) | (q > 0))
+    return F.when(filled == 0, F.lit(1.0)).otherwise(total(lambda p, q: (p == q) & (p > 0)) / F.greatest(filled, F.lit(1)))
 
 
-def fingerprints(docs: DataFrame, bins: int = BINS, id_col: str = "doc_id", text_col: str = "text", per_bucket: int = 48,
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_bucket: int = 48,
                  partition_chars: int = 3 << 20) -> DataFrame:
     """id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of every row.
 
@@ -137,14 +150,21 @@ def fingerprints(docs: DataFrame, bins: int = BINS, id_col: str = "doc_id", text
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half),
                                               F.substring(F.coalesce("after", F.lit("")), F.lit(1), half)))
-    key = ["bucket", "at"]  # the rows stay where they are: the bucket is part of every grouping below
-    facts = ["id", "n_chars", "ghost", "sha"]
-    slim = rows.withColumn("sha", F.sha2("edited", 256)).select(*key, *facts, "text", "edited")
-    both = slim.select(*key, *facts, F.explode(F.array(
-        F.struct(F.lit(0).alias("v"), F.col("text").alias("t")), F.struct(F.lit(1).alias("v"), F.col("edited").alias("t")))).alias("x"))
-    terms = both.select(*key, *facts, F.col("x.v").alias("v"), F.explode_outer(_terms(F.col("x.t"))).alias("p"))
-    term = F.when(F.col("p").isNotNull(), F.xxhash64(F.col("p.p"), F.col("p.q")))
-    weighted = terms.select(*key, *facts, "v", term.alias("term")).groupBy(*key, "term").agg(
-        F.count_if(F.col("v") == 0).alias("w0"), F.count_if(F.col("v") == 1).alias("w1"),
-        *[F.first(c).alias(c) for c in ("id", "n_chars", "ghost")])
-    return weighted
+    key = ["bucket", "at"]  # rows stay where they are: each grouping below is by the bucket and more
+    texts = F.array(F.struct(F.lit(0).alias("v"), F.col("text").alias("t")), F.struct(F.lit(1).alias("v"), F.col("edited").alias("t")))
+    terms = rows.select(*key, F.explode(texts).alias("x")) \
+        .select(*key, F.col("x.v").alias("v"), F.explode_outer(_terms(F.col("x.t"))).alias("p")) \
+        .select(*key, "v", F.when(F.col("p").isNotNull(), F.xxhash64(F.col("p.p"), F.col("p.q"))).alias("term"))
+    weighted = terms.groupBy(*key, "term").agg(F.count_if(F.col("v") == 0).alias("w0"), F.count_if(F.col("v") == 1).alias("w1"))
+    drawn = weighted.select(*key, F.pmod(F.xxhash64("term", F.lit(7)), F.lit(BINS)).alias("bin"),
+                            *[F.when(F.col("term").isNotNull(), _sample(F.col("term"), F.col(w))).alias(s) for w, s in (("w0", "s0"), ("w1", "s1"))])
+    marks = drawn.groupBy(*key, "bin").agg(F.min("s0").alias("s0"), F.min("s1").alias("s1")) \
+        .groupBy(*key).agg(_marks("s0").alias("own"), _marks("s1").alias("other"))
+    in_order = Window.partitionBy("bucket").orderBy("at")
+    judged = marks.withColumn("next", F.lead("own").over(in_order)).select(
+        *key, _hex("own").alias("fingerprint"), _hex("other").alias("edited_fingerprint"),
+        _likeness("own", "other").alias("near_edited"), _likeness("own", "next").alias("near_next"))
+    facts = rows.select(*key, "ghost", F.col("id").alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256")) \
+        .filter(~F.col("ghost"))
+    return facts.join(judged, key).select(id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                                          "near_edited", "near_next")

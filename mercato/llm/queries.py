@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import language_id, near_dedup, packing, quality, topk
+from mercato.llm import fingerprint, language_id, mixing, near_dedup, packing, quality, topk, url_filter
 from mercato.llm.common import crc_of_id, table
 
 
@@ -20,6 +20,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_of_id(F.col("doc_id")) % 4 == 2
@@ -36,6 +40,15 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+URL_RULES = """SELECT * FROM VALUES
+  ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block') AS rules(host, path, verdict)"""
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), spark.sql(URL_RULES))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_of_id(F.col("doc_id")) % 5 == 0
@@ -44,12 +57,24 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+#: Sources are weighted by the square root of their sizes.
+MIX_POWER = 0.5
+
+
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.replicate(docs, mixing.tempered(docs, MIX_POWER))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_document_fingerprints": op2_document_fingerprints,
     "op4_language_id": op4_language_id,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_url_filters": op8_url_filters,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_source_mixing": op10_source_mixing,
 }
 
 ORACLE: dict[str, str] = {}
@@ -69,3 +94,45 @@ r AS (
   FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+ORACLE["op8_url_filters"] = r"""
+WITH u AS (
+  SELECT page_id, url, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS after
+  FROM pages),
+p AS (
+  SELECT row_number() OVER () AS row_id, page_id,
+         translate(regexp_extract(after, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(after, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u),
+r(rule_host, rule_path, rule_verdict) AS (VALUES
+  ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+m AS (
+  SELECT p.*, rule_host || rule_path AS rule, rule_verdict,
+         row_number() OVER (PARTITION BY row_id ORDER BY length(rule_host || rule_path) DESC NULLS LAST, length(rule_host) DESC) AS place
+  FROM p LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM m WHERE place = 1
+"""
+
+ORACLE["op10_source_mixing"] = """
+WITH n AS (SELECT source, count(*) AS n, pow(count(*)::DOUBLE, 0.5) AS w FROM documents GROUP BY source),
+rates AS (
+  SELECT source, w / (SELECT sum(w) FROM n) * (SELECT sum(n) FROM n) / n AS rate FROM n),
+draws AS (
+  SELECT source, CAST(ceil(rate / 16.0) AS BIGINT) AS draws, rate / CAST(ceil(rate / 16.0) AS BIGINT) AS mean FROM rates),
+cdf AS (
+  SELECT source, draws, k, sum(exp(k * ln(mean) - mean - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS p
+  FROM draws, range(0, 86) AS t(k)),
+drawn AS (
+  SELECT d.*, dr.draw,
+         CAST('0x' || substr(md5('1|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || CAST(dr.draw AS VARCHAR)), 1, 13) AS BIGINT)
+           / CAST(4503599627370496 AS DOUBLE) AS u
+  FROM documents d JOIN (SELECT source, unnest(range(0, draws)) AS draw FROM draws) dr ON d.source IS NOT DISTINCT FROM dr.source),
+counted AS (
+  SELECT x.doc_id, x.text, x.lang, x.source, x.n_chars, x.draw, count(*) AS copies
+  FROM (SELECT row_number() OVER () AS r, * FROM drawn) x JOIN cdf c ON x.source IS NOT DISTINCT FROM c.source AND c.p <= x.u
+  GROUP BY x.r, x.doc_id, x.text, x.lang, x.source, x.n_chars, x.draw)
+SELECT doc_id, text, lang, source, n_chars, draw * 86 + i AS copy,
+       md5('place|1|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || CAST(draw * 86 + i AS VARCHAR)) AS shuffle_key
+FROM (SELECT *, unnest(range(0, copies)) AS i FROM counted)
+"""

@@ -66,7 +66,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
     parts = split.withColumn("labels", _labels(F.col("host"))).withColumn("at", F.explode(at)) \
         .filter((F.col("at.labels") <= F.col("labels")) & (F.col("at.chars") <= F.length("path")))
     expressions = _keyed(parts.select(
-        "url", F.substring_index("host", ".", -F.col("at.labels")).alias("e_host"),
+        "url", F.call_function("substring_index", "host", F.lit("."), -F.col("at.labels")).alias("e_host"),
         F.substring(F.col("path"), F.lit(1), F.col("at.chars")).alias("e_path")))
     matches = expressions.select("url", "short", "digest").join(listed.withColumnRenamed("digest", "full"), "short") \
         .filter("digest = full")
