@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import fingerprint, language_id, mixing, near_dedup, packing, quality, topk, url_filter
+from mercato.llm import (
+    fingerprint, language_id, lm_scoring, mixing, near_dedup, packing, quality, token_counts, topk, url_filter,
+)
 from mercato.llm.common import crc_of_id, table
 
 
@@ -24,6 +26,10 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_of_id(F.col("doc_id")) % 4 == 2
@@ -32,6 +38,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                         "lang_pred", "score")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is the documents labelled as of good quality."""
+    docs = table(spark, sf_dir, "documents")
+    return lm_scoring.score(docs, lm_scoring.learn(docs, table(spark, sf_dir, "labels").filter("quality = 1")))
+
+
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -69,7 +81,9 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_document_fingerprints": op2_document_fingerprints,
+    "op3_token_counts": op3_token_counts,
     "op4_language_id": op4_language_id,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_url_filters": op8_url_filters,
