@@ -21,8 +21,8 @@ shingles reaches a threshold; the groups are the connected components.
    without listing the pairs of a group.
 
 With 40 bands of 4 samples, two documents at similarity 0.75 share no bucket
-with probability 2.5e-7.  The sketches hold 512 samples; their limit, an
-estimate of 0.66, lies 4.7 standard deviations below the threshold.  Sets are
+with probability 2.5e-7.  The sketches hold 768 samples; their limit, an
+estimate of 0.68, lies 4.5 standard deviations below the threshold.  Sets are
 held as 64-bit hashes of their shingles.
 
 Defined results: a text that is null, empty or white space has an empty set and
@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from mercato.llm.common import Spans, mix, shuffle_partitions, slices, stored
 
 BANDS, ROWS = 40, 4
-SAMPLES = 512  # all go into the sketch, the first BANDS * ROWS into the bands
+SAMPLES = 768  # all go into the sketch, the first BANDS * ROWS into the bands
 SKETCH_WORDS = 32
 SKETCH_BITS = 64 * SKETCH_WORDS
 _SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
@@ -94,8 +94,8 @@ def shingle_sets(texts: list[bytes], words: int = 5) -> list[np.ndarray]:
 def samples(s: np.ndarray) -> np.ndarray:
     """MinHash samples of a set."""
     low = np.full(SAMPLES, np.iinfo(np.uint64).max, np.uint64)
-    for a in range(0, s.size, 256):
-        part = s[a:a + 256]
+    for a in range(0, s.size, 128):
+        part = s[a:a + 128]
         np.minimum(low, (part[:, None] * _FACTOR + _TERM).min(0), out=low)
     return low
 
@@ -128,7 +128,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str, words: int = 5) -> Dat
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "t"):
+        for part in slices(batches, "t", 1 << 20):
             sets = shingle_sets([t or b"" for t in part.column(1).to_pylist()], words)
             low = np.stack([samples(s) for s in sets])
             digest = np.array([((mix(s ^ _WORD[10]).sum(), mix(s ^ _WORD[11]).sum())) for s in sets], np.uint64).view(np.int64)
@@ -174,7 +174,7 @@ def linked(pairs: DataFrame, docs: DataFrame, percent: int, id_col: str, text_co
     both = pairs.join(_as(texts, "a"), "a").join(_as(texts, "b"), "b").select("a", "b", "a_t", "b_t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "b_t", 2 << 20):
+        for part in slices(batches, "b_t", 1 << 20):
             a, b = part.column(0).to_pylist(), part.column(1).to_pylist()
             distinct = dict(zip(a, part.column(2).to_pylist(), strict=True)) | dict(zip(b, part.column(3).to_pylist(), strict=True))
             sets = dict(zip(distinct, shingle_sets([t or b"" for t in distinct.values()], words), strict=True))
@@ -226,7 +226,8 @@ def _across(members: DataFrame, reps: DataFrame, threshold: float, least_estimat
     of other components than ``low`` are *strays*; the pairs wanted are a stray
     and any member of another component.  Strays and members are cut into blocks
     of about ``block``, and a pair of blocks is a cell, so no cell is larger than
-    that however many documents share a key.  Small buckets share cells.
+    that however many documents share a key.  Small buckets share cells.  A pair
+    that shares several keys leaves the cell of its first shared band only.
     """
     stray = F.col("label") != F.col("low")
     counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("all"), F.count_if(stray).alias("strays")).select(
@@ -243,13 +244,14 @@ def _across(members: DataFrame, reps: DataFrame, threshold: float, least_estimat
         .otherwise(F.xxhash64("key", "i", "j"))
     cells = as_member.select(cell.alias("cell"), "key", "id", "label", "as_stray", stray.alias("is_stray")) \
         .unionByName(as_stray.select(cell.alias("cell"), "key", "id", "label", "as_stray", stray.alias("is_stray")))
-    facts = cells.join(reps.select("id", "n", *_SKETCH), "id").repartition(tasks, "cell")
+    facts = cells.join(reps.select("id", "n", "bands", *_SKETCH), "id").repartition(tasks, "cell")
     limit = most_ones(least_estimate)
 
     def compare(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(["key", "as_stray"], kind="stable")
         key, ids, label, n, as_stray, is_stray = (g[c].to_numpy() for c in ("key", "id", "label", "n", "as_stray", "is_stray"))
         sketch = g[_SKETCH].to_numpy(np.int64).view(np.uint64)  # of signed words, numpy counts the ones of the absolute value
+        bands = np.stack(g["bands"].to_list())
         edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
         a_out, b_out = [], []
         for start, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
@@ -260,11 +262,14 @@ def _across(members: DataFrame, reps: DataFrame, threshold: float, least_estimat
                 ok &= ~is_stray[m] | (ids[s, None] < ids[m])
                 ok &= np.minimum(n[s, None], n[m]) >= threshold * np.maximum(n[s, None], n[m])
                 x, y = np.nonzero(ok)
-                for c in range(0, x.size, 1 << 16):
-                    p, q = x[c:c + (1 << 16)] + at, y[c:c + (1 << 16)] + start
+                for c in range(0, x.size, 1 << 14):
+                    p, q = x[c:c + (1 << 14)] + at, y[c:c + (1 << 14)] + start
                     near = np.bitwise_count(sketch[p] ^ sketch[q]).sum(1) <= limit
-                    a_out.append(np.minimum(ids[p[near]], ids[q[near]]))
-                    b_out.append(np.maximum(ids[p[near]], ids[q[near]]))
+                    p, q = p[near], q[near]
+                    here = bands[p, (bands[p] == bands[q]).argmax(1)] == key[p]
+                    p, q = p[here], q[here]
+                    a_out.append(np.minimum(ids[p], ids[q]))
+                    b_out.append(np.maximum(ids[p], ids[q]))
         none = [np.zeros(0, np.int64)]
         return pd.DataFrame({"a": np.concatenate(a_out or none), "b": np.concatenate(b_out or none)}).drop_duplicates()
 
@@ -272,7 +277,7 @@ def _across(members: DataFrame, reps: DataFrame, threshold: float, least_estimat
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5, id_col: str = "doc_id", text_col: str = "text",
-                    least_estimate: float = 0.66, block: int = 512) -> DataFrame:
+                    least_estimate: float = 0.68, block: int = 512) -> DataFrame:
     """id, n_shingles, component_id and kept of every row of ``docs``."""
     threshold = percent / 100
     described = stored(describe(docs, id_col, text_col, words))
