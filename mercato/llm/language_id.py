@@ -47,7 +47,7 @@ class Space:
     def letter(self, code: int) -> np.ndarray:
         if code not in self.letters:
             draw = np.random.default_rng([self.seed, code]).integers(0, 2, self.dimension)
-            self.letters[code] = (2 * draw - 1).astype(np.float32)
+            self.letters[code] = (2 * draw - 1).astype(np.int8)
         return self.letters[code]
 
     def gram(self, code: int) -> np.ndarray:
@@ -106,7 +106,7 @@ class Space:
         return counts / np.maximum(counts.sum(1, keepdims=True), 1), codes
 
     def vectors(self, codes: np.ndarray) -> np.ndarray:
-        return np.stack([self.gram(c) for c in codes.tolist()]) if codes.size else np.zeros((0, self.dimension), np.float32)
+        return np.stack([self.gram(c) for c in codes.tolist()]).astype(np.float32) if codes.size else np.zeros((0, self.dimension), np.float32)
 
     def bundles(self, texts: list[str]) -> np.ndarray:
         profiles, codes = self.profiles(texts)
