@@ -26,7 +26,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mercato.llm.common import stored
+
 CHUNK = 16.0
+#: Sources whose table (700 bytes each) is sent to every task; more are joined by a shuffle.
+MOST_BROADCAST = 10_000
 _DIGITS = 13  # hexadecimal, 52 bits: exact in a double
 
 
@@ -68,7 +72,9 @@ def rates(docs: DataFrame, weights: DataFrame, total: Column | None = None, sour
 def replicate(docs: DataFrame, weights: DataFrame, seed: int = 1, id_col: str = "doc_id", source_col: str = "source",
               total: Column | None = None) -> DataFrame:
     """The rows of ``docs`` as often as drawn, with ``copy`` (from 0) and ``shuffle_key``, in the order of that key."""
-    table = rates(docs, weights, total, source_col)
+    table = stored(rates(docs, weights, total, source_col))
+    if table.count() <= MOST_BROADCAST:
+        table = F.broadcast(table)
     joined = docs.join(table, F.col(source_col).eqNullSafe(F.col("_source")))
     drawn = joined.withColumn("_draw", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_draws") - 1))) \
         .withColumn("_u", uniform(F.lit(seed), F.col(id_col), F.col("_draw"))) \
