@@ -13,12 +13,13 @@ shingles reaches a threshold; the groups are the connected components.
    the pairs with its smallest id are tested (a star, as many pairs as rows).
    A candidate must pass the sizes, then the sketches' estimate, then the exact
    similarity of the full sets.
-4. Links found so far give components.  In buckets that still hold more than
-   one component, members outside the bucket's first component are held against
-   all members of other components: the sketches are compared inside tasks over
-   bounded blocks of the bucket, and only pairs that pass leave the task and are
-   tested.  So every pair that shares a bucket is tested or already connected,
-   without listing the pairs of a group.
+4. Links found so far give components.  Buckets that still hold more than one
+   component are merged by their smallest component, since near copies share
+   many buckets.  Members outside that component are held against all members of
+   other components: the sketches are compared inside tasks over bounded blocks,
+   and only pairs that pass leave the task and are tested.  So every pair that
+   shares a bucket is tested or already connected, without listing the pairs of a
+   group.
 
 With 40 bands of 4 samples, two documents at similarity 0.75 share no bucket
 with probability 2.5e-7.  The sketches hold 768 samples; their limit, an
@@ -226,8 +227,7 @@ def _across(members: DataFrame, reps: DataFrame, threshold: float, least_estimat
     of other components than ``low`` are *strays*; the pairs wanted are a stray
     and any member of another component.  Strays and members are cut into blocks
     of about ``block``, and a pair of blocks is a cell, so no cell is larger than
-    that however many documents share a key.  Small buckets share cells.  A pair
-    that shares several keys leaves the cell of its first shared band only.
+    that however many documents share a key.  Small buckets share cells.
     """
     stray = F.col("label") != F.col("low")
     counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("all"), F.count_if(stray).alias("strays")).select(
@@ -244,14 +244,13 @@ def _across(members: DataFrame, reps: DataFrame, threshold: float, least_estimat
         .otherwise(F.xxhash64("key", "i", "j"))
     cells = as_member.select(cell.alias("cell"), "key", "id", "label", "as_stray", stray.alias("is_stray")) \
         .unionByName(as_stray.select(cell.alias("cell"), "key", "id", "label", "as_stray", stray.alias("is_stray")))
-    facts = cells.join(reps.select("id", "n", "bands", *_SKETCH), "id").repartition(tasks, "cell")
+    facts = cells.join(reps.select("id", "n", *_SKETCH), "id").repartition(tasks, "cell")
     limit = most_ones(least_estimate)
 
     def compare(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(["key", "as_stray"], kind="stable")
         key, ids, label, n, as_stray, is_stray = (g[c].to_numpy() for c in ("key", "id", "label", "n", "as_stray", "is_stray"))
         sketch = g[_SKETCH].to_numpy(np.int64).view(np.uint64)  # of signed words, numpy counts the ones of the absolute value
-        bands = np.stack(g["bands"].to_list())
         edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
         a_out, b_out = [], []
         for start, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
@@ -266,8 +265,6 @@ def _across(members: DataFrame, reps: DataFrame, threshold: float, least_estimat
                     p, q = x[c:c + (1 << 14)] + at, y[c:c + (1 << 14)] + start
                     near = np.bitwise_count(sketch[p] ^ sketch[q]).sum(1) <= limit
                     p, q = p[near], q[near]
-                    here = bands[p, (bands[p] == bands[q]).argmax(1)] == key[p]
-                    p, q = p[here], q[here]
                     a_out.append(np.minimum(ids[p], ids[q]))
                     b_out.append(np.maximum(ids[p], ids[q]))
         none = [np.zeros(0, np.int64)]
@@ -298,7 +295,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5, id_col:
         .select("key", "id", F.coalesce("label", "id").alias("label"), "center")
     mixed = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"),
                                       F.count(F.lit(1)).alias("size")).filter("low <> high AND size > 2")
-    members = marked.filter("id <> center").join(mixed.select((F.col("key") + 0).alias("key"), "low"), "key").select("key", "id", "label", "low")
+    members = marked.filter("id <> center").join(mixed.select((F.col("key") + 0).alias("key"), "low"), "key") \
+        .select(F.col("low").alias("key"), "id", "label", "low").distinct()
     more = stored(_across(stored(members), reps, threshold, least_estimate, block).join(star, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         rest = linked(more, docs, percent, id_col, text_col, words)
