@@ -21,7 +21,9 @@ rows picks the final k.
 
 Defined results: vectors that are null, or hold a null or non-finite component,
 and rows without an id take no part; a shorter vector counts as filled up with
-zeros; rows that share a query's id are not its candidates; ties go to the
+zeros; rows that share a query's id are not its candidates; a query row that
+repeats is asked once, and rows of one id with different vectors are queries of
+their own, each with its ranks; ties go to the
 smaller id, then to nothing (equal rows are all listed as far as k goes); with
 fewer than k candidates all are returned; scores beyond a long are held at its
 bounds; other columns are ignored.
@@ -131,22 +133,22 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 2
     cells = src.withColumn("column", F.pmod(deal, F.lit(columns))) \
         .withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))) \
         .select((F.col("column") * rows + F.col("row")).alias("cell"), "id", "v")
-    asks = src.filter("is_query").withColumn("row", F.pmod(deal, F.lit(rows))) \
+    asks = src.filter("is_query").dropDuplicates(["id", "v"]).withColumn("asked", deal).withColumn("row", F.pmod(deal, F.lit(rows))) \
         .withColumn("column", F.explode(F.sequence(F.lit(0), F.lit(columns - 1)))) \
-        .select((F.col("column") * rows + F.col("row")).cast("long").alias("cell"), "id", "v")
+        .select((F.col("column") * rows + F.col("row")).cast("long").alias("cell"), "id", "v", "asked")
 
     def meet(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+        empty = pd.DataFrame({"asked": [], "query_id": [], "vec_id": [], "score": []}, dtype="int64")
         if candidates.empty or queries.empty:
             return empty
         both = to_integers([*candidates["v"], *queries["v"]], scale)
         x, q = both[:len(candidates)], both[len(candidates):]
         ids, query_ids = candidates["id"].to_numpy(), queries["id"].to_numpy()
         who, at, score = block_top(ids, x, query_ids, q, min(k, len(ids)))
-        return pd.DataFrame({"query_id": query_ids[who], "vec_id": ids[at], "score": score})
+        return pd.DataFrame({"asked": queries["asked"].to_numpy()[who], "query_id": query_ids[who], "vec_id": ids[at], "score": score})
 
     found = cells.groupBy("cell").cogroup(asks.groupBy("cell")) \
-        .applyInPandas(meet, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        .applyInPandas(meet, "asked long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("query_id", "asked").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")

@@ -12,7 +12,7 @@ def plain_top(rows, k, is_query):
     fine = [(i, [math.floor(256 * float(np.float32(c))) for c in v]) for i, v in rows
             if i is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)]
     out = []
-    for i, q in fine:
+    for i, q in {(i, tuple(v)) for i, v in fine}:
         if is_query(i):
             scored = sorted((-min(max(sum(a * b for a, b in zip(q, v)), -2 ** 63), 2 ** 63 - 1), j) for j, v in fine if j != i)
             out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scored[:k])]
