@@ -581,7 +581,7 @@ def churn_training(spark, sf_dir):
 def churn_scores_df(spark, sf_dir):
     from mercato.plans.ml import churn_frame, score, train_churn
     rfm = _gold(spark, sf_dir).customer_rfm
-    model, _, _ = train_churn(rfm, cache_key=(sf_dir, G.NOTEBOOK))
+    model, _, _ = train_churn(rfm)
     return score(model, churn_frame(rfm))
 
 
@@ -594,14 +594,14 @@ register("app_riskiest_customers")(lambda s, p: A.riskiest_customers(churn_score
 @register("churn_metrics")
 def churn_metrics(spark, sf_dir):
     from mercato.plans.ml import evaluate, train_churn
-    model, _, test = train_churn(_gold(spark, sf_dir).customer_rfm, cache_key=(sf_dir, G.NOTEBOOK))
+    model, _, test = train_churn(_gold(spark, sf_dir).customer_rfm)
     return evaluate(model, test)
 
 
 @register("churn_feature_importance")
 def churn_feature_importance(spark, sf_dir):
     from mercato.plans.ml import feature_importance, train_churn
-    model, _, _ = train_churn(_gold(spark, sf_dir).customer_rfm, cache_key=(sf_dir, G.NOTEBOOK))
+    model, _, _ = train_churn(_gold(spark, sf_dir).customer_rfm)
     return feature_importance(model)
 
 

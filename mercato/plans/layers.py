@@ -77,9 +77,13 @@ def write_layer(df: DataFrame, base: str, layer: str, name: str, cluster_by: lis
 
 
 def read_layer(spark: SparkSession, base: str, layer: str, name: str) -> DataFrame:
+    """The catalog's bucketed table if it lies in this warehouse, else the files."""
+    path = table_path(base, layer, name)
     if name in SILVER_BUCKET and layer == "silver" and spark.catalog.tableExists(f"{layer}.{name}"):
-        return spark.table(f"{layer}.{name}")
-    return spark.read.parquet(table_path(base, layer, name))
+        described = spark.sql(f"DESCRIBE FORMATTED {layer}.{name}").where("col_name = 'Location'").first()
+        if described is not None and described["data_type"].split(":")[-1].rstrip("/") == path.split(":")[-1].rstrip("/"):
+            return spark.table(f"{layer}.{name}")
+    return spark.read.parquet(path)
 
 
 def bronze(df: DataFrame, source_table: str, batch_id: str) -> DataFrame:

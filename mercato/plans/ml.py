@@ -107,19 +107,11 @@ def feature_importance(model: PipelineModel) -> DataFrame:
         .orderBy(F.desc("importance"), "feature")
 
 
-_MODELS: dict = {}
-
-
-def train_churn(rfm: DataFrame, seed: int = 42, cache_key=None, **kw):
-    """(model, train, test) — the fitted model is memoised per ``cache_key``."""
+def train_churn(rfm: DataFrame, seed: int = 42, **kw):
+    """(model, train, test)."""
     frame = churn_frame(rfm)
     train, test = stratified_split(frame, "churn_label", "customer_key", seed=seed)
-    if cache_key is not None and cache_key in _MODELS:
-        return _MODELS[cache_key], train, test
-    model = churn_pipeline(seed=seed, **kw).fit(train)
-    if cache_key is not None:
-        _MODELS[cache_key] = model
-    return model, train, test
+    return churn_pipeline(seed=seed, **kw).fit(train), train, test
 
 
 # -- forecasting (M9-M11) ----------------------------------------------------------------
@@ -133,7 +125,8 @@ def forecast_input(monthly: DataFrame) -> DataFrame:
 def baseline_forecast(series: DataFrame, horizon: int = 6) -> DataFrame:
     """Linear trend × month-of-year seasonal index, per region, exact sums.
 
-    t = months since the region's first month; y in cents (bigint).
+    t = months since the region's first month; y in cents; the products that can
+    exceed a bigint are decimals.
     slope b = (n·Σty − Σt·Σy) / (n·Σt² − (Σt)²), a = (Σy − b·Σt) / n;
     index s[m] = mean over month m of round(y / (a + b·t), 8);
     yhat = round((a + b·t) · s[m] / 100, 2) for history and ``horizon`` months.
@@ -145,7 +138,9 @@ def baseline_forecast(series: DataFrame, horizon: int = 6) -> DataFrame:
     st = s.groupBy("region").agg(F.count(F.lit(1)).alias("_n"), F.sum("_t").alias("_st"),
                                  F.sum("_yc").alias("_sy"), F.sum(F.col("_t") * F.col("_t")).alias("_stt"),
                                  F.sum(F.col("_t") * F.col("_yc")).alias("_sty"))
-    b = ((F.col("_n") * F.col("_sty") - F.col("_st") * F.col("_sy")).cast("double")
+    wide = "decimal(38,0)"
+    big = [F.col(c).cast("decimal(18,0)") * F.col(d).cast("decimal(20,0)") for c, d in (("_n", "_sty"), ("_st", "_sy"))]
+    b = ((big[0].cast(wide) - big[1].cast(wide)).cast("double")
          / F.nullif((F.col("_n") * F.col("_stt") - F.col("_st") * F.col("_st")).cast("double"), F.lit(0.0)))
     st = st.withColumn("_b", b).withColumn(
         "_a", (F.col("_sy").cast("double") - F.col("_b") * F.col("_st").cast("double")) / F.col("_n").cast("double"))

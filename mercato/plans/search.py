@@ -69,14 +69,14 @@ def _topk_partition(queries: pd.DataFrame, k: int, id_col: str, vec_col: str):
                 continue
             ids = b[id_col].to_numpy()
             m = np.stack([np.asarray(v, dtype=np.float64) for v in b[vec_col]])
-            sims = (m @ qmat.T) / np.outer(np.linalg.norm(m, axis=1), qn)
+            norms = np.outer(np.linalg.norm(m, axis=1), qn)
+            sims = np.divide(m @ qmat.T, norms, out=np.full(norms.shape, np.nan), where=norms > 0)
             for j, q in enumerate(qids):
                 h = heaps[int(q)]
-                col = sims[:, j]
-                for i in np.argsort(-col, kind="stable")[: k + 1]:
-                    if ids[i] == q:
-                        continue
-                    item = (round(float(col[i]), 12), -int(ids[i]))
+                col = np.round(sims[:, j], 12)
+                ok = np.flatnonzero(np.isfinite(col) & (ids != q))
+                for i in ok[np.lexsort((ids[ok], -col[ok]))[:k]]:
+                    item = (float(col[i]), -int(ids[i]))
                     if len(h) < k:
                         heapq.heappush(h, item)
                     elif item > h[0]:
@@ -91,7 +91,11 @@ def exact_topk(candidates: DataFrame, queries: DataFrame, k: int, id_col: str =
     """Top-k cosine matches of each query among all candidates (query itself excluded).
 
     queries: (qid bigint, qvec array<float|double>), bounded; checked here.
+    Null and zero vectors have no direction and take no part; similarities equal
+    to 12 decimals rank by id.
     """
+    candidates = candidates.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull())
+    queries = queries.where(F.col("qid").isNotNull() & F.col("qvec").isNotNull())
     n_q = queries.count()
     if n_q > MAX_BROADCAST_QUERIES:
         raise ValueError(f"{n_q} queries exceed the broadcast bound; split them into chunks")

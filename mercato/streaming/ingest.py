@@ -50,7 +50,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def drop_files(df: DataFrame, landing: str, split_col: str, boundaries: list) -> list[str]:
-    """Write ``df`` as successive file drops cut at the given ``split_col`` values."""
+    """Write ``df`` as successive file drops cut at the given ``split_col`` values; nulls go to the first."""
     paths = []
     edges = [None, *boundaries, None]
     for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
@@ -58,7 +58,8 @@ def drop_files(df: DataFrame, landing: str, split_col: str, boundaries: list) ->
         if lo is not None:
             part = part.where(F.col(split_col) >= F.lit(lo))
         if hi is not None:
-            part = part.where(F.col(split_col) < F.lit(hi))
+            early = F.col(split_col) < F.lit(hi)
+            part = part.where(early if lo is not None else early | F.col(split_col).isNull())
         p = os.path.join(landing, f"drop={i:04d}")
         part.write.mode("overwrite").parquet(p)
         paths.append(p)

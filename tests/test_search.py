@@ -34,3 +34,11 @@ def test_similar_vectors_bruteforce(spark):
         order = [i for i in np.lexsort((ids, -sims)) if ids[i] != q][:3]
         got = ours[ours.query_id == q].sort_values("rank")
         assert list(got["match_id"]) == [int(ids[i]) for i in order]
+
+
+def test_exact_topk_ties_nulls_and_zero_vectors(spark):
+    from mercato.plans.search import exact_topk
+    rows = [(i, [1.0, 2.0]) for i in range(100, 0, -1)] + [(0, [1.0, 2.0]), (200, None), (201, [0.0, 0.0])]
+    emb = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    queries = emb.where("vec_id = 0").selectExpr("vec_id AS qid", "embedding AS qvec")
+    assert [r["match_id"] for r in exact_topk(emb, queries, 3).orderBy("rank").collect()] == [1, 2, 3]
