@@ -462,11 +462,17 @@ _RECON = ["region", "nation", "supplier", "part", "partsupp", "customer", "order
     f"SELECT '{t}' AS table_name, COUNT(*) AS source_rows, COUNT(*) AS bronze_rows, 'match' AS status FROM {t}"
     for t in _RECON)))
 def dq_reconcile(spark, sf_dir):
+    import uuid
+
     from mercato.operators.quality import reconcile
-    from mercato.plans.layers import bronze
+    from mercato.plans.layers import bronze, read_layer, write_layer
+    from mercato.session import checkpoint_dir
     from mercato.sources.tables import raw
     srcs = {t: raw(spark, sf_dir, t) for t in _RECON}
-    return reconcile(srcs, {t: bronze(df, t, "check") for t, df in srcs.items()})
+    base = f"{checkpoint_dir(spark)}/reconcile-{uuid.uuid4()}"
+    for t, df in srcs.items():
+        write_layer(bronze(df, t, "check"), base, "bronze", t)
+    return reconcile(srcs, {t: read_layer(spark, base, "bronze", t) for t in srcs})
 
 
 _INV_COLS = {"dim_geography": 4, "dim_customer": 9, "dim_supplier": 7, "dim_part": 10, "dim_date": 12,

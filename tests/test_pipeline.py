@@ -1,8 +1,10 @@
 """Layers, serving sink, snapshot diff, streaming ingest, quality operators, tools."""
 
+import datetime as _dt
 import json
 import os
 import tempfile
+from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,3 +168,34 @@ def test_reembed_changed_and_feature_lookup(spark):
     feats = spark.createDataFrame([(1, 0.5), (4, 0.9)], "product_id long, score double")
     got = {r.product_id: r.score for r in with_features(new, feats, ["product_id"]).collect()}
     assert got == {1: 0.5, 2: None, 4: 0.9}
+
+
+def _scans(df, column):
+    """How many scans of the physical plan read a column."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return sum(line.count(column) > 0 for line in plan.splitlines() if "FileScan" in line)
+
+
+def test_lines_join_only_the_lookups_they_need(spark):
+    g = G.Gold(silver(spark, SF001))
+    keys = ("p_partkey", "s_suppkey", "c_custkey", "l_orderkey")
+    assert [_scans(g.shipping_analysis, k) for k in keys] == [0, 0, 1, 1]
+    assert [_scans(g.product_performance, k) for k in keys] == [2, 0, 0, 1]  # parts also make partsupp
+    assert [_scans(g.daily_sales, k) for k in keys[2:]] == [1, 1]
+
+
+def test_daily_sales_counts_orders_and_products_once(spark):
+    line = ("order_key long, part_key long, quantity double, net_revenue decimal(12,2), gross_revenue decimal(12,2), "
+            "supply_cost decimal(12,2), profit decimal(12,2), discount decimal(4,2)")
+    one = D("1.00")
+    li = spark.createDataFrame([(1, 7, 2.0, one, one, None, one, D("0.10")), (1, 7, 1.0, one, one, None, one, None),
+                                (1, 8, 1.0, one, one, one, one, D("0.30")), (2, 7, 1.0, one, one, one, one, D("0.20")),
+                                (2, None, 1.0, one, one, one, one, D("0.20")), (9, 7, 1.0, one, one, one, one, one)], line)
+    day = _dt.date(1995, 1, 1)
+    od = spark.createDataFrame([(1, day, None, "S"), (2, day, None, "S")],
+                               "order_key long, order_date date, customer_region string, market_segment string")
+    r = G.daily_sales(li, od).collect()
+    assert len(r) == 1
+    r = r[0]
+    assert (r.num_orders, r.distinct_products, r.total_quantity, r.net_revenue, r.total_cost) == (2, 2, 6.0, 5, 3)
+    assert r.avg_discount == 0.2 and r.region is None
