@@ -1,19 +1,18 @@
 """Document fingerprints by consistent weighted sampling.
 
 A text's terms are its pairs of neighbouring words, each weighted by how often
-it occurs.  A term ``k`` of weight ``w`` draws, from hashes of ``k`` alone,
-``r`` and ``c`` from Gamma(2, 1) and ``b`` from [0, 1); then
-
-    t = floor(ln w / r + b),   ln a = ln c - r (t - b + 1).
-
-The term with the smallest ``a`` is the sample, identified by (k, t), and two
-texts have the same sample with a probability equal to the generalised Jaccard
-similarity of their weights.  To draw only once per term, terms are dealt into
-``bins`` by a further hash and each bin keeps its own sample; the similarity is
-the share of equal samples among the bins that either text fills.
-
-A sample's ``ln a`` and its identity are packed into one long, so the smallest
-``a`` of a bin is a plain minimum, and everything runs in grouped aggregations.
+it occurs.  Weights are whole numbers, so a term ``k`` of weight ``w`` stands for
+the elements (k, 1) .. (k, w), and a consistent weighted sample is the element
+with the smallest hash: it is uniform over the weight, and a text that holds
+the element keeps it whatever else it holds.  Each of ``SAMPLES`` hash functions
+draws from all elements, so two texts have the same sample with a probability
+equal to the generalised Jaccard similarity of their weights, even or not; the
+similarity is the share of equal samples.  The elements are as many as the
+text's pairs.
+
+A hash is one to one, so the smallest value is the sample's identity and a plain
+minimum; everything runs in grouped aggregations.  Elements that a text shares
+with its edited form are drawn from once for both.
 
 Each document is also compared with an *edited* text and with the next document
 by id.  Documents are dealt by range of the id into many small buckets, each
@@ -29,13 +28,16 @@ successor; other columns are ignored.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.common import stored
 
-BINS = 64  # a multiple of 4
-_UNIT = float(1 << 52)
+SAMPLES = 64
+#: So many are drawn side by side: with more, the generated methods grow too large for the JVM to compile.
+SIDE = 32  # a multiple of 4
+_SALT = np.random.default_rng(20240902).integers(-(1 << 63), (1 << 63) - 1, SIDE, dtype=np.int64).tolist()
 
 
 # ------------------------------------------------------------ order of the ids
@@ -91,37 +93,34 @@ def _terms(text: Column) -> Column:
     return F.slice(F.arrays_zip(words.alias("p"), F.slice(words, F.lit(2), count).alias("q")), F.lit(1), count)
 
 
-def _unit(term: Column, which: int) -> Column:
-    """A number in (0, 1) hashed from a term."""
-    return (F.shiftrightunsigned(F.xxhash64(term, F.lit(which)), 12).cast("double") + 0.5) / _UNIT
+def _draw(elements: DataFrame, key: list[str]) -> DataFrame:
+    """key, own and other: the marks of both texts' samples, 16 bits each, as arrays of longs, zeros without samples.
 
+    ``elements``: key, part and e; part 0 is in both texts, 1 in the first, 2 in the second, 3 in none.
+    """
+    turns = range(SAMPLES // SIDE)
+    dealt = elements.withColumn("turn", F.explode(F.array(*map(F.lit, turns)))).select(*key, "part", "turn", F.xxhash64("e", "turn").alias("e"))
+    parts = dealt.groupBy(*key, "turn", "part").agg(*[F.expr(f"min(xxhash64(e ^ {x}L)) AS m{k}") for k, x in enumerate(_SALT)])
+    samples = parts.groupBy(*key, "turn").agg(*[F.expr(f"min(CASE WHEN part IN (0, {p}) THEN m{k} END) AS {name}{k}")
+                                                for name, p in (("own", 1), ("other", 2)) for k in range(SIDE)])
 
-def _sample(term: Column, weight: Column) -> Column:
-    """A term's ln a over its identity, as one long; null without weight."""
-    r, b = -F.ln(_unit(term, 1) * _unit(term, 2)), _unit(term, 5)
-    ln_c = F.ln(-F.ln(_unit(term, 3) * _unit(term, 4)))
-    t = F.floor(F.ln(weight.cast("double")) / r + b)
-    ln_a = ln_c - r * (t - b + 1)
-    # ln a lies between -200 and 50; 2**23 steps to 1
-    high = F.floor((F.greatest(F.least(ln_a, F.lit(50.0)), F.lit(-200.0)) + 200) * float(1 << 23)).cast("long")
-    return F.when(weight > 0, F.shiftleft(high, 31).bitwiseOR(F.shiftrightunsigned(F.xxhash64(term, t, F.lit(6)), 33)))
-
+    def lanes(name: str, q: int) -> str:
+        return " | ".join(f"shiftleft(pmod(xxhash64({name}{4 * q + i}), 65535L) + 1, {16 * i})" for i in range(4))
 
-def _marks(sample: str) -> Column:
-    """Aggregate: the bins of a text, 16 bits each and zero where empty, as an array of longs."""
-    mark = F.pmod(F.xxhash64(sample), F.lit(65535)) + 1
-    placed = F.when(F.col(sample).isNotNull(), F.call_function("shiftleft", mark, ((F.col("bin") % 4) * 16).cast("int")))
-    return F.array(*[F.coalesce(F.bit_or(F.when(F.floor(F.col("bin") / 4) == q, placed)), F.lit(0).cast("long"))
-                     for q in range(BINS // 4)])
+    marks = samples.select(*key, "turn", *[F.expr(f"CASE WHEN {name}0 IS NULL THEN 0L ELSE {lanes(name, q)} END AS {name}_{q}")
+                                           for name in ("own", "other") for q in range(SIDE // 4)])
+    return marks.groupBy(*key).agg(*[
+        F.expr("array(" + ", ".join(f"max(CASE WHEN turn = {t} THEN {name}_{q} END)" for t in turns for q in range(SIDE // 4)) + f") AS {name}")
+        for name in ("own", "other")])
 
 
 def _hex(marks: str) -> Column:
-    """Marks as a string, four digits a bin."""
+    """Marks as a string, four digits a sample."""
     return F.array_join(F.transform(marks, lambda m: F.lpad(F.lower(F.hex(m)), 16, "0")), "")
 
 
 def _likeness(a: str, b: str) -> Column:
-    """Equal samples among the bins that are filled in either; 1 if none is."""
+    """The share of equal samples; 1 if neither text has any."""
     def lanes(x: Column) -> list[Column]:
         return [F.shiftrightunsigned(x, 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in range(4)]
 
@@ -156,10 +155,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select(*key, F.col("x.v").alias("v"), F.explode_outer(_terms(F.col("x.t"))).alias("p")) \
         .select(*key, "v", F.when(F.col("p").isNotNull(), F.xxhash64(F.col("p.p"), F.col("p.q"))).alias("term"))
     weighted = terms.groupBy(*key, "term").agg(F.count_if(F.col("v") == 0).alias("w0"), F.count_if(F.col("v") == 1).alias("w1"))
-    drawn = weighted.select(*key, F.pmod(F.xxhash64("term", F.lit(7)), F.lit(BINS)).alias("bin"),
-                            *[F.when(F.col("term").isNotNull(), _sample(F.col("term"), F.col(w))).alias(s) for w, s in (("w0", "s0"), ("w1", "s1"))])
-    marks = drawn.groupBy(*key, "bin").agg(F.min("s0").alias("s0"), F.min("s1").alias("s1")) \
-        .groupBy(*key).agg(_marks("s0").alias("own"), _marks("s1").alias("other"))
+    # elements up to the smaller weight are in both texts, those above in one; a text without words has none
+    both = F.least("w0", "w1")
+    elements = weighted.select(*key, "term", "w0", both.alias("both"), F.explode(F.sequence(F.lit(1).cast("long"), F.greatest("w0", "w1"))).alias("i")) \
+        .select(*key, F.when(F.col("term").isNull(), 3).when(F.col("i") <= F.col("both"), 0).when(F.col("i") <= F.col("w0"), 1).otherwise(2).alias("part"),
+                F.xxhash64("term", "i").alias("e"))
+    marks = _draw(elements, key)
     in_order = Window.partitionBy("bucket").orderBy("at")
     judged = marks.withColumn("next", F.lead("own").over(in_order)).select(
         *key, _hex("own").alias("fingerprint"), _hex("other").alias("edited_fingerprint"),
