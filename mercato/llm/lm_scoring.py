@@ -5,17 +5,27 @@ they differ only in the texts counted: the target's documents, and all of them.
 A document's score is the mean over its tokens of the target's loss less the
 background's: the lower, the more it is like the target.
 
-The vocabulary is the most frequent lower-cased characters of the whole corpus
-and one token for all others.  Counts are taken over whole texts of all
-documents: each task sums its own and emits the 4-grams it met, Spark adds
-these up.  Their number is bounded by ``size ** 4`` whatever the corpus, so the
-models fit the driver, and tasks get two tables of losses (``size ** 4`` single
-precision numbers each, 21 MB at 48).  Probabilities are smoothed by
-interpolation with the shorter contexts: a context gives its lower order as much
-weight as it has different continuations.
+The vocabulary is all lower-cased characters of the corpus, and counts are taken
+over whole texts of all documents (``score_corpus``):
+
+1. One pass cuts the documents into blocks of about ``block_bytes`` of text, kept
+   compressed, and each block's distinct 4-grams are counted.
+2. 4-grams, contexts and all shorter orders are tables that grow with the corpus;
+   joins of them give every 4-gram's two losses.  Probabilities are smoothed by
+   interpolation with the shorter contexts: a context gives its lower order as
+   much weight as it has different continuations; below that all characters of
+   the corpus are alike.
+3. Each block's distinct 4-grams are joined with their losses and go back to
+   their block, where texts are scored.  A 4-gram has one row a block however
+   often it occurs, and the driver gets three numbers.
+
+``learn`` and ``score`` are the same models over a vocabulary of fixed ``size``:
+the most frequent characters and one token for all others, with two tables of
+``size ** 4`` losses in memory.
 
 Defined results: a null text counts as empty; an empty text has no tokens and
-losses and score 0; without target documents the target model is uniform;
+losses and score 0; without target documents the target model is uniform over the
+vocabulary;
 repeated rows count and are scored each on their own; target ids that are null
 or not in the corpus do nothing; other columns are ignored.
 """
@@ -26,11 +36,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import slices, stored, texts_of
+from mercato.llm.common import shuffle_partitions, slices, stored, texts_of
 
 ORDER = 4
 
@@ -153,3 +164,161 @@ def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str
 
     return src.mapInArrow(run, f"_id {id_type}, n_tokens long, target_loss double, background_loss double, score double") \
         .withColumnRenamed("_id", id_col)
+
+
+# ------------------------------------------------- all characters of the corpus
+
+_CHAR = 21  # bits of a code point, which is shifted by one: 0 stands before a text's beginning
+
+
+def _tokens(blob: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Context (three characters) and last character of every token of a block's joined texts."""
+    codes = np.frombuffer(blob, np.uint32)
+    x = np.zeros(codes.size + lengths.size * (ORDER - 1), np.int64)
+    at = np.arange(codes.size) + np.repeat(np.arange(1, lengths.size + 1) * (ORDER - 1), lengths)
+    x[at] = codes.astype(np.int64) + 1
+    context = (x[at - 3] << 2 * _CHAR) | (x[at - 2] << _CHAR) | x[at - 1]
+    return context, x[at]
+
+
+def _distinct(blob: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A block's distinct 4-grams, in a fixed order: context, character and code; and every token's code."""
+    context, char = _tokens(blob, lengths)
+    symbols = np.unique(np.concatenate((char, np.zeros(1, np.int64))))
+    n = symbols.size
+    if n < 1 << 15:  # the code is the 4-gram to the base n
+        place = np.zeros(int(symbols[-1]) + 1, np.int64)
+        place[symbols] = np.arange(n)
+        mask = (1 << _CHAR) - 1
+        code = ((place[context >> 2 * _CHAR] * n + place[(context >> _CHAR) & mask]) * n + place[context & mask]) * n + place[char]
+        seen = np.sort(code)
+        seen = seen[np.concatenate((np.ones(min(1, seen.size), bool), seen[1:] != seen[:-1]))]
+        return (symbols[seen // n ** 3] << 2 * _CHAR) | (symbols[seen // n ** 2 % n] << _CHAR) | symbols[seen // n % n], symbols[seen % n], seen, code
+    contexts, rank = np.unique(context, return_inverse=True)
+    code = (rank << _CHAR) | char
+    seen = np.unique(code)
+    return contexts[seen >> _CHAR], seen & ((1 << _CHAR) - 1), seen, code
+
+
+def _blocks(src: DataFrame, id_type: str, block_bytes: int) -> DataFrame:
+    """Rows of _id, _text and _in as blocks: a number, the ids, the texts' lengths, who is in the target, the joined texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        block = TaskContext.get().partitionId() << 32
+        held, size = [], 0
+
+        def emit():
+            ids = pa.concat_arrays([p.column(0) for p in held])
+            texts = [t.lower() for p in held for t in texts_of(p, "_text")]
+            blob = "".join(texts).encode("utf-32-le", "surrogatepass")
+            inside = [v for p in held for v in p.column(2).to_pylist()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                 pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([inside], pa.list_(pa.bool_())),
+                 pa.array([len(blob)], pa.int64()), pa.array([pa.compress(blob, "zstd", asbytes=True)], pa.binary())],
+                names=["block", "ids", "lengths", "inside", "size", "blob"])
+
+        for part in slices(batches, "_text", block_bytes):
+            held.append(part)
+            size += part.nbytes
+            if size >= block_bytes:
+                yield emit()
+                held, size, block = [], 0, block + 1
+        if held:
+            yield emit()
+
+    return src.mapInArrow(run, f"block long, ids array<{id_type}>, lengths array<long>, inside array<boolean>, size long, blob binary")
+
+
+def _text_of(row: dict) -> tuple[bytes, np.ndarray]:
+    return pa.decompress(row["blob"], decompressed_size=row["size"], codec="zstd", asbytes=True) if row["size"] else b"", \
+        np.array(row["lengths"], np.int64)
+
+
+def _block_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each block's distinct 4-grams, numbered in their order, with counts in all documents and in the target's."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            blob, lengths = _text_of(row)
+            context, char, seen, code = _distinct(blob, lengths)
+            inside = code[np.repeat(np.array(row["inside"], bool), lengths)]
+            n = [np.searchsorted(x, seen, "right") - np.searchsorted(x, seen) for x in (np.sort(code), np.sort(inside))]
+            for a in range(0, seen.size, 50_000):
+                s = slice(a, a + 50_000)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(seen[s].size, row["block"])), pa.array(np.arange(a, a + seen[s].size)), pa.array(context[s]),
+                     pa.array(char[s]), pa.array(n[0][s]), pa.array(n[1][s])],
+                    names=["block", "at", "context", "char", "background", "target"])
+
+
+def gram_losses(counted: DataFrame) -> DataFrame:
+    """context, char and the target's and the background's loss of every 4-gram, from its counts.
+
+    Every order is a table; each is joined with its contexts and the order below.
+    """
+    both = ("background", "target")
+    by_order = {ORDER: counted}
+    for order in range(ORDER - 1, 0, -1):
+        shorter = F.col("context").bitwiseAND(F.lit((1 << _CHAR * (order - 1)) - 1))
+        by_order[order] = stored(by_order[order + 1].select(shorter.alias("context"), "char", *both)
+                                 .groupBy("context", "char").agg(*[F.sum(c).alias(c) for c in both]))
+    whole = by_order[1].agg(F.count(F.lit(1)).alias("kinds"), *[F.sum(c).alias(c) for c in both],
+                            F.count_if(F.col("target") > 0).alias("some")).first()
+    uniform = F.lit(1.0 / max(whole["kinds"], 1))
+
+    def smoothed(n, all_, kinds, low):
+        return F.when(all_ > 0, (n + kinds * low) / (all_ + kinds)).otherwise(low)
+
+    p = by_order[1].select("context", "char", *[
+        smoothed(F.col(c), F.lit(whole[c] or 0), F.lit(k), uniform).alias(f"p_{c}") for c, k in zip(both, (whole["kinds"], whole["some"]), strict=True)])
+    for order in range(2, ORDER + 1):
+        grams_ = by_order[order]
+        # `+ 0`: the joins deal these sides out anew, so that a frequent context's rows can be split
+        contexts = grams_.groupBy("context").agg(*[F.sum(c).alias(f"all_{c}") for c in both],
+                                                 *[F.count_if(F.col(c) > 0).alias(f"kinds_{c}") for c in both]) \
+            .withColumn("context", F.col("context") + 0)
+        shorter = F.col("context").bitwiseAND(F.lit((1 << _CHAR * (order - 2)) - 1))
+        lower = p.select(F.col("context").alias("shorter"), (F.col("char") + 0).alias("char"), *[f"p_{c}" for c in both])
+        p = stored(grams_.join(contexts, "context").withColumn("shorter", shorter).join(lower, ["shorter", "char"]).select(
+            "context", "char", *[smoothed(F.col(c), F.col(f"all_{c}"), F.col(f"kinds_{c}"), F.col(f"p_{c}")).alias(f"p_{c}") for c in both]))
+    return p.select("context", "char", (-F.ln("p_target")).alias("target_loss"), (-F.ln("p_background")).alias("background_loss"))
+
+
+def score_corpus(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 block_bytes: int = 2 << 20) -> DataFrame:
+    """The id, n_tokens, target_loss, background_loss and score of every row, by models over all characters of ``docs``."""
+    wanted = target_ids.select(F.col(id_col).alias("_target")).filter("_target IS NOT NULL").distinct()
+    src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")) \
+        .join(wanted, F.col("_id") == F.col("_target"), "left") \
+        .select("_id", "_text", F.col("_target").isNotNull().alias("_in"))
+    id_type = src.schema["_id"].dataType.simpleString()
+    blocks = stored(_blocks(src, id_type, block_bytes))
+    grams_ = blocks.mapInArrow(_block_grams, "block long, at long, context long, char long, background long, target long")
+    counted = stored(grams_.groupBy("context", "char").agg(F.sum("background").alias("background"), F.sum("target").alias("target")))
+    table = gram_losses(counted)
+    answers = grams_.select("block", "at", "context", "char").join(table.withColumn("char", F.col("char") + 0), ["context", "char"]) \
+        .select("block", "at", "target_loss", "background_loss")
+    out = f"_id {id_type}, n_tokens long, target_loss double, background_loss double, score double"
+
+    def judge(texts: pa.Table, losses_: pa.Table) -> pa.Table:
+        parts = []
+        order = np.argsort(losses_.column("at").to_numpy())
+        tables = [losses_.column(c).to_numpy()[order] for c in ("target_loss", "background_loss")]
+        for row in texts.select(["lengths", "size", "blob"]).to_pylist():
+            blob, lengths = _text_of(row)
+            _, _, seen, code = _distinct(blob, lengths)
+            at = pd.Index(seen).get_indexer(code)
+            ends = np.cumsum(lengths)
+            means = []
+            for table_ in tables:
+                sums = np.concatenate(([0.0], np.cumsum(table_[at], dtype=np.float64)))
+                means.append((sums[ends] - sums[ends - lengths]) / np.maximum(lengths, 1))
+            parts.append((lengths, *means, means[0] - means[1]))
+        ids = texts.column("ids").combine_chunks().flatten()
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+        return pa.Table.from_arrays([ids, *map(pa.array, columns)], names=["_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    tasks = shuffle_partitions(docs.sparkSession)
+    return blocks.select("block", "ids", "lengths", "size", "blob").repartition(tasks, "block").groupBy("block") \
+        .cogroup(answers.repartition(tasks, "block").groupBy("block")).applyInArrow(judge, out).withColumnRenamed("_id", id_col)

@@ -41,7 +41,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target is the documents labelled as of good quality."""
     docs = table(spark, sf_dir, "documents")
-    return lm_scoring.score(docs, lm_scoring.learn(docs, table(spark, sf_dir, "labels").filter("quality = 1")))
+    return lm_scoring.score_corpus(docs, table(spark, sf_dir, "labels").filter("quality = 1"))
 
 
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,6 +112,46 @@ def test_language_model_edges(spark):
     assert lm_scoring.score(docs.limit(0), empty).count() == 0
 
 
+def plain_models_over(texts, targets, size):
+    """As plain_models, but of all characters; ``size`` is only their number."""
+    names = sorted({c for t in texts for c in t.lower()})
+    number = {c: i + 1 for i, c in enumerate(names)}
+    tokens = [[0, 0, 0, *[number[c] for c in t.lower()]] for t in texts]
+
+    def model(some):
+        n, whole, kinds = Counter(tuple(x[i - k:i + 1]) for x in some for i in range(3, len(x)) for k in range(4)), Counter(), Counter()
+        for g, c in n.items():
+            whole[g[:-1]] += c
+            kinds[g[:-1]] += 1
+
+        def p(h, c):
+            low = p(h[1:], c) if h else 1 / size
+            return (n[(*h, c)] + kinds[h] * low) / (whole[h] + kinds[h]) if whole[h] else low
+        return lambda x: sum(-math.log(p(tuple(x[i - 3:i]), x[i])) for i in range(3, len(x))) / max(len(x) - 3, 1)
+
+    a, b = model([x for x, t in zip(tokens, targets, strict=True) if t]), model(tokens)
+    return [(len(x) - 3, a(x), b(x)) for x in tokens]
+
+
+def test_losses_over_all_characters(spark):
+    letters = "abcdeé A日本Ж😀" + "".join(chr(0x4E00 + k) for k in range(80))
+    texts = [(i, "".join(random.Random(i).choice(letters) for _ in range(20 + 9 * i))) for i in range(12)] + [(20, ""), (21, None), (5, "日本"), (None, "ЖЖ")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    for wanted in ([0, 2, 2, None, 99], []):
+        ids = spark.createDataFrame([(i,) for i in wanted], "doc_id long")
+        size = len({c for _, t in texts for c in (t or "").lower()})
+        expected = plain_models_over([t or "" for _, t in texts], [i in wanted and i is not None for i, _ in texts], size)
+        for block_bytes in (2 << 20, 500):
+            got = lm_scoring.score_corpus(docs, ids, block_bytes=block_bytes).collect()
+            want = sorted((str(i), n, round(a, 6), round(b, 6), round(a - b, 6)) for (i, _), (n, a, b) in zip(texts, expected, strict=True))
+            have = sorted((str(r["doc_id"]), r["n_tokens"], round(r["target_loss"], 6), round(r["background_loss"], 6), round(r["score"], 6)) for r in got)
+            assert [h[:2] for h in have] == [w[:2] for w in want]
+            assert [x for h in have for x in h[2:]] == pytest.approx([x for w in want for x in w[2:]], abs=2e-6)
+    # documents in a script of rare characters are told apart
+    assert len({r["background_loss"] for r in got if r["n_tokens"]}) == sum(1 for _, t in texts if t)
+    assert lm_scoring.score_corpus(docs.limit(0), ids).count() == 0
+
+
 # --------------------------------------------------------------- fingerprints
 
 def terms(t):
