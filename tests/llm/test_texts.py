@@ -1,6 +1,7 @@
 """Token counts, language-model scores, fingerprints and near duplicates against plain versions."""
 
 import hashlib
+import inspect
 import math
 import random
 import re
@@ -274,6 +275,16 @@ def test_near_duplicate_edges(spark):
     assert near_dedup.keep_one(odd(spark).limit(0)).count() == 0
 
 
+def test_sketch_limit_leaves_room_for_both_noises():
+    """Ones between the sketches of pairs at similarity 0.75: samples differ at random and their bits fall at random."""
+    rng, pairs = np.random.default_rng(4), 20_000
+    ones = np.empty(pairs)
+    for k, differing in enumerate(rng.binomial(near_dedup.SAMPLES, 0.25, pairs)):
+        ones[k] = (np.bincount(rng.integers(0, near_dedup.SKETCH_BITS, 2 * differing), minlength=near_dedup.SKETCH_BITS) & 1).sum()
+    least = inspect.signature(near_dedup.near_duplicates).parameters["least_estimate"].default
+    assert (near_dedup.most_ones(least) - ones.mean()) / ones.std() > 5
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(200)] + [(rng.randint(300, 400), rng.randint(300, 400)) for _ in range(60)] + [(500, 500 + i) for i in range(1, 90)]
