@@ -27,6 +27,12 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of an operator's own intermediate table."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm import (
-    fingerprint, language_id, lm_scoring, mixing, near_dedup, packing, quality, token_counts, topk, url_filter,
+    collocations, fingerprint, hard_negatives, language_id, lm_scoring, mixing, near_dedup, packing, quality, sentence_pieces, token_counts, topk,
+    url_filter,
 )
 from mercato.llm.common import crc_of_id, table
 
@@ -78,6 +79,24 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(docs, mixing.tempered(docs, MIX_POWER))
 
 
+def op11_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh id carries the next label, so that near vectors of other labels exist."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    coded = sentence_pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "agrees")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -89,6 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_source_mixing": op10_source_mixing,
+    "op11_collocation_mining": op11_collocation_mining,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_sentence_pieces": op13_sentence_pieces,
 }
 
 ORACLE: dict[str, str] = {}
@@ -150,3 +172,57 @@ SELECT doc_id, text, lang, source, n_chars, draw * 86 + i AS copy,
        md5('place|1|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || CAST(draw * 86 + i AS VARCHAR)) AS shuffle_key
 FROM (SELECT *, unnest(range(0, copies)) AS i FROM counted)
 """
+
+ORACLE["op11_collocation_mining"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+spans AS (SELECT lang, w, i, unnest(range(1, 6)) AS m FROM starts),
+f AS (
+  SELECT lang, list_slice(w, i, i + m - 1) AS p, m, count(*) AS f
+  FROM spans WHERE i + m - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (SELECT lang, p, m, f AS a, unnest(range(1, m)) AS k FROM f WHERE m >= 2),
+scored AS (
+  SELECT c.lang, c.p, c.m, a, k, x.f AS l, y.f AS r, n,
+         CAST((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN n USING (lang)
+  JOIN f x ON x.lang = c.lang AND x.p = list_slice(c.p, 1, k)
+  JOIN f y ON y.lang = c.lang AND y.p = list_slice(c.p, k + 1, c.m)),
+low AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inner_of AS (
+  SELECT DISTINCT lang, list_slice(p, i, i + q - 1) AS p, f
+  FROM (SELECT lang, p, m, f, q, unnest(range(1, m - q + 2)) AS i
+        FROM (SELECT lang, p, m, f, unnest(range(2, m)) AS q FROM f WHERE m >= 3))),
+gone AS (SELECT DISTINCT l.lang, l.p FROM low l JOIN inner_of o ON o.lang = l.lang AND o.p = l.p AND 100 * o.f >= 100 * l.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+       array_to_string(p, ' ') AS phrase, a, l, r, n, score
+FROM low ANTI JOIN gone USING (lang, p)
+QUALIFY rank <= 2000
+"""
+
+ORACLE["op12_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS anchor_id, c.vec_id AS vec_id, q.label = c.label AS same,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
