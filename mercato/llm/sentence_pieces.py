@@ -4,7 +4,8 @@ A normalised text is a row of symbols, at first its characters.  An *agenda*
 holds every pair of adjacent symbols whose strings together are a piece, in the
 order of the pieces' scores and then from left to right.  The best pair becomes
 one symbol, its new neighbour pairs enter the agenda, and entries whose symbols
-have changed are passed over.  What is left when the agenda is empty are the
+have changed are passed over.  The agenda of a long run is a heap; those
+of short runs are the rows of an array, and many advance by one merge at a time.  What is left when the agenda is empty are the
 pieces; a symbol that is no piece becomes its UTF-8 bytes (or the unknown id).
 
 No merge can join two characters that are never neighbours inside a piece.
@@ -18,7 +19,7 @@ result of the comparison is the column ``agrees``.
 
 A task holds a megabyte of texts (a text is never cut: at least one whole text),
 an agenda of about 100 bytes for each character of the longest run, and at most
-a quarter of a million short runs with their ids.
+half a million short runs with their ids.
 
 Defined results: a null text counts as empty; an empty text gives the begin and
 end ids alone; ties between pieces of one score go to the left; repeated rows are
@@ -31,6 +32,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -45,8 +48,10 @@ _SPACE = "▁"  # stands for a space in pieces
 _RUN = re.compile(f"{_SPACE}*[^{_SPACE}]+|{_SPACE}+")
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6  # fixed values of the file format
 _MERGE_TYPE = 2
-_SHORT = 48        # longer runs are cut further and not remembered
-_REMEMBERED = 1 << 18
+_SHORT = 32        # longer runs are cut further and not remembered
+_SPREAD = np.int64(0x1E3779B97F4A7C15)
+_REMEMBERED = 1 << 19
+assert array("I").itemsize == 4 and sys.byteorder == "little"  # ids are kept as such bytes
 _PLACE = 40        # bits of an agenda entry that hold the position
 
 
@@ -80,22 +85,101 @@ class PieceModel:
         scores = sorted({proto.pieces[i].score for i in self.pieces.values()}, reverse=True)
         rank = {s: r for r, s in enumerate(scores)}
         self.pairs: dict[int, tuple[int, int]] = {}
+        self.no_merge = len(scores)  # ranks after all others
         for piece, i in self.pieces.items():
             for at in range(1, len(piece)):
                 left, right = self.symbol.get(piece[:at]), self.symbol.get(piece[at:])
                 if left is not None and right is not None:
                     self.pairs[left << 32 | right] = (rank[proto.pieces[i].score], i)
+        self._tabulate()
         self.neighbours = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
         self.cuts_at_space = not any(b == _SPACE != a for a, b in self.neighbours)
 
         self.byte_ids = {int(names[i][3:5], 16): i for i, k in enumerate(kinds) if k == _BYTE}
         self.byte_of = {i: b for b, i in self.byte_ids.items()}
+        # the symbol of every character: its piece, or the byte that spells it, or -1
+        self.letter = np.full(sys.maxunicode + 1, -1, np.int32)
+        if self.falls_back:
+            self.letter[[b for b in self.byte_ids if b < 128]] = [i for b, i in self.byte_ids.items() if b < 128]
+        for c, i in self.symbol.items():
+            if len(c) == 1:
+                self.letter[ord(c)] = i
+        plain = "".join(re.escape(chr(c)) for c in np.flatnonzero((self.letter >= 0) & (self.letter < self.n_ids)).tolist())
+        self.odd = re.compile(f"[^{plain}]")  # characters that are neither a piece nor one byte
         self.surface = {i: p for p, i in self.pieces.items()}
         self.unknown_surface = proto.trainer_spec.unk_surface
         self.known: dict[str, bytes] = {}
+        # what an id reads as on its own; bytes beyond 127 and the unknown id need their neighbours
+        self.plain = np.array([self.surface.get(i, "") for i in range(len(names))], object)
+        self.plain[[i for i, b in self.byte_of.items() if b < 128]] = [chr(b) for b in self.byte_of.values() if b < 128]
+        self.alone = np.ones(len(names), bool)
+        self.alone[[self.unknown, *(i for i, b in self.byte_of.items() if b >= 128)]] = False
 
     # ------------------------------------------------------------ encoding
 
+    def _tabulate(self) -> None:
+        """The pairs as an open hash table of arrays, to look up many at a time."""
+        size = 1 << (4 * len(self.pairs) + 16).bit_length()
+        self.table_key = np.full(size, -1, np.int64)
+        self.table_rank, self.table_piece = np.full(size, self.no_merge, np.int32), np.zeros(size, np.int32)
+        keys = np.array(list(self.pairs), np.int64)
+        for key, slot, (rank, piece) in zip(keys.tolist(), ((keys * _SPREAD >> 20) & (size - 1)).tolist(), self.pairs.values(), strict=True):
+            while self.table_key[slot] != -1:
+                slot = (slot + 1) & (size - 1)
+            self.table_key[slot], self.table_rank[slot], self.table_piece[slot] = key, rank, piece
+
+    def _merge_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and piece of each pair of symbols; ``no_merge`` where they make no piece."""
+        key = left.astype(np.int64) << 32 | right
+        slot = (key * _SPREAD >> 20) & (self.table_key.size - 1)
+        while True:
+            held = self.table_key[slot]
+            open_ = (held != key) & (held != -1)
+            if not open_.any():
+                return self.table_rank[slot], self.table_piece[slot]  # an empty slot holds no_merge
+            slot = np.where(open_, (slot + 1) & (self.table_key.size - 1), slot)
+
+    def short_agendas(self, runs: list[str]) -> Iterator[bytes]:
+        """The ids of many runs of a few characters; in each round every run makes its best pair one symbol."""
+        sizes = np.array([len(r) for r in runs])
+        letters = self.letter[np.frombuffer("".join(runs).encode("utf-32-le"), "<u4")]
+        ends = np.cumsum(sizes)
+        width = int(sizes.max())
+        # every run in a row of its own, with a symbol that merges with none at the end
+        place = np.arange(letters.size) + np.repeat(np.arange(len(runs)) * (width + 1) - (ends - sizes), sizes)
+        symbol = np.full(len(runs) * (width + 1), -1, np.int64)
+        symbol[place] = letters
+        to, before = np.arange(1, symbol.size + 1), np.arange(-1, symbol.size - 1)
+        rank, piece = np.full(symbol.size, self.no_merge, np.int32), np.zeros(symbol.size, np.int32)
+        rank[place], piece[place] = self._merge_of(symbol[place], symbol[place + 1])
+        alive = np.zeros(symbol.size, bool)
+        alive[place] = True
+        rows = np.arange(len(runs))
+        table = rank.reshape(len(runs), width + 1)
+        while rows.size:
+            i = table[rows].argmin(1) + rows * (width + 1)  # the leftmost of the best
+            going = rank[i] < self.no_merge
+            rows, i = rows[going], i[going]
+            j = to[i]
+            alive[j], rank[j] = False, self.no_merge
+            symbol[i] = piece[i]
+            to[i] = to[j]
+            before[to[j]] = i
+            rank[i], piece[i] = self._merge_of(symbol[i], symbol[to[i]])
+            left, i = before[i], i
+            inside = left >= rows * (width + 1)
+            left, i = left[inside], i[inside]
+            rank[left], piece[left] = self._merge_of(symbol[left], symbol[i])
+        ids = symbol[alive].astype("<u4").tobytes()
+        ends = np.cumsum(alive.reshape(table.shape).sum(1)) * 4
+        yield from (ids[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist()))
+
+    def _spelled(self, symbol: int, letter: str) -> list[int]:
+        """The id of a piece; of a character that is none its bytes, or the unknown id."""
+        if 0 <= symbol < self.n_ids:
+            return [symbol]
+        return [self.byte_ids[b] for b in letter.encode()] if self.falls_back else [self.unknown]
+
     def agenda(self, run: str) -> list[int]:
         """The ids of one run of characters."""
         n = len(run)
@@ -137,12 +221,7 @@ class PieceModel:
         ids = []
         i = 0
         while i < n:
-            if 0 <= symbol[i] < self.n_ids:
-                ids.append(symbol[i])
-            elif self.falls_back:
-                ids += [self.byte_ids[b] for b in run[i].encode()]
-            else:
-                ids.append(self.unknown)
+            ids += self._spelled(symbol[i], run[i])
             i = to[i]
         return ids
 
@@ -151,31 +230,51 @@ class PieceModel:
         ends = [i for i in range(1, len(run)) if run[i - 1:i + 1] not in self.neighbours]
         return [run[a:b] for a, b in zip([0, *ends], [*ends, len(run)], strict=True)]
 
-    def ids_of_run(self, run: str) -> bytes:
-        if len(run) > _SHORT:
-            return np.array([i for part in self.cut(run) for i in self.agenda(part)], "<u4").tobytes()
-        found = self.known.get(run)
-        if found is None:
-            if len(self.known) >= _REMEMBERED:
-                self.known.clear()
-            found = self.known[run] = np.array(self.agenda(run), "<u4").tobytes()
-        return found
-
-    def encode(self, text: str) -> bytes:
-        """Begin id, ids, end id as little-endian unsigned 32-bit integers."""
-        text = self.library.Normalize(text)
-        runs = _RUN.findall(text) if self.cuts_at_space else [text] if text else []
-        known = self.known
-        ids = b"".join([known.get(r) or self.ids_of_run(r) for r in runs])
-        if not self.falls_back:  # unknown characters in a row are one unknown piece
-            a = np.frombuffer(ids, "<u4")
-            ids = a[~((a == self.unknown) & np.concatenate(([False], a[:-1] == self.unknown)))].tobytes()
-        return np.array([self.begin], "<u4").tobytes() + ids + np.array([self.end], "<u4").tobytes()
+    def long_run(self, run: str) -> bytes:
+        return array("I", [i for part in self.cut(run) for i in self.agenda(part)]).tobytes()
+
+    def learn(self, runs: set[str]) -> list[str]:
+        """Note the ids of runs that are not known; gives the long ones, to be forgotten after use."""
+        if len(self.known) + len(runs) > _REMEMBERED:
+            self.known.clear()
+        long, by_size = [], {}
+        for run in runs.difference(self.known):
+            if len(run) > _SHORT:
+                long.append(run)
+                self.known[run] = self.long_run(run)
+            elif self.odd.search(run):
+                self.known[run] = self.long_run(run)
+            else:
+                by_size.setdefault((len(run) - 1).bit_length(), []).append(run)
+        for same in by_size.values():
+            self.known.update(zip(same, self.short_agendas(same), strict=True))
+        return long
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Begin id, ids, end id of each text as little-endian unsigned 32-bit integers."""
+        begin, end = array("I", [self.begin]).tobytes(), array("I", [self.end]).tobytes()
+        cut = []
+        for text in map(self.library.Normalize, texts):
+            cut.append(_RUN.findall(text) if self.cuts_at_space else [text] if text else [])
+        long = self.learn(set().union(*cut))
+        out = []
+        for runs in cut:
+            ids = b"".join(map(self.known.__getitem__, runs))
+            if not self.falls_back:  # unknown characters in a row are one unknown piece
+                a = np.frombuffer(ids, "<u4")
+                ids = a[~((a == self.unknown) & np.concatenate(([False], a[:-1] == self.unknown)))].tobytes()
+            out.append(begin + ids + end)
+        for run in long:
+            del self.known[run]
+        return out
 
     # ------------------------------------------------------------ decoding
 
     def decode(self, ids: list[int]) -> str:
         """The text of the ids: pieces with spaces for their signs, byte pieces as UTF-8."""
+        if not self.strips_all and self.alone[ids].all():
+            text = "".join(self.plain[ids].tolist())
+            return (text[1:] if self.strips and text.startswith(_SPACE) else text).replace(_SPACE, " ")
         out: list[str] = []
         octets = bytearray()
         at_start = self.strips
@@ -239,7 +338,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         model = piece_model(model_path)
         for part in slices(batches, "_text", 1 << 20):
             texts = texts_of(part, "_text")
-            ids = [model.encode(t) for t in texts]
+            ids = model.encode(texts)
             as_lists = [np.frombuffer(i, "<u4").tolist() for i in ids]
             decoded = [model.decode(i) for i in as_lists]
             theirs = model.library.encode(texts, add_bos=True, add_eos=True, num_threads=1)

@@ -150,7 +150,7 @@ SIGNS = ["", " ", "   ", "▁", " ▁ a", "a\tb\nc\r\n", "\x00a\x01", "<s>x</s><
 @pytest.mark.parametrize("text", SIGNS)
 def test_pieces_of_odd_texts(text):
     model = sentence_pieces.piece_model(model_path())
-    ids = np.frombuffer(model.encode(text), "<u4").tolist()
+    ids = np.frombuffer(model.encode([text])[0], "<u4").tolist()
     assert ids == model.library.encode(text, add_bos=True, add_eos=True)
     assert model.decode(ids) == model.library.decode(ids) == text.replace("▁", " ")
 
@@ -159,7 +159,7 @@ def test_pieces_of_odd_texts(text):
 @given(st.text(alphabet=st.one_of(st.sampled_from(" ▁etaoinTh.,\n0123"), st.characters(exclude_categories=["Cs"])), max_size=120))
 def test_pieces_equal_the_library(text):
     model = sentence_pieces.piece_model(model_path())
-    ids = np.frombuffer(model.encode(text), "<u4").tolist()
+    ids = np.frombuffer(model.encode([text])[0], "<u4").tolist()
     assert ids == model.library.encode(text, add_bos=True, add_eos=True)
     assert model.decode(ids) == model.library.decode(ids)
 
@@ -175,8 +175,11 @@ def test_cuts_do_not_change_the_agenda():
     model = sentence_pieces.piece_model(model_path())
     rng = random.Random(5)
     for _ in range(200):
-        run = "▁" + "".join(rng.choice("abcdeéstn019-_/ß") for _ in range(rng.randint(1, 90)))
-        assert [i for part in model.cut(run) for i in model.agenda(part)] == model.agenda(run)
+        run = "▁" * rng.randint(0, 9) + "".join(rng.choice("abcdeéstn019-_/ß\n") for _ in range(rng.randint(1, 90)))
+        whole = model.agenda(run)
+        assert [i for part in model.cut(run) for i in model.agenda(part)] == whole
+        assert np.frombuffer(b"".join(model.short_agendas([run, "▁a", run[:5], "x"])), "<u4").tolist() == \
+            [i for r in (run, "▁a", run[:5], "x") for i in model.agenda(r)]
 
 
 def test_encode_table(spark):
