@@ -123,7 +123,7 @@ class PieceModel:
         self.table_key = np.full(size, -1, np.int64)
         self.table_rank, self.table_piece = np.full(size, self.no_merge, np.int32), np.zeros(size, np.int32)
         keys = np.array(list(self.pairs), np.int64)
-        for key, slot, (rank, piece) in zip(keys.tolist(), ((keys * _SPREAD >> 20) & (size - 1)).tolist(), self.pairs.values(), strict=True):
+        for key, slot, (rank, piece) in zip(keys.tolist(), ((keys * _SPREAD >> 40) & (size - 1)).tolist(), self.pairs.values(), strict=True):
             while self.table_key[slot] != -1:
                 slot = (slot + 1) & (size - 1)
             self.table_key[slot], self.table_rank[slot], self.table_piece[slot] = key, rank, piece
@@ -131,13 +131,14 @@ class PieceModel:
     def _merge_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and piece of each pair of symbols; ``no_merge`` where they make no piece."""
         key = left.astype(np.int64) << 32 | right
-        slot = (key * _SPREAD >> 20) & (self.table_key.size - 1)
-        while True:
-            held = self.table_key[slot]
-            open_ = (held != key) & (held != -1)
-            if not open_.any():
-                return self.table_rank[slot], self.table_piece[slot]  # an empty slot holds no_merge
-            slot = np.where(open_, (slot + 1) & (self.table_key.size - 1), slot)
+        slot = (key * _SPREAD >> 40) & (self.table_key.size - 1)
+        held = self.table_key[slot]
+        open_ = np.flatnonzero((held != key) & (held != -1))
+        while open_.size:
+            slot[open_] = (slot[open_] + 1) & (self.table_key.size - 1)
+            held = self.table_key[slot[open_]]
+            open_ = open_[(held != key[open_]) & (held != -1)]
+        return self.table_rank[slot], self.table_piece[slot]  # an empty slot holds no_merge
 
     def short_agendas(self, runs: list[str]) -> Iterator[bytes]:
         """The ids of many runs of a few characters; in each round every run makes its best pair one symbol."""
