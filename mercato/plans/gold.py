@@ -65,15 +65,17 @@ def daily_sales(fact_li: DataFrame, fact_ord: DataFrame, variant: str = NOTEBOOK
     of_part = lines.groupBy(*day, "part_key").agg(*[F.sum(c).alias(name) for name, c in sums.items()],
                                                   F.count("discount").alias("_discounts"))
     again = [F.sum(c).alias(c) for c in (*sums, "_discounts")]
-    out = of_part.groupBy(*day).agg(*again, F.count("part_key").alias("distinct_products")).withColumns({
-        "num_orders": F.col("_order"),
-        "avg_discount": round_half_up(F.col("_discount").cast("double")
-                                      / F.nullif(F.col("_discounts").cast("double"), F.lit(0.0)), 4)})
-    return out.select(F.col("order_date").alias("sale_date"), F.col("customer_region").alias("region"),
-                      F.col("market_segment").alias("segment"), "num_orders", "total_quantity", "net_revenue",
-                      "gross_revenue", "total_cost", "total_profit", "avg_discount",
-                      "distinct_products",
-                      ratio_pct("total_profit", "net_revenue").alias("profit_margin_pct"))
+    out = of_part.groupBy(*day).agg(*again, F.count("part_key").alias("distinct_products")).withColumnRenamed("_order", "num_orders")
+    return out.select(*daily_columns())
+
+
+def daily_columns() -> list[Column]:
+    """The finished row of a day, region and segment, from its sums and counts."""
+    avg_discount = round_half_up(F.col("_discount").cast("double") / F.nullif(F.col("_discounts").cast("double"), F.lit(0.0)), 4)
+    return [F.col("order_date").alias("sale_date"), F.col("customer_region").alias("region"),
+            F.col("market_segment").alias("segment"), F.col("num_orders"), F.col("total_quantity"), F.col("net_revenue"),
+            F.col("gross_revenue"), F.col("total_cost"), F.col("total_profit"), avg_discount.alias("avg_discount"),
+            F.col("distinct_products"), ratio_pct("total_profit", "net_revenue").alias("profit_margin_pct")]
 
 
 def monthly_sales(daily: DataFrame, variant: str = NOTEBOOK, dim_date: DataFrame | None = None) -> DataFrame:
