@@ -698,15 +698,6 @@ def extract_fields_q(spark, sf_dir):
     return page_fields(read(spark, sf_dir, "pages"))
 
 
-@register("passage_topk")
-def passage_topk_q(spark, sf_dir):
-    """Benchmark items as questions → top-5 document passages (all documents, every line)."""
-    from mercato.plans.search import passage_topk
-    from mercato.sources.tables import read
-    q = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    return passage_topk(read(spark, sf_dir, "documents"), q, k=5)
-
-
 @register("catalog_embeddings")
 def catalog_embeddings(spark, sf_dir):
     from mercato.plans.search import embed
@@ -761,3 +752,11 @@ SELECT * EXCLUDE (net_revenue), {d('net_revenue')} AS net_revenue FROM gold_ship
 def preview_shipping(spark, sf_dir):
     return G.as_output(_gold(spark, sf_dir).shipping_analysis.orderBy("ship_mode", "customer_region"),
                        "shipping_analysis")
+
+
+# -- feeds, incremental refresh, enforced writes, text lookup ------------------------------
+
+from mercato import catalog_serving  # noqa: E402
+
+QUERIES.update(catalog_serving.QUERIES)
+ORACLE.update(catalog_serving.ORACLE)

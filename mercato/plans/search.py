@@ -1,42 +1,35 @@
 """Search and document operators: embeddings, exact top-k, field extraction,
 passage retrieval.
 
-Exact top-k pattern (no pair table is ever materialised): the bounded query
-set is broadcast (its size is checked; larger query sets are processed in
-bounded chunks), every candidate partition scores its rows against all
-queries with numpy inside ``mapInPandas`` and emits only its local top-k per
-query; a final window keeps the global top-k over (partitions × k) rows per
-query.
+Exact vector top-k (no pair table is ever materialised): candidates are dealt into
+blocks of bounded size, each sent once; queries are sent to every block and stream
+past it, scored with numpy.  A block emits its own k best for each query, and a
+window keeps the best of (blocks × k) rows.  Text top-k runs on stored postings
+(:mod:`mercato.plans.textindex`).  Neither bounds the number of queries.
 """
 
 from __future__ import annotations
 
-import heapq
-import math
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.numeric import round_half_up
+from mercato.plans import textindex
+from mercato.streaming.ingest import scratch
 
-MAX_BROADCAST_QUERIES = 10_000
-MAX_QUERY_TERMS = 2_000_000
-TOKEN = r"[^\p{L}\p{N}]+"           # Spark (Java) tokenizer pattern: split on non-letters/digits
-_PY_TOKEN = re.compile(r"[^\W_]+", re.UNICODE)
 
 
 # -- P2: text → TF-IDF vectors ----------------------------------------------------------
 
 def tfidf_pipeline(input_col: str = "search_text", features: int = 1 << 18) -> Pipeline:
     return Pipeline(stages=[
-        RegexTokenizer(inputCol=input_col, outputCol="_tokens", pattern=TOKEN, toLowercase=True),
+        RegexTokenizer(inputCol=input_col, outputCol="_tokens", pattern=textindex.TOKEN, toLowercase=True),
         HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=features),
         IDF(inputCol="_tf", outputCol="_tfidf"),
         Normalizer(inputCol="_tfidf", outputCol="embedding", p=2.0)])
@@ -57,52 +50,70 @@ def reembed_changed(model, diff: DataFrame, key: list[str], input_col: str = "se
 
 # -- P3: exact cosine top-k over array<float> vectors -----------------------------------
 
-def _topk_partition(queries: pd.DataFrame, k: int, id_col: str, vec_col: str):
-    qids = queries["qid"].to_numpy()
-    qmat = np.stack([np.asarray(v, dtype=np.float64) for v in queries["qvec"]])
-    qn = np.linalg.norm(qmat, axis=1)
+_MATCHES = pa.schema([("query_id", pa.int64()), ("match_id", pa.int64()), ("similarity", pa.float64())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        heaps: dict = {int(q): [] for q in qids}
-        for b in batches:
-            if b.empty:
+
+def _vectors(table: pa.Table) -> np.ndarray:
+    return np.array(table.column("vec").to_pylist(), np.float64)
+
+
+def _block_matches(ids: np.ndarray, vectors: np.ndarray, lengths: np.ndarray, queries: pa.Table, k: int) -> pa.RecordBatch:
+    """The block's k best candidates of each query."""
+    q, asked = _vectors(queries), queries.column("id").to_numpy()
+    norms = np.outer(np.linalg.norm(q, axis=1), lengths)
+    sims = np.round(np.divide(q @ vectors.T, norms, out=np.full(norms.shape, np.nan), where=norms > 0), 12)
+    out = []
+    for query, row in zip(asked, sims, strict=True):
+        ok = np.flatnonzero(np.isfinite(row) & (ids != query))
+        if ok.size > 4 * k:
+            ok = ok[row[ok] >= np.partition(row[ok], ok.size - k)[ok.size - k]]
+        best = ok[np.lexsort((ids[ok], -row[ok]))[:k]]
+        out.append((np.full(best.size, query), ids[best], row[best]))
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], schema=_MATCHES)
+
+
+def _matches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Of each block the candidates come first and are held; then the queries pass by."""
+    block, held, vectors = None, [], None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        of, asks = table.column("block").to_numpy(), table.column("is_query").to_numpy()
+        turns = np.flatnonzero((np.diff(of) != 0) | (np.diff(asks.astype(np.int8)) != 0)) + 1
+        for start, end in zip([0, *turns], [*turns, len(of)], strict=True):
+            if of[start] != block:
+                block, held, vectors = of[start], [], None
+            run = table.slice(start, end - start)
+            if not asks[start]:
+                held.append(run)
                 continue
-            ids = b[id_col].to_numpy()
-            m = np.stack([np.asarray(v, dtype=np.float64) for v in b[vec_col]])
-            norms = np.outer(np.linalg.norm(m, axis=1), qn)
-            sims = np.divide(m @ qmat.T, norms, out=np.full(norms.shape, np.nan), where=norms > 0)
-            for j, q in enumerate(qids):
-                h = heaps[int(q)]
-                col = np.round(sims[:, j], 12)
-                ok = np.flatnonzero(np.isfinite(col) & (ids != q))
-                for i in ok[np.lexsort((ids[ok], -col[ok]))[:k]]:
-                    item = (float(col[i]), -int(ids[i]))
-                    if len(h) < k:
-                        heapq.heappush(h, item)
-                    elif item > h[0]:
-                        heapq.heapreplace(h, item)
-        rows = [(int(q), -nid, s) for q, h in heaps.items() for s, nid in h]
-        yield pd.DataFrame(rows, columns=["query_id", "match_id", "similarity"])
-    return run
+            if vectors is None and held:
+                rows = pa.concat_tables(held)
+                ids, vectors, held = rows.column("id").to_numpy(), _vectors(rows), []
+                lengths = np.linalg.norm(vectors, axis=1)
+            for at in range(0, run.num_rows if vectors is not None else 0, 64):
+                yield _block_matches(ids, vectors, lengths, run.slice(at, 64), k)
 
 
 def exact_topk(candidates: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
-               vec_col: str = "embedding") -> DataFrame:
+               vec_col: str = "embedding", block: int = 1 << 15) -> DataFrame:
     """Top-k cosine matches of each query among all candidates (query itself excluded).
 
-    queries: (qid bigint, qvec array<float|double>), bounded; checked here.
+    queries: (qid bigint, qvec array<float|double>), any number of them.
     Null and zero vectors have no direction and take no part; similarities equal
     to 12 decimals rank by id.
     """
-    candidates = candidates.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull())
-    queries = queries.where(F.col("qid").isNotNull() & F.col("qvec").isNotNull())
-    n_q = queries.count()
-    if n_q > MAX_BROADCAST_QUERIES:
-        raise ValueError(f"{n_q} queries exceed the broadcast bound; split them into chunks")
-    qpdf = queries.toPandas()  # bounded by MAX_BROADCAST_QUERIES rows
-    fn = _topk_partition(qpdf, k, id_col, vec_col)
-    local = candidates.select(id_col, vec_col).mapInPandas(
-        fn, "query_id long, match_id long, similarity double")
+    deal, vector = F.xxhash64("id", "vec"), "array<double>"
+    rows = candidates.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()) \
+        .select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(vector).alias("vec"))
+    asks = queries.where(F.col("qid").isNotNull() & F.col("qvec").isNotNull()) \
+        .select(F.col("qid").cast("long").alias("id"), F.col("qvec").cast(vector).alias("vec"))
+    n = rows.count()
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    blocks = max(1, -(-n // block), min(tasks, -(-n // 512)))
+    everywhere = asks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("is_query", F.lit(True))
+    dealt = rows.withColumn("block", F.pmod(deal, F.lit(blocks)).cast("int")).withColumn("is_query", F.lit(False))
+    local = dealt.unionByName(everywhere).repartitionById(blocks, F.col("block")).sortWithinPartitions("block", "is_query") \
+        .mapInArrow(lambda batches: _matches(batches, k), "query_id long, match_id long, similarity double")
     w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), F.asc("match_id"))
     return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -155,103 +166,33 @@ def passages(docs: DataFrame) -> DataFrame:
     return p.where(F.length(F.trim("passage")) > 0)
 
 
-def _terms(col):
-    return F.filter(F.split(F.lower(col), TOKEN), lambda t: F.length(t) > 0)
-
-
 def passage_topk(docs: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
-    """Top-k passages per query by TF-IDF cosine (smoothed idf over passages).
+    """Top-k passages per query by TF-IDF cosine, over a stored index of all passages (:mod:`mercato.plans.textindex`).
 
-    queries: (query_id bigint, text string).  Passage norms use every term;
-    the dot product only needs the terms the queries contain (a bounded,
-    broadcast vocabulary), so only those postings go through Python.
+    queries: (query_id bigint, text string), any number of them.
     """
-    p = passages(docs).withColumn("pid", F.xxhash64("doc_id", "line_no"))
-    toks = p.select("pid", "doc_id", "line_no", F.explode(_terms(F.col("passage"))).alias("term"))
-    tf = toks.groupBy("pid", "doc_id", "line_no", "term").agg(F.count(F.lit(1)).alias("tf"))
-    n_pass = p.agg(F.count(F.lit(1)).alias("n"))
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = dfreq.crossJoin(F.broadcast(n_pass)).select(
-        "term", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    w = tf.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = w.groupBy("pid").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    # query vectors (bounded; size checked before collecting)
-    qt = queries.select("query_id", F.explode(_terms(F.col("text"))).alias("term"))
-    qtf = qt.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    qw = qtf.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    qn = qw.groupBy("query_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("qnorm"))
-    qv = qw.join(qn, "query_id").select("query_id", "term", (F.col("w") / F.col("qnorm")).alias("wq"))
-    # the (query, term) weights are broadcast to every scoring task: bound them first
-    if qv.count() > MAX_QUERY_TERMS:
-        raise ValueError("query vocabulary exceeds the broadcast bound; split the queries")
-    qpdf = qv.toPandas()
-    vocab = sorted(set(qpdf["term"]))
-    post = (w.where(F.col("term").isin(vocab))
-            .join(norms, "pid").select("pid", "doc_id", "line_no", "term",
-                                       (F.col("w") / F.col("norm")).alias("wp")))
-    by_term: dict = {}
-    for q, t, wq in qpdf.itertuples(index=False):
-        by_term.setdefault(t, []).append((int(q), float(wq)))
-    # group postings per passage inside each partition, score, keep local top-k
-    grouped = post.repartition("pid").sortWithinPartitions("pid")
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        heaps: dict = {}
-        cur, acc, meta = None, Counter(), None
-
-        def flush():
-            for q, s in acc.items():
-                h = heaps.setdefault(q, [])
-                item = (round(s, 12), -meta[1], -meta[2])
-                if len(h) < k:
-                    heapq.heappush(h, item)
-                elif item > h[0]:
-                    heapq.heapreplace(h, item)
-        for b in batches:
-            for pid, doc, line, term, wp in b.itertuples(index=False):
-                if pid != cur:
-                    if cur is not None:
-                        flush()
-                    cur, acc, meta = pid, Counter(), (pid, int(doc), int(line))
-                for q, wq in by_term.get(term, ()):
-                    acc[q] += wp * wq
-        if cur is not None:
-            flush()
-        out = [(q, -d, -ln, s) for q, h in heaps.items() for s, d, ln in h]
-        yield pd.DataFrame(out, columns=["query_id", "doc_id", "line_no", "score"])
-    local = grouped.mapInPandas(score, "query_id long, doc_id long, line_no int, score double")
-    win = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id", "line_no")
-    top = local.withColumn("rank", F.row_number().over(win)).where(F.col("rank") <= k)
-    return top.select("query_id", "doc_id", "line_no", round_half_up("score", 6).alias("score"),
-                      F.col("rank").cast("int").alias("rank"))
-
-
-def passage_topk_bruteforce(docs: pd.DataFrame, queries: pd.DataFrame, k: int = 5) -> pd.DataFrame:
-    """Reference implementation in plain Python for small fixtures (tests)."""
-    rows = []
-    for doc_id, text in docs[["doc_id", "text"]].itertuples(index=False):
-        for i, line in enumerate(text.split("\n")):
-            if line.strip():
-                rows.append((int(doc_id), i, [t for t in _PY_TOKEN.findall(line.lower())]))
-    n = len(rows)
-    df = Counter(t for _, _, ts in rows for t in set(ts))
-    idf = {t: math.log((n + 1) / (c + 1)) + 1 for t, c in df.items()}
-
-    def vec(ts):
-        c = Counter(ts)
-        v = {t: c[t] * idf[t] for t in c if t in idf}
-        nrm = math.sqrt(sum(x * x for x in v.values()))
-        return {t: x / nrm for t, x in v.items()} if nrm else {}
-    pv = [(d, ln, vec(ts)) for d, ln, ts in rows]
-    out = []
-    for qid, text in queries[["query_id", "text"]].itertuples(index=False):
-        qv = vec(_PY_TOKEN.findall(text.lower()))
-        scored = []
-        for d, ln, v in pv:
-            s = sum(v.get(t, 0.0) * x for t, x in qv.items())
-            if s > 0:
-                scored.append((-round(s, 12), d, ln, s))
-        scored.sort()
-        for r, (_, d, ln, s) in enumerate(scored[:k], 1):
-            out.append((int(qid), d, ln, s, r))
-    return pd.DataFrame(out, columns=["query_id", "doc_id", "line_no", "score", "rank"])
+    folder = scratch(docs.sparkSession, "passages")
+    index = textindex.build(passages(docs), ["doc_id", "line_no"], f"{folder}/index", text_col="passage")
+    top, _ = textindex.search(index, queries, k, f"{folder}/search")
+    return top.withColumn("score", round_half_up("score", 6))
+
+
+# -- P3: product lookup by text ---------------------------------------------------------
+
+def product_index(catalog: DataFrame, base: str, block_rows: int = 512) -> textindex.TextIndex:
+    """Stored index of a product catalog; products of a brand and type lie in neighbouring rows."""
+    return textindex.build(catalog, ["product_id"], base, text_col="search_text", order_by=["brand", "part_type", "container"],
+                           block_rows=block_rows)
+
+
+def product_lookup(catalog: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
+    """The k products whose search text is most like each query text (query_id, text)."""
+    folder = scratch(catalog.sparkSession, "products")
+    top, _ = textindex.search(product_index(catalog, f"{folder}/index"), queries, k, f"{folder}/search")
+    return top.withColumn("score", round_half_up("score", 6))
+
+
+def type_and_brand_queries(catalog: DataFrame) -> DataFrame:
+    """What a user would type to find a brand's products of a type: one query for every such pair in the catalog."""
+    text = F.concat_ws(" ", "part_type", "brand", "container")
+    return catalog.select(text.alias("query_id"), text.alias("text")).distinct()
