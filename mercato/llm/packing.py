@@ -36,7 +36,7 @@ from mercato.llm.common import shuffle_partitions, slices, stored, texts_of
 # --------------------------------------------------------------- tokenising
 
 #: A text with other characters than these goes to the file's own tokenizer.
-_OTHER = re.compile("[^\t\n\r\x20-\x7eÀ-ÖØ-öø-ɏ]")
+_OTHER = "[^\t\n\r\x20-\x7eÀ-ÖØ-öø-ɏ]"
 #: How byte-level BPE cuts a text into words (fixed value of the vocabulary).
 _CUT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -49,22 +49,22 @@ class Encoder:
     The vocabulary is that of the given ``tokenizers`` file.  The merging itself
     is done by ``tiktoken`` with the file's ids as ranks, which gives equal ids
     three times as fast (tested against the file's own tokenizer).  Texts
-    outside plain characters go to the file's tokenizer.  The string of a
-    special token in a text is ordinary text.
+    outside plain characters, or with the string of an added token, which the
+    tokenizer reads as that token, go to the file's own tokenizer.
     """
 
     def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         special = self.tokenizer.get_added_tokens_decoder()
+        self.slow = re.compile("|".join([_OTHER, *(re.escape(t.content) for t in special.values())]))
         as_byte = _byte_of_letter()
         ranks = {bytes(as_byte[c] for c in token): i for token, i in self.tokenizer.get_vocab().items() if i not in special}
         self.fast = tiktoken.Encoding("file", pat_str=_CUT, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        if _OTHER.search(text):
+        if self.slow.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
