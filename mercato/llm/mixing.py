@@ -5,7 +5,8 @@ A source that holds ``n`` of all ``N`` documents and is to make up a share
 on average.  Each document draws its number of copies from the Poisson
 distribution of that mean, by inverting the distribution at a number in [0, 1)
 that is hashed from a seed and the document's id.  Documents are exploded by
-their counts and shuffled globally by a second hash.  No state is shared, so
+their counts and shuffled globally by a second hash, which is uniform: equal
+ranges of its first digits are the partitions, each sorted within.  No state is shared, so
 any partition can be computed again with the same result.
 
 A mean above ``CHUNK`` is split evenly into several draws, each with a hash of
@@ -15,8 +16,11 @@ probabilities is long.  Only counts per source are gathered.
 Defined results: target weights need not add up to 1 (they are scaled); a
 source without a target weight, or with weight 0, gets no copies; null is a
 source like any other; a target for a source that has no rows is shared among
-the others in proportion; repeated rows draw the same number and rows without
-an id all draw alike; text plays no part; all columns are carried through.
+the others in proportion; rows that share an id draw the same number; a row
+without an id draws by its other columns instead, so that such rows differ unless
+all their columns are equal; text plays no part otherwise; all columns are carried
+through, and if one is called ``copy`` or ``shuffle_key``, the added column of that
+name gets underscores in front.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import stored
+from mercato.llm.common import shuffle_partitions, stored
 
 CHUNK = 16.0
 #: Sources whose table (700 bytes each) is sent to every task; more are joined by a shuffle.
@@ -75,14 +79,28 @@ def replicate(docs: DataFrame, weights: DataFrame, seed: int = 1, id_col: str =
     table = stored(rates(docs, weights, total, source_col))
     if table.count() <= MOST_BROADCAST:
         table = F.broadcast(table)
-    joined = docs.join(table, F.col(source_col).eqNullSafe(F.col("_source")))
-    drawn = joined.withColumn("_draw", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_draws") - 1))) \
-        .withColumn("_u", uniform(F.lit(seed), F.col(id_col), F.col("_draw"))) \
-        .withColumn("_count", F.size(F.filter("_cdf", lambda p: p <= F.col("_u")))).filter("_count > 0")
-    copies = drawn.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
+    # the input's columns stay inside `row`, whatever their names
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{source_col}`").alias("source"),
+                        F.coalesce(F.col(f"`{id_col}`").cast("string"), _content(docs)).alias("id"))
+    joined = inner.join(table, F.col("source").eqNullSafe(F.col("_source")))
+    drawn = joined.withColumn("draw", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_draws") - 1))) \
+        .withColumn("u", uniform(F.lit(seed), F.col("id"), F.col("draw"))) \
+        .withColumn("count", F.size(F.filter("_cdf", lambda p: p <= F.col("u")))).filter("count > 0")
+    copies = drawn.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
     # copies of one draw are numbered within it; draws leave room for the longest one
-    numbered = copies.withColumn("copy", F.col("_draw") * (int(CHUNK) + 70) + F.col("_i")) \
-        .withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit("place"), F.lit(seed).cast("string"),
-                                                     F.coalesce(F.col(id_col).cast("string"), F.lit("")),
-                                                     F.col("copy").cast("string")).cast("binary")))
-    return numbered.select(*[F.col(f"`{c}`") for c in docs.columns], "copy", "shuffle_key").orderBy("shuffle_key")
+    numbered = copies.withColumn("copy", F.col("draw") * (int(CHUNK) + 70) + F.col("i")) \
+        .withColumn("key", F.md5(F.concat_ws("|", F.lit("place"), F.lit(seed).cast("string"), F.col("id"), F.col("copy").cast("string")).cast("binary")))
+    parts = shuffle_partitions(docs.sparkSession)
+    place = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * parts / float(1 << 32)).cast("int")
+    names = {}
+    for name in ("copy", "shuffle_key"):
+        names[name] = name
+        while names[name] in docs.columns:
+            names[name] = "_" + names[name]
+    return numbered.select("row", "copy", "key").repartitionById(parts, place).sortWithinPartitions("key") \
+        .select("row.*", F.col("copy").alias(names["copy"]), F.col("key").alias(names["shuffle_key"]))
+
+
+def _content(docs: DataFrame) -> Column:
+    """Hash of all columns, as the id of a row that has none."""
+    return F.concat(F.lit("row "), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).cast("string"))

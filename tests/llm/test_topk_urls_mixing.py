@@ -92,3 +92,19 @@ def test_mixing_edges(spark):
     assert many.select("copy").distinct().count() == many.count()
     assert mixing.replicate(docs, mixing.tempered(docs, 0.5)).count() >= 0
     assert mixing.replicate(docs.limit(0), mixing.tempered(docs.limit(0), 0.5)).count() == 0
+
+
+def test_mixing_keeps_all_columns_whatever_their_names(spark):
+    names = ["copy", "shuffle_key", "_count", "_u", "_i", "_draw", "row", "id", "key", "u", "_source", "_cdf"]
+    docs = spark.range(200).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), *[F.lit(f"own {n}").alias(n) for n in names])
+    out = mixing.replicate(docs, spark.createDataFrame([("a", 1.0)], "source string, weight double")).collect()
+    assert out and all(r[n] == f"own {n}" for r in out for n in names)
+    assert {"_copy", "_shuffle_key"} <= set(out[0].asDict())
+    keys = [r["_shuffle_key"] for r in out]
+    assert keys == sorted(keys) and len(set(keys)) == len(keys)
+
+
+def test_rows_without_an_id_draw_apart(spark):
+    docs = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a").alias("source"), F.col("id").cast("string").alias("text"))
+    n = mixing.replicate(docs, spark.createDataFrame([("a", 1.0)], "source string, weight double")).count()
+    assert abs(n - 4000) < 6 * math.sqrt(4000)
