@@ -286,7 +286,7 @@ def gram_losses(counted: DataFrame) -> DataFrame:
 
 
 def score_corpus(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 block_bytes: int = 2 << 20) -> DataFrame:
+                 block_bytes: int = 16 << 20) -> DataFrame:
     """The id, n_tokens, target_loss, background_loss and score of every row, by models over all characters of ``docs``."""
     wanted = target_ids.select(F.col(id_col).alias("_target")).filter("_target IS NOT NULL").distinct()
     src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")) \
