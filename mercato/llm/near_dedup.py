@@ -7,19 +7,20 @@ shingles reaches a threshold; the groups are the connected components.
    set, its MinHash samples folded into band keys, and its *odd sketch*: each
    sample flips one bit of a bitmap, so the XOR of two sketches has few ones
    exactly when the samples mostly agree.
-2. Documents with equal sets form one class; only the class's smallest id goes
-   on.  Copies are never expanded into pairs.
-3. Documents that share a band key are candidates.  Of each bucket, first only
-   the pairs with its smallest id are tested (a star, as many pairs as rows).
+2. Texts with equal sets form one class; only one text of a class goes on.
+   Copies are never expanded into pairs.
+3. Classes that share a band key are candidates.  Of each bucket, first only
+   the pairs with its smallest class are tested (a star, as many pairs as rows).
    A candidate must pass the sizes, then the sketches' estimate, then the exact
    similarity of the full sets.
 4. Links found so far give components.  Buckets that still hold more than one
    component are merged by their smallest component, since near copies share
    many buckets.  Members outside that component are held against all members of
-   other components: the sketches are compared inside tasks over bounded blocks,
-   and only pairs that pass leave the task and are tested.  So every pair that
-   shares a bucket is tested or already connected, without listing the pairs of a
-   group.
+   other components, in cells of bounded size that fetch the full sets: sketches
+   are compared, pairs that pass and are still apart in the cell are tested
+   exactly, and only the links that join something leave the cell (fewer than it
+   has rows).  So every pair that shares a bucket is tested or already connected,
+   and the pairs of a group are never listed.
 
 With 40 bands of 4 samples, two documents at similarity 0.75 share no bucket
 with probability 2.5e-7.  The sketches hold 768 samples; their limit, an
@@ -30,9 +31,11 @@ the bitmap together, so the limit lies 5.2 deviations off: a normal tail of
 
 Defined results: a text that is null, empty or white space has an empty set and
 is linked with nothing; one of fewer words than a shingle has one shingle;
-repeated rows and rows that share an id are one document of the graph; a row
-without an id is in no group (component null) and is kept; other columns are
-ignored.
+repeated rows and rows that share an id are one document of the graph, linked
+with whatever one of its texts is linked with; a row without an id is in no group
+(component null) and is kept; other columns are ignored.  ``keep_one`` goes by
+texts: of each group of near-duplicate texts one row stays, so texts that only
+share an id all stay.
 """
 
 from __future__ import annotations
@@ -40,7 +43,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,6 +53,7 @@ BANDS, ROWS = 40, 4
 SAMPLES = 768  # all go into the sketch, the first BANDS * ROWS into the bands
 SKETCH_WORDS = 32
 SKETCH_BITS = 64 * SKETCH_WORDS
+LONG = 2000  # shingles a row that a cell makes room for on average
 _SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
 
 _draw = np.random.default_rng(20240711)
@@ -126,24 +129,30 @@ def most_ones(least_estimate: float) -> int:
     return int(SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** flips))
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, th and t (the text as bytes) of every row."""
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), text.cast("binary").alias("t"))
+
+
 def describe(docs: DataFrame, id_col: str, text_col: str, words: int = 5) -> DataFrame:
-    """id, n, digest (d1, d2), bands and sketch words of every row."""
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("t"))
+    """id, th (a hash of the text), n, digest (d1, d2), bands and sketch words of every row."""
+    src = _texts(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "t", 1 << 20):
-            sets = shingle_sets([t or b"" for t in part.column(1).to_pylist()], words)
+            sets = shingle_sets([t or b"" for t in part.column(2).to_pylist()], words)
             low = np.stack([samples(s) for s in sets])
             digest = np.array([((mix(s ^ _WORD[10]).sum(), mix(s ^ _WORD[11]).sum())) for s in sets], np.uint64).view(np.int64)
             keys = band_keys(low)
             sketch = odd_sketches(low)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([s.size for s in sets], pa.int64()), pa.array(digest[:, 0]), pa.array(digest[:, 1]),
+                [part.column(0), part.column(1), pa.array([s.size for s in sets], pa.int64()), pa.array(digest[:, 0]), pa.array(digest[:, 1]),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * BANDS, pa.int32()), pa.array(keys.ravel())),
                  *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH_WORDS))],
-                names=["id", "n", "d1", "d2", "bands", *_SKETCH])
+                names=["id", "th", "n", "d1", "d2", "bands", *_SKETCH])
 
-    return src.mapInArrow(run, "id long, n long, d1 long, d2 long, bands array<long>, " + ", ".join(f"{c} long" for c in _SKETCH))
+    return src.mapInArrow(run, "id long, th long, n long, d1 long, d2 long, bands array<long>, " + ", ".join(f"{c} long" for c in _SKETCH))
 
 
 # -------------------------------------------------------------------- testing
@@ -168,12 +177,16 @@ def plausible(pairs: DataFrame, reps: DataFrame, threshold: float, least_estimat
     return joined.filter((few >= threshold * many) & (_ones("a", "b") <= most_ones(least_estimate))).select("a", "b")
 
 
-def linked(pairs: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str, words: int = 5) -> DataFrame:
+def _fetched(nodes: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id (of the class) and t of the classes in ``nodes``."""
+    wanted = reps.select("id", F.col("doc"), "th").join(nodes, "id").select(F.col("id").alias("node"), F.col("doc").alias("id"), "th")
+    return _texts(docs, id_col, text_col).join(wanted, ["id", "th"]).select(F.col("node").alias("id"), "t").dropDuplicates(["id"])
+
+
+def linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str, words: int = 5) -> DataFrame:
     """The pairs (a, b) whose full sets reach ``percent``; each text is fetched once for all its pairs."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("t")) \
-        .join(needed, "id").dropDuplicates(["id"])
-    texts = stored(texts)
+    needed = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+    texts = stored(_fetched(needed, reps, docs, id_col, text_col))
     both = pairs.join(_as(texts, "a"), "a").join(_as(texts, "b"), "b").select("a", "b", "a_t", "b_t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,75 +235,125 @@ def components(edges: DataFrame) -> DataFrame:
         sign = now
 
 
-def _across(members: DataFrame, reps: DataFrame, threshold: float, least_estimate: float, block: int) -> DataFrame:
-    """Pairs across components within buckets that pass sizes and sketches.
+def _across(members: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, words: int, least_estimate: float, block: int,
+            id_col: str, text_col: str) -> DataFrame:
+    """Links across components within buckets, as many as join something.
 
     ``members``: key, id, label and low, the bucket's smallest label.  Members
-    of other components than ``low`` are *strays*; the pairs wanted are a stray
-    and any member of another component.  Strays and members are cut into blocks
-    of about ``block``, and a pair of blocks is a cell, so no cell is larger than
-    that however many documents share a key.  Small buckets share cells.
+    of other components than ``low`` are *strays*; what is wanted are links of a stray
+    and any member of another component.  Strays and members are cut into parts
+    of about ``block`` rows and ``block * LONG`` shingles, and a pair of parts is a cell,
+    so no cell is larger than that however many documents share a key.  A task holds
+    the sets of one cell and key at a time.
     """
     stray = F.col("label") != F.col("low")
-    counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("all"), F.count_if(stray).alias("strays")).select(
-        (F.col("key") + 0).alias("key"), F.ceil(F.col("all") / block).cast("int").alias("parts"),
-        F.ceil(F.col("strays") / block).cast("int").alias("stray_parts"))
+    sized = members.join(reps.select("id", "n"), "id")
+
+    def parts(of: Column) -> Column:
+        rows, shingles = F.count_if(of), F.sum(F.when(of, F.col("n")).otherwise(0))
+        return F.greatest(F.lit(1), F.ceil(rows / block), F.ceil(shingles / (block * LONG))).cast("int")
+
+    counts = sized.groupBy("key").agg(parts(F.lit(True)).alias("parts"), parts(stray).alias("stray_parts")) \
+        .withColumn("key", F.col("key") + 0)
     tasks = shuffle_partitions(members.sparkSession)
-    sized = members.join(counts, "key")
+    sized = sized.drop("n").join(counts, "key")
     own = F.xxhash64("id")
     as_member = sized.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("stray_parts") - 1))) \
         .withColumn("j", F.pmod(own, F.col("parts")).cast("int")).withColumn("as_stray", F.lit(False))
     as_stray = sized.filter(stray).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \
         .withColumn("i", F.pmod(own, F.col("stray_parts")).cast("int")).withColumn("as_stray", F.lit(True))
-    cell = F.when((F.col("parts") == 1) & (F.col("stray_parts") == 1), F.pmod(F.xxhash64("key"), F.lit(8 * tasks))) \
-        .otherwise(F.xxhash64("key", "i", "j"))
-    cells = as_member.select(cell.alias("cell"), "key", "id", "label", "as_stray", stray.alias("is_stray")) \
-        .unionByName(as_stray.select(cell.alias("cell"), "key", "id", "label", "as_stray", stray.alias("is_stray")))
-    facts = cells.join(reps.select("id", "n", *_SKETCH), "id").repartition(tasks, "cell")
+    rows = as_member.unionByName(as_stray).select("key", "i", "j", "id", "label", "as_stray", stray.alias("is_stray"))
+    texts = stored(_fetched(rows.select("id").distinct(), reps, docs, id_col, text_col))
+    facts = rows.join(reps.select("id", "n", *_SKETCH), "id").join(texts, "id") \
+        .repartition(8 * tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j", "as_stray", "id")
     limit = most_ones(least_estimate)
 
-    def compare(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["key", "as_stray"], kind="stable")
-        key, ids, label, n, as_stray, is_stray = (g[c].to_numpy() for c in ("key", "id", "label", "n", "as_stray", "is_stray"))
-        sketch = g[_SKETCH].to_numpy(np.int64).view(np.uint64)  # of signed words, numpy counts the ones of the absolute value
-        edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-        a_out, b_out = [], []
-        for start, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            mid = start + int(np.searchsorted(as_stray[start:end], True))
-            for at in range(mid, end, 256):
-                s, m = slice(at, min(at + 256, end)), slice(start, mid)
-                ok = label[s, None] != label[m]
-                ok &= ~is_stray[m] | (ids[s, None] < ids[m])
-                ok &= np.minimum(n[s, None], n[m]) >= threshold * np.maximum(n[s, None], n[m])
-                x, y = np.nonzero(ok)
-                for c in range(0, x.size, 1 << 14):
-                    p, q = x[c:c + (1 << 14)] + at, y[c:c + (1 << 14)] + start
-                    near = np.bitwise_count(sketch[p] ^ sketch[q]).sum(1) <= limit
-                    p, q = p[near], q[near]
-                    a_out.append(np.minimum(ids[p], ids[q]))
-                    b_out.append(np.maximum(ids[p], ids[q]))
-        none = [np.zeros(0, np.int64)]
-        return pd.DataFrame({"a": np.concatenate(a_out or none), "b": np.concatenate(b_out or none)}).drop_duplicates()
-
-    return facts.groupBy("cell").applyInPandas(compare, "a long, b long").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held = None, []
+        for batch in batches:
+            at = np.stack([batch.column(k).to_numpy() for k in ("key", "i", "j")])
+            turns = np.flatnonzero((np.diff(at) != 0).any(0)) + 1
+            for start, end in zip([0, *turns.tolist()], [*turns.tolist(), batch.num_rows], strict=True):
+                here = tuple(at[:, start])
+                if held and here != cell:
+                    yield _cell_links(pa.Table.from_batches(held), percent, words, limit)
+                    held = []
+                cell = here
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield _cell_links(pa.Table.from_batches(held), percent, words, limit)
+
+    return facts.mapInArrow(run, "a long, b long").distinct()
+
+
+def _cell_links(rows: pa.Table, percent: int, words: int, limit: int) -> pa.RecordBatch:
+    """The links of a cell that join classes not yet joined, by components or by a link found before."""
+    as_stray = rows.column("as_stray").to_numpy()
+    ids, label, n, is_stray = (rows.column(c).to_numpy() for c in ("id", "label", "n", "is_stray"))
+    sketch = np.stack([rows.column(c).to_numpy() for c in _SKETCH], 1).view(np.uint64)  # of signed words, numpy counts the ones of the absolute value
+    # labels joined so far in this cell
+    _, group = np.unique(label, return_inverse=True)
+    member, strays = np.flatnonzero(~as_stray), np.flatnonzero(as_stray)
+    out: list[tuple[int, int]] = []
+    sets: list[np.ndarray] = []
+    for s in strays:
+        ok = group[member] != group[s]
+        ok &= ~is_stray[member] | (ids[s] < ids[member])  # two strays meet twice
+        ok &= 100 * np.minimum(n[s], n[member]) >= percent * np.maximum(n[s], n[member])
+        near = member[ok]
+        near = near[np.bitwise_count(sketch[near] ^ sketch[s]).sum(1) <= limit]
+        if not near.size:
+            continue
+        if not sets:
+            sets = [x for at in range(0, rows.num_rows, 64)
+                    for x in shingle_sets([t or b"" for t in rows.column("t").slice(at, 64).to_pylist()], words)]
+        ends = np.cumsum([sets[m].size for m in near])
+        together = np.concatenate([sets[m] for m in near])
+        at = np.minimum(np.searchsorted(sets[s], together), sets[s].size - 1)
+        common = np.add.reduceat((sets[s][at] == together).astype(np.int64), np.concatenate(([0], ends[:-1])))
+        for m in near[(common > 0) & (100 * common >= percent * (n[s] + n[near] - common))]:
+            if group[m] != group[s]:
+                group[group == group[m]] = group[s]
+                out.append((min(ids[s], ids[m]), max(ids[s], ids[m])))
+    pairs = np.array(out, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
+def _by_class(rows: DataFrame, classes: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` joined with their class by ``key``.
+
+    ``classes`` has ``copies``, the number of rows of each class.  Classes that hold
+    more than a hundred-thousandth of all rows (and 1,000), at most 100,000 of them,
+    are sent to the tasks, so the rows of a class that a third of all rows belong to
+    stay where they are.
+    """
+    total = classes.agg(F.sum("copies")).first()[0] or 0
+    large = F.col("copies") > max(1000, total // 100_000)
+    heavy, light = F.broadcast(classes.filter(large)), classes.filter(~large)
+    return rows.join(heavy, key).unionByName(rows.join(heavy.select(*key), key, "left_anti").join(light, key)).drop("copies")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5, id_col: str = "doc_id", text_col: str = "text",
-                    least_estimate: float = 0.65, block: int = 512) -> DataFrame:
-    """id, n_shingles, component_id and kept of every row of ``docs``."""
+def text_groups(docs: DataFrame, percent: int = 75, words: int = 5, id_col: str = "doc_id", text_col: str = "text",
+                least_estimate: float = 0.65, block: int = 512) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(described, nodes, groups): all rows; the class ``node`` of every row that has words and an id; the classes with
+    ``label``, equal for classes whose texts are linked, directly or not, ``doc`` and ``th`` of the class's first row."""
     threshold = percent / 100
     described = stored(describe(docs, id_col, text_col, words))
     able = described.filter("n > 0 AND id IS NOT NULL")
-    first = able.groupBy("d1", "d2").agg(F.min("id").alias("rep"))
-    classes = stored(able.select("id", "d1", "d2").join(first.select((F.col("d1") + 0).alias("d1"), "d2", "rep"), ["d1", "d2"])
-                     .groupBy("id").agg(F.min("rep").alias("rep")))
-    reps = stored(described.join(classes.filter("id = rep").select("id"), "id").dropDuplicates(["id"]))
+    classes = stored(able.groupBy("d1", "d2").agg(F.min(F.struct("id", "th")).alias("first"), F.count(F.lit(1)).alias("copies"))
+                     .select("d1", "d2", F.col("first.id").alias("doc"), F.col("first.th").alias("th"), "copies",
+                             F.monotonically_increasing_id().alias("node")))
+    nodes = stored(_by_class(able.select("id", "d1", "d2"), classes.select("d1", "d2", "node", "copies"), ["d1", "d2"])
+                   .select("id", "node").distinct())
+    # one row of each class: the id is part of the key, so copies do not meet in one task
+    reps = stored(able.drop("th").join(classes.select((F.col("d1") + 0).alias("d1"), "d2", F.col("doc").alias("id"), "th", "node"), ["d1", "d2", "id"])
+                  .dropDuplicates(["node"]).withColumnRenamed("id", "doc").withColumnRenamed("node", "id"))
 
     keys = reps.select("id", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("id").alias("center"), F.max("id").alias("top")).filter("center <> top")
     buckets = stored(keys.join(shared.select((F.col("key") + 0).alias("key"), "center"), "key"))
     star = stored(buckets.filter("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct())
-    found = stored(linked(stored(plausible(star, reps, threshold, least_estimate)), docs, percent, id_col, text_col, words))
+    found = stored(linked(stored(plausible(star, reps, threshold, least_estimate)), reps, docs, percent, id_col, text_col, words))
     labels = stored(components(found))
 
     marked = buckets.join(labels.select(F.col("node").alias("id"), "label"), "id", "left") \
@@ -299,24 +362,44 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5, id_col:
                                       F.count(F.lit(1)).alias("size")).filter("low <> high AND size > 2")
     members = marked.filter("id <> center").join(mixed.select((F.col("key") + 0).alias("key"), "low"), "key") \
         .select(F.col("low").alias("key"), "id", "label", "low").distinct()
-    more = stored(_across(stored(members), reps, threshold, least_estimate, block).join(star, ["a", "b"], "left_anti"))
+    more = stored(_across(stored(members), reps, docs, percent, words, least_estimate, block, id_col, text_col))
     if not more.isEmpty():
-        rest = linked(more, docs, percent, id_col, text_col, words)
-        labels = stored(components(stored(found.unionAll(rest))))
+        labels = stored(components(stored(found.unionAll(more))))
+    groups = classes.select("node", "doc", "th", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return described, nodes, stored(groups)
 
-    of_class = classes.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left") \
-        .select("id", F.coalesce("label", "rep").alias("component_id"))
-    out = described.select("id", F.col("n").alias("n_shingles")).join(of_class, "id", "left") \
+
+def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5, id_col: str = "doc_id", text_col: str = "text",
+                    least_estimate: float = 0.65, block: int = 512) -> DataFrame:
+    """id, n_shingles, component_id and kept of every row of ``docs``."""
+    described, nodes, groups = text_groups(docs, percent, words, id_col, text_col, least_estimate, block)
+    of_id = stored(_by_class(nodes, groups.select("node", "label", "copies"), ["node"]).select("id", "label").distinct())
+    # ids with texts of several groups link these
+    several = of_id.groupBy("id").agg(F.min("label").alias("a"), F.max("label").alias("top")).filter("a <> top")
+    shared = stored(of_id.join(several.select((F.col("id") + 0).alias("id"), "a"), "id").select("a", F.col("label").alias("b")).distinct())
+    if not shared.isEmpty():
+        joined = components(shared).select(F.col("node").alias("label"), F.col("label").alias("whole"))
+        groups = stored(groups.join(joined, "label", "left").withColumn("label", F.coalesce("whole", "label")).drop("whole"))
+        of_id = stored(_by_class(nodes, groups.select("node", "label", "copies"), ["node"]).select("id", "label").distinct())
+    sizes = groups.groupBy("label").agg(F.min("doc").alias("component_id"), F.sum("copies").alias("copies"))
+    of_doc = _by_class(of_id, stored(sizes), ["label"]).select("id", "component_id")
+    out = described.select("id", F.col("n").alias("n_shingles")).join(of_doc, "id", "left") \
         .withColumn("component_id", F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id",
                       F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, percent: int = 75, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, unchanged, less all but one of each group; rows without an id stay."""
-    groups = near_duplicates(docs, percent, words, id_col, text_col)
-    kept = stored(groups.filter("kept").select(F.col(id_col).alias("_kept")).filter("_kept IS NOT NULL").distinct())
-    one = Window.partitionBy("_kept").orderBy(F.xxhash64(text_col))
-    with_id = docs.join(kept, F.col(id_col).cast("long") == F.col("_kept")) \
-        .withColumn("_place", F.row_number().over(one)).filter("_place = 1")
-    return with_id.select(*[F.col(f"`{c}`") for c in docs.columns]).unionAll(docs.filter(F.col(id_col).isNull()))
+    """The rows of ``docs``, unchanged, less all but one of each group of texts.
+
+    The row with the smallest id stays.  Rows without an id, and different ones without words, stay.
+    """
+    described, _, groups = text_groups(docs, percent, words, id_col, text_col)
+    kept = groups.groupBy("label").agg(F.min(F.struct("doc", "th")).alias("k")).select(F.col("k.doc").alias("id"), F.col("k.th").alias("th"))
+    empty = described.filter("n = 0 AND id IS NOT NULL").select("id", "th").distinct()
+    # the input's columns stay inside `row`, whatever their names
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"),
+                       F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("th"))
+    one = Window.partitionBy("id", "th").orderBy(F.xxhash64("row"))
+    chosen = rows.join(stored(kept.unionByName(empty)), ["id", "th"]).withColumn("place", F.row_number().over(one)).filter("place = 1")
+    return chosen.select("row").unionAll(rows.filter("id IS NULL").select("row")).select("row.*")

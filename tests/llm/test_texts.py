@@ -275,6 +275,52 @@ def test_near_duplicate_edges(spark):
     assert near_dedup.keep_one(odd(spark).limit(0)).count() == 0
 
 
+def test_ids_with_several_texts(spark):
+    a, b, c = ("one two three four five six seven eight " * 3, "alpha beta gamma delta epsilon zeta eta " * 3, "un deux trois quatre cinq six sept " * 3)
+    rows = [(3, a, "x"), (5, a, "x"), (5, b, "x"), (9, b, "x"), (11, c, "x"), (12, c + "huit", "x"), (9, "", "x"), (3, a, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _kept string")
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == {(3, 3, True), (5, 3, False), (9, 3, False), (11, 11, True), (12, 11, False)}
+    kept = sorted((r["doc_id"], r["text"]) for r in near_dedup.keep_one(docs).collect())
+    assert kept == sorted([(3, a), (5, b), (11, c), (9, "")])  # every text stays once
+
+
+def test_columns_of_any_name_come_through(spark):
+    names = ["_kept", "_place", "row", "id", "th", "place", "k"]
+    docs = spark.createDataFrame([(i, "one two three four five six " * (1 + i % 2)) for i in range(6)], "doc_id long, text string") \
+        .select("*", *[F.lit(f"own {n}").alias(n) for n in names])
+    kept = near_dedup.keep_one(docs).collect()
+    assert len(kept) == 2 and all(r[n] == f"own {n}" for r in kept for n in names)
+    assert near_dedup.near_duplicates(docs).count() == 6
+
+
+def test_cells_test_few_links_of_large_groups(spark):
+    """Copies of one text with a few words changed lie around the threshold; what leaves the cells grows with the rows."""
+    def copies(n):
+        rng = random.Random(n)
+        base = [f"w{i}" for i in range(200)]
+        out = []
+        for i in range(n):
+            words = list(base)
+            for at in rng.sample(range(200), 4):
+                words[at] = f"x{rng.random()}"
+            out.append((i, " ".join(words)))
+        return out
+    rows = copies(300)
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(196)} for _, t in rows]
+    label = list(range(300))
+    for i in range(300):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if 100 * common >= 75 * (len(sets[i]) + len(sets[j]) - common) and label[i] != label[j]:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for block in (512, 40):
+        got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs, block=block).collect()}
+        assert got == dict(enumerate(label))
+
+
 def test_sketch_limit_leaves_room_for_both_noises():
     """Ones between the sketches of pairs at similarity 0.75: samples differ at random and their bits fall at random."""
     rng, pairs = np.random.default_rng(4), 20_000
