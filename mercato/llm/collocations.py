@@ -5,24 +5,28 @@ those at blanks into words.  Every word opens a *suffix*: the words from there
 to the end of its piece, at most ``longest`` of them.  How often a phrase occurs
 is the number of suffixes that it opens.
 
-1. Each task reads a few megabytes of texts, turns equal suffixes into one row
-   with a count and writes them (``_suffixes``).
-2. The suffixes are routed by their leading words: cut into ranges of about
-   ``block`` rows and 64 bytes a row in the order of language and words.  A frequent first word, or
-   a frequent phrase, is spread over as many ranges as it needs, as a salt ends
-   the key.
-3. Each range is sorted by a three-way multikey quicksort (``frequent``): words
+1. Each task turns a few megabytes of texts of a language into a *block*: its different
+   words and the row of their codes, compressed, and stores it.
+2. Routed by their one leading word, all suffixes of an infrequent word are
+   abandoned at once: word counts are summed over the blocks, and each block gets back
+   which of its words are frequent.  The others end suffixes, as no frequent phrase
+   holds them.
+3. Each block's suffixes of two words or more are written, equal ones as one row
+   with a count, and routed by all their leading words: cut into ranges of about
+   ``range_rows`` rows in the order of language and words.  A frequent word or phrase is
+   spread over as many ranges as it needs, as a salt ends the key.
+4. Each range is sorted by a three-way multikey quicksort (``frequent``): words
    are compared at one depth, the part that is equal to the pivot goes on at the
    next one down to ``longest``.  The size of an equal part is the count of its
    phrase; parts below ``least`` are abandoned.  Only phrases that the first or
    the last suffix of a range begins with may go on in a neighbouring range;
    their shares are handed on at any size and added up.
-4. Ordinary joins weigh every cut of a phrase, and phrases that a longer one
+5. Ordinary joins weigh every cut of a phrase, and phrases that a longer one
    covers go.
 
-The table of suffixes goes to the checkpoint folder and is deleted as soon as
-the phrases are stored.  A task holds one slice of texts (a text is never cut, so
-at least one whole text) or one range of suffixes.
+The tables of blocks and suffixes go to the checkpoint folder and are deleted as
+soon as the phrases are stored.  A task holds one slice of texts (a text is never cut,
+so at least one whole text), one block or one range of suffixes.
 
 Defined results: a null or empty text has no words; a null language counts as
 ``und``; repeated rows count each; words of any length and with any other control
@@ -33,7 +37,6 @@ part.
 from __future__ import annotations
 
 import uuid
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -80,44 +83,85 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, pa.Array, np.ndarray, np.n
     return place[coded.indices.to_numpy()], coded.dictionary.take(pa.array(order)).cast(pa.large_string()), piece, text
 
 
-def distinct_suffixes(codes: np.ndarray, piece: np.ndarray, group: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Group, word codes (-1 beyond the piece) and count of each different suffix, in ascending order."""
-    n = codes.size
-    grid = np.full((n, longest), -1, np.int64)
-    for k in range(min(longest, n)):
-        same = piece[k:] == piece[:n - k]
-        grid[:n - k, k][same] = codes[k:][same]
+def distinct_suffixes(codes: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word codes (-1 beyond the suffix) and count of each different suffix of two words or more, in ascending order.
+
+    ``codes``: the words in a row; -1 ends a suffix.
+    """
+    starts = np.flatnonzero((codes[:-1] >= 0) & (codes[1:] >= 0))
+    grid = np.full((starts.size, longest), -1, np.int32)
+    going = np.arange(starts.size)
+    for k in range(longest):
+        grid[going, k] = codes[starts[going] + k]
+        going = going[starts[going] + k + 1 < codes.size]
+        going = going[codes[starts[going] + k + 1] >= 0]
+    if not starts.size:
+        return grid, starts
     base = int(codes.max()) + 2
-    key = group.astype(np.int64)
+    key = np.zeros(starts.size, np.int64)
     for k in range(longest):
         key = np.unique(key * base + grid[:, k] + 1, return_inverse=True)[1]
     _, first, count = np.unique(key, return_index=True, return_counts=True)
-    return group[first], grid[first], count
+    return grid[first], count
 
 
-def _suffixes(docs: DataFrame, lang: Column, longest: int, slice_bytes: int, text_col: str) -> DataFrame:
+def _blocks(docs: DataFrame, lang: Column, slice_bytes: int, text_col: str) -> DataFrame:
+    """block, lang, size (words), words (different ones), counts, and codes: the words' places in a row, -1 between pieces."""
     src = docs.select(F.coalesce(lang.cast("string"), F.lit("und")).alias("_lang"),
                       F.col(text_col).cast("string").cast("binary").alias("_text")).filter("length(_text) > 0")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        block = TaskContext.get().partitionId() << 32
         for batch in _joined(batches, slice_bytes):
-            texts = batch.column("_text").to_pylist()
-            langs = batch.column("_lang").combine_chunks().dictionary_encode()
-            codes, vocabulary, piece, text = words_of(texts)
-            if not codes.size:
-                continue
-            group, grid, count = distinct_suffixes(codes, piece, langs.indices.to_numpy()[text], longest)
-            salt = zlib.crc32(texts[0])
-            for at in range(0, count.size, 1 << 16):
-                rows = slice(at, at + (1 << 16))
-                columns = [vocabulary.take(pa.array(c, mask=c < 0)) for c in grid[rows].T]
-                joined = pc.binary_join_element_wise(*columns, pa.scalar("", pa.large_string()), pa.scalar(_END, pa.large_string()),
-                                                     null_handling="skip")
+            by_lang: dict[str, list[bytes]] = {}
+            for name, text in zip(batch.column("_lang").to_pylist(), batch.column("_text").to_pylist(), strict=True):
+                by_lang.setdefault(name, []).append(text)
+            for name, texts in by_lang.items():
+                codes, vocabulary, piece, _ = words_of(texts)
+                if not codes.size:
+                    continue
+                ends = np.flatnonzero(np.diff(piece)) + 1
+                row = np.insert(codes, ends, -1).astype("<i4").tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [langs.dictionary.take(pa.array(group[rows])), joined.cast(pa.string()), pa.array(count[rows], pa.int64()),
-                     pa.array(np.full(len(joined), salt), pa.int64())], schema=_SUFFIXES)
+                    [pa.array([block], pa.int64()), pa.array([name]), pa.array([codes.size], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array([0, len(vocabulary)], pa.int32()), vocabulary.cast(pa.string())),
+                     pa.array([np.bincount(codes)], pa.list_(pa.int64())), pa.array([len(row)], pa.int64()),
+                     pa.array([pa.compress(row, "zstd", asbytes=True)], pa.binary())],
+                    names=["block", "lang", "size", "words", "counts", "bytes", "codes"])
+                block += 1
+
+    return src.mapInArrow(run, "block long, lang string, size long, words array<string>, counts array<long>, bytes long, codes binary")
 
-    return src.mapInArrow(run, "lang string, suffix string, n long, salt long")
+
+def _suffixes(blocks: DataFrame, kept: DataFrame, longest: int) -> DataFrame:
+    """lang, suffix, n and salt of the blocks' suffixes of two frequent words or more.
+
+    ``kept``: block and places of its frequent words.
+    """
+    both = blocks.select("block", "lang", "words", "bytes", "codes").join(kept, "block")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                lang, size = one.column("lang")[0].as_py(), one.column("bytes")[0].as_py()
+                words = one.column("words").flatten().cast(pa.large_string())
+                codes = np.frombuffer(pa.decompress(one.column("codes")[0].as_py(), decompressed_size=size, codec="zstd", asbytes=True), "<i4")
+                frequent_ = np.zeros(len(words) + 1, bool)  # the last place answers for -1
+                frequent_[one.column("places").flatten().to_numpy()] = True
+                grid, count = distinct_suffixes(np.where(frequent_[codes], codes, -1), longest)
+                salt = one.column("block")[0].as_py()
+                for at in range(0, count.size, 1 << 16):
+                    rows = slice(at, at + (1 << 16))
+                    columns = [words.take(pa.array(np.maximum(c, 0), mask=c < 0)) for c in grid[rows].T]
+                    joined = pc.binary_join_element_wise(*columns, pa.scalar("", pa.large_string()), pa.scalar(_END, pa.large_string()),
+                                                         null_handling="skip")
+                    n = len(joined)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), joined.cast(pa.string()),
+                                                      pa.array(count[rows], pa.int64()), pa.array(np.full(n, salt), pa.int64())], schema=_SUFFIXES)
+
+    return both.mapInArrow(run, "lang string, suffix string, n long, salt long")
 
 
 def _joined(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.Table]:
@@ -208,9 +252,9 @@ def _range_counts(batches: Iterator[pa.RecordBatch], longest: int, least: int) -
             pa.array([d for _, d, _ in some], pa.int32()), pa.array([c for _, _, c in some], pa.int64())], schema=_COUNTS)
 
 
-def phrase_counts(suffixes: DataFrame, rows: int, size: int, longest: int, least: int, block: int) -> DataFrame:
+def phrase_counts(suffixes: DataFrame, rows: int, size: int, longest: int, least: int, range_rows: int) -> DataFrame:
     """lang, phrase (every word followed by a tab), size in words and n of all phrases with n >= ``least``."""
-    parts = max(1, -(-rows // block), -(-size // (64 * block)))
+    parts = max(1, -(-rows // range_rows), -(-size // (64 * range_rows)))
     if parts > 1:
         parts = max(parts, min(shuffle_partitions(suffixes.sparkSession), -(-rows // 20000)))
     routed = suffixes.repartitionByRange(parts, "lang", "suffix", "salt")
@@ -255,18 +299,28 @@ def covered(phrases: DataFrame, per_cent: int = 100) -> DataFrame:
 
 
 def collocations(docs: DataFrame, least: int = 100, longest: int = 5, keep: int = 2000, lang_col: str = "lang",
-                 text_col: str = "text", slice_bytes: int = 16 << 20, block: int = 1 << 20) -> DataFrame:
+                 text_col: str = "text", slice_bytes: int = 8 << 20, range_rows: int = 1 << 20) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of each language's ``keep`` best phrases."""
     spark = docs.sparkSession
-    folder = f"{checkpoint_dir(spark)}/suffixes-{uuid.uuid4()}"
-    _suffixes(docs, F.col(lang_col), longest, slice_bytes, text_col).write.option("compression", "zstd").parquet(folder)
-    suffixes = spark.read.parquet(folder)
-    totals = stored(suffixes.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows"),
-                                                 F.sum(F.octet_length("suffix")).alias("size")))
-    rows, size = totals.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    phrases = stored(phrase_counts(suffixes, rows, size, longest, least, block))
+    folder = f"{checkpoint_dir(spark)}/collocations-{uuid.uuid4()}"
+
+    def put(df: DataFrame, name: str) -> DataFrame:
+        df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    blocks = put(_blocks(docs, F.col(f"`{lang_col}`"), slice_bytes, text_col), "blocks")
+    totals = stored(blocks.groupBy("lang").agg(F.sum("size").alias("n")))
+    word = F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w")
+    of_block = blocks.select("block", "lang", word).select("block", "lang", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    single = stored(of_block.groupBy("lang", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
+    kept = of_block.select("block", "lang", "place", "word").join(single.select("lang", "word"), ["lang", "word"]) \
+        .groupBy("block").agg(F.collect_list("place").alias("places"))  # as many as a block has words
+    suffixes = put(_suffixes(blocks, kept, longest), "suffixes")
+    rows, size = suffixes.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("suffix")), F.lit(0))).first()
+    longer = phrase_counts(suffixes, rows, size, longest, least, range_rows).filter("size >= 2")
+    phrases = stored(single.select("lang", F.concat("word", F.lit(_END)).alias("phrase"), F.lit(1).alias("size"), "n").unionByName(longer))
     delete_folder(spark, folder)
-    scored = cut_scores(phrases, totals.select("lang", "n"))
+    scored = cut_scores(phrases, totals)
     left = scored.join(covered(phrases), ["lang", "phrase"], "left_anti") \
         .withColumn("phrase", F.expr(f"translate(substr(phrase, 1, length(phrase) - {len(_END)}), '{_END}', ' ')"))
     best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")

@@ -53,7 +53,7 @@ def test_collocations_equal_brute_force(spark, block):
     df = spark.createDataFrame([(i, "z", lang, text) for i, (lang, text) in enumerate(rows)], "n long, phrase string, lang string, text string") \
         .repartition(7)
     for least, keep in ((5, 2000), (2, 7)):
-        got = collocations.collocations(df, least, keep=keep, slice_bytes=3000, block=block).collect()
+        got = collocations.collocations(df, least, keep=keep, slice_bytes=3000, range_rows=block).collect()
         assert Counter(map(tuple, got)) == plain_collocations(rows, least, keep)
 
 
