@@ -15,8 +15,9 @@ shingles reaches a threshold; the groups are the connected components.
    similarity of the full sets.
 4. Links found so far give components.  Buckets that still hold more than one
    component are merged by their smallest component, since near copies share
-   many buckets.  Members outside that component are held against all members of
-   other components, in cells of bounded size that fetch the full sets: sketches
+   many buckets.  Members outside that component are first held against a few of
+   its members, which joins most of them.  Those still outside are held against all
+   members of other components, in cells of bounded size that fetch the full sets: sketches
    are compared, pairs that pass and are still apart in the cell are tested
    exactly, and only the links that join something leave the cell (fewer than it
    has rows).  So every pair that shares a bucket is tested or already connected,
@@ -235,6 +236,30 @@ def components(edges: DataFrame) -> DataFrame:
         sign = now
 
 
+def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, id, label and low of the members of buckets with several components, merged by ``low``, the smallest one.
+
+    A bucket's center is left out: it was held against all others.
+    """
+    marked = buckets.join(labels.select(F.col("node").alias("id"), "label"), "id", "left") \
+        .select("key", "id", F.coalesce("label", "id").alias("label"), "center")
+    mixed = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+                                      F.count(F.lit(1)).alias("copies")).filter("low <> high AND copies > 2")
+    return _by_class(marked.filter("id <> center"), stored(mixed.select("key", "low", "copies")), ["key"]) \
+        .select(F.col("low").alias("key"), "id", "label", "low").distinct()
+
+
+def _few_each(members: DataFrame, few: int = 8) -> DataFrame:
+    """Pairs (a, b) of each stray with up to ``few`` members of its bucket's main component, so that most strays join it."""
+    stray = F.col("label") != F.col("low")
+    main = members.filter(~stray).groupBy("key", F.pmod(F.xxhash64("id"), F.lit(few)).alias("turn")).agg(F.min("id").alias("a")) \
+        .groupBy("key").agg(F.collect_list("a").alias("few"))
+    strays = members.filter(stray)
+    sizes = strays.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
+    return _by_class(strays.select("key", "id"), stored(main.join(sizes, "key")), ["key"]) \
+        .select("id", F.explode("few").alias("o")).select(F.least("id", "o").alias("a"), F.greatest("id", "o").alias("b")).distinct()
+
+
 def _across(members: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, words: int, least_estimate: float, block: int,
             id_col: str, text_col: str) -> DataFrame:
     """Links across components within buckets, as many as join something.
@@ -253,10 +278,9 @@ def _across(members: DataFrame, reps: DataFrame, docs: DataFrame, percent: int,
         rows, shingles = F.count_if(of), F.sum(F.when(of, F.col("n")).otherwise(0))
         return F.greatest(F.lit(1), F.ceil(rows / block), F.ceil(shingles / (block * LONG))).cast("int")
 
-    counts = sized.groupBy("key").agg(parts(F.lit(True)).alias("parts"), parts(stray).alias("stray_parts")) \
-        .withColumn("key", F.col("key") + 0)
+    counts = sized.groupBy("key").agg(parts(F.lit(True)).alias("parts"), parts(stray).alias("stray_parts"), F.count(F.lit(1)).alias("copies"))
     tasks = shuffle_partitions(members.sparkSession)
-    sized = sized.drop("n").join(counts, "key")
+    sized = _by_class(sized.drop("n"), stored(counts), ["key"])
     own = F.xxhash64("id")
     as_member = sized.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("stray_parts") - 1))) \
         .withColumn("j", F.pmod(own, F.col("parts")).cast("int")).withColumn("as_stray", F.lit(False))
@@ -334,7 +358,7 @@ def _by_class(rows: DataFrame, classes: DataFrame, key: list[str]) -> DataFrame:
 
 
 def text_groups(docs: DataFrame, percent: int = 75, words: int = 5, id_col: str = "doc_id", text_col: str = "text",
-                least_estimate: float = 0.65, block: int = 512) -> tuple[DataFrame, DataFrame, DataFrame]:
+                least_estimate: float = 0.65, block: int = 2048) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(described, nodes, groups): all rows; the class ``node`` of every row that has words and an id; the classes with
     ``label``, equal for classes whose texts are linked, directly or not, ``doc`` and ``th`` of the class's first row."""
     threshold = percent / 100
@@ -356,21 +380,21 @@ def text_groups(docs: DataFrame, percent: int = 75, words: int = 5, id_col: str
     found = stored(linked(stored(plausible(star, reps, threshold, least_estimate)), reps, docs, percent, id_col, text_col, words))
     labels = stored(components(found))
 
-    marked = buckets.join(labels.select(F.col("node").alias("id"), "label"), "id", "left") \
-        .select("key", "id", F.coalesce("label", "id").alias("label"), "center")
-    mixed = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"),
-                                      F.count(F.lit(1)).alias("size")).filter("low <> high AND size > 2")
-    members = marked.filter("id <> center").join(mixed.select((F.col("key") + 0).alias("key"), "low"), "key") \
-        .select(F.col("low").alias("key"), "id", "label", "low").distinct()
-    more = stored(_across(stored(members), reps, docs, percent, words, least_estimate, block, id_col, text_col))
-    if not more.isEmpty():
-        labels = stored(components(stored(found.unionAll(more))))
+    members = stored(_mixed(buckets, labels))
+    few = stored(_few_each(members).join(star, ["a", "b"], "left_anti"))
+    if not few.isEmpty():
+        found = stored(found.unionAll(linked(stored(plausible(few, reps, threshold, least_estimate)), reps, docs, percent, id_col, text_col, words)))
+        labels = stored(components(found))
+        members = stored(_mixed(buckets, labels))
+        more = stored(_across(members, reps, docs, percent, words, least_estimate, block, id_col, text_col))
+        if not more.isEmpty():
+            labels = stored(components(stored(found.unionAll(more))))
     groups = classes.select("node", "doc", "th", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     return described, nodes, stored(groups)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5, id_col: str = "doc_id", text_col: str = "text",
-                    least_estimate: float = 0.65, block: int = 512) -> DataFrame:
+                    least_estimate: float = 0.65, block: int = 2048) -> DataFrame:
     """id, n_shingles, component_id and kept of every row of ``docs``."""
     described, nodes, groups = text_groups(docs, percent, words, id_col, text_col, least_estimate, block)
     of_id = stored(_by_class(nodes, groups.select("node", "label", "copies"), ["node"]).select("id", "label").distinct())
