@@ -1,18 +1,20 @@
 """Document fingerprints by consistent weighted sampling.
 
 A text's terms are its pairs of neighbouring words, each weighted by how often
-it occurs.  Weights are whole numbers, so a term ``k`` of weight ``w`` stands for
-the elements (k, 1) .. (k, w), and a consistent weighted sample is the element
-with the smallest hash: it is uniform over the weight, and a text that holds
-the element keeps it whatever else it holds.  Each of ``SAMPLES`` hash functions
-draws from all elements, so two texts have the same sample with a probability
-equal to the generalised Jaccard similarity of their weights, even or not; the
-similarity is the share of equal samples.  The elements are as many as the
-text's pairs.
-
-A hash is one to one, so the smallest value is the sample's identity and a plain
-minimum; everything runs in grouped aggregations.  Elements that a text shares
-with its edited form are drawn from once for both.
+it occurs (any positive weight will do).  For each of ``SAMPLES`` samples and each
+term there are five uniform numbers, hashed from the term and the sample alone:
+r and c are drawn from Gamma(2, 1) as -ln(u1 u2), b is uniform.  With
+
+    t = floor(ln(w) / r + b),   y = exp(r (t - b)),   a = c / (y e^r)
+
+the sample is the (term, t) with the smallest a over all terms.  Two texts have the
+same sample with a probability equal to the generalised Jaccard similarity of their
+weights; the similarity is estimated by the share of equal samples.  A term costs the
+same however often it occurs, and its weight is a count: nothing is expanded.
+
+The five numbers are 25 bits each of three 64-bit hashes of the term's hash.  ln(a)
+is compared, so nothing overflows; it depends on nothing but the term and t, so equal
+values are equal samples, and a sample is a plain minimum in a grouped aggregation.
 
 Each document is also compared with an *edited* text and with the next document
 by id.  Documents are dealt by range of the id into many small buckets, each
@@ -36,8 +38,8 @@ from mercato.llm.common import stored
 
 SAMPLES = 64
 #: So many are drawn side by side: with more, the generated methods grow too large for the JVM to compile.
-SIDE = 32  # a multiple of 4
-_SALT = np.random.default_rng(20240902).integers(-(1 << 63), (1 << 63) - 1, SIDE, dtype=np.int64).tolist()
+SIDE = 8  # a multiple of 4
+_SALT = np.random.default_rng(20240902).integers(-(1 << 63), (1 << 63) - 1, 3 * SIDE, dtype=np.int64).tolist()
 
 
 # ------------------------------------------------------------ order of the ids
@@ -93,16 +95,30 @@ def _terms(text: Column) -> Column:
     return F.slice(F.arrays_zip(words.alias("p"), F.slice(words, F.lit(2), count).alias("q")), F.lit(1), count)
 
 
-def _draw(elements: DataFrame, key: list[str]) -> DataFrame:
+def _uniform(word: str, lane: int) -> str:
+    """A number in (0, 1) from 25 bits of a 64-bit word."""
+    return f"((shiftrightunsigned({word}, {39 - 25 * lane}) & 33554431L) + 0.5D) / 33554432D"
+
+
+def _draw(weighted: DataFrame, key: list[str]) -> DataFrame:
     """key, own and other: the marks of both texts' samples, 16 bits each, as arrays of longs, zeros without samples.
 
-    ``elements``: key, part and e; part 0 is in both texts, 1 in the first, 2 in the second, 3 in none.
+    ``weighted``: key, term, and the weights w0 in the first and w1 in the second text.
     """
     turns = range(SAMPLES // SIDE)
-    dealt = elements.withColumn("turn", F.explode(F.array(*map(F.lit, turns)))).select(*key, "part", "turn", F.xxhash64("e", "turn").alias("e"))
-    parts = dealt.groupBy(*key, "turn", "part").agg(*[F.expr(f"min(xxhash64(e ^ {x}L)) AS m{k}") for k, x in enumerate(_SALT)])
-    samples = parts.groupBy(*key, "turn").agg(*[F.expr(f"min(CASE WHEN part IN (0, {p}) THEN m{k} END) AS {name}{k}")
-                                                for name, p in (("own", 1), ("other", 2)) for k in range(SIDE)])
+    h = weighted.withColumn("turn", F.explode(F.array(*map(F.lit, turns)))) \
+        .select(*key, "turn", F.when(F.col("term").isNotNull(), F.xxhash64("term", "turn")).alias("e"), F.ln("w0").alias("l0"), F.ln("w1").alias("l1"))
+    words = h.select("*", *[F.expr(f"xxhash64(e ^ {_SALT[3 * k + i]}L) AS h{k}_{i}") for k in range(SIDE) for i in range(3)])
+    drawn = words.select(*key, "turn", "l0", "l1", *[
+        F.expr(text) for k in range(SIDE) for text in (
+            f"-ln({_uniform(f'h{k}_0', 0)} * ({_uniform(f'h{k}_0', 1)})) AS r{k}",
+            f"ln(-ln({_uniform(f'h{k}_1', 0)} * ({_uniform(f'h{k}_1', 1)}))) AS c{k}",
+            f"{_uniform(f'h{k}_2', 0)} AS b{k}")])
+    # ln a = ln c - r (t - b) - r is a function of the term and t alone, so its bits stand for the sample
+    def best(k: int, name: str, weight: str) -> Column:
+        return F.expr(f"min(c{k} - r{k} * (floor({weight} / r{k} + b{k}) - b{k}) - r{k}) AS {name}{k}")
+
+    samples = drawn.groupBy(*key, "turn").agg(*[best(k, name, weight) for name, weight in (("own", "l0"), ("other", "l1")) for k in range(SIDE)])
 
     def lanes(name: str, q: int) -> str:
         return " | ".join(f"shiftleft(pmod(xxhash64({name}{4 * q + i}), 65535L) + 1, {16 * i})" for i in range(4))
@@ -154,13 +170,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     terms = rows.select(*key, F.explode(texts).alias("x")) \
         .select(*key, F.col("x.v").alias("v"), F.explode_outer(_terms(F.col("x.t"))).alias("p")) \
         .select(*key, "v", F.when(F.col("p").isNotNull(), F.xxhash64(F.col("p.p"), F.col("p.q"))).alias("term"))
-    weighted = terms.groupBy(*key, "term").agg(F.count_if(F.col("v") == 0).alias("w0"), F.count_if(F.col("v") == 1).alias("w1"))
-    # elements up to the smaller weight are in both texts, those above in one; a text without words has none
-    both = F.least("w0", "w1")
-    elements = weighted.select(*key, "term", "w0", both.alias("both"), F.explode(F.sequence(F.lit(1).cast("long"), F.greatest("w0", "w1"))).alias("i")) \
-        .select(*key, F.when(F.col("term").isNull(), 3).when(F.col("i") <= F.col("both"), 0).when(F.col("i") <= F.col("w0"), 1).otherwise(2).alias("part"),
-                F.xxhash64("term", "i").alias("e"))
-    marks = _draw(elements, key)
+    # a weight of 0 has no logarithm and draws nothing; nor does a text without words, whose term is null
+    weight = {name: F.when(F.col("term").isNotNull(), F.nullif(F.count_if(F.col("v") == v), F.lit(0))).cast("double").alias(name)
+              for v, name in enumerate(("w0", "w1"))}
+    weighted = terms.groupBy(*key, "term").agg(*weight.values())
+    marks = _draw(weighted, key)
     in_order = Window.partitionBy("bucket").orderBy("at")
     judged = marks.withColumn("next", F.lead("own").over(in_order)).select(
         *key, _hex("own").alias("fingerprint"), _hex("other").alias("edited_fingerprint"),
