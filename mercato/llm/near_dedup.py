@@ -351,8 +351,11 @@ def _by_class(rows: DataFrame, classes: DataFrame, key: list[str]) -> DataFrame:
     are sent to the tasks, so the rows of a class that a third of all rows belong to
     stay where they are.
     """
-    total = classes.agg(F.sum("copies")).first()[0] or 0
-    large = F.col("copies") > max(1000, total // 100_000)
+    total, most = classes.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.coalesce(F.max("copies"), F.lit(0))).first()
+    bound = max(1000, total // 100_000)
+    if most <= bound:
+        return rows.join(classes, key).drop("copies")
+    large = F.col("copies") > bound
     heavy, light = F.broadcast(classes.filter(large)), classes.filter(~large)
     return rows.join(heavy, key).unionByName(rows.join(heavy.select(*key), key, "left_anti").join(light, key)).drop("copies")
 
