@@ -17,11 +17,12 @@ over whole texts of all documents (``score_corpus``):
    the corpus are alike.
 3. Each block's distinct 4-grams are joined with their losses and go back to
    their block, where texts are scored.  A 4-gram has one row a block however
-   often it occurs, and the driver gets three numbers.
+   often it occurs, and the driver gets four numbers.
 
-``learn`` and ``score`` are the same models over a vocabulary of fixed ``size``:
-the most frequent characters and one token for all others, with two tables of
-``size ** 4`` losses in memory.
+A block is held as one row of 32-bit places among its characters and its 4-grams are
+made a million at a time, so a task needs some 15 bytes a character of a block.
+Blocks of 16 MB have about the distinct 4-grams of blocks of 2 MB twice over, so far
+fewer rows go out and back.
 
 Defined results: a null text counts as empty; an empty text has no tokens and
 losses and score 0; without target documents the target model is uniform over the
@@ -33,7 +34,6 @@ or not in the corpus do nothing; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -46,158 +46,72 @@ from mercato.llm.common import shuffle_partitions, slices, stored, texts_of
 ORDER = 4
 
 
-def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-cased code points of all texts in a row, and each text's number of them."""
-    lower = [t.lower() for t in texts]
-    return np.frombuffer("".join(lower).encode("utf-32-le", "surrogatepass"), np.uint32), np.array([len(t) for t in lower], np.int64)
-
-
-def vocabulary(docs: DataFrame, size: int = 48, text_col: str = "text") -> list[int]:
-    """The ``size - 2`` most frequent characters; ties go to the smaller code point.
-
-    Token 0 stands before a text's beginning, the last token for all other characters.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0x110000, np.int64)
-        for part in slices(batches, "_text"):
-            n = np.bincount(_codes(texts_of(part, "_text"))[0])
-            total[:n.size] += n
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], names=["code", "n"])
-
-    rows = docs.select(F.col(text_col).cast("string").alias("_text")).mapInArrow(run, "code long, n long") \
-        .groupBy("code").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "code").limit(size - 2).collect()
-    return [r["code"] for r in rows]
-
-
-def grams(texts: list[str], vocab: list[int], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The 4-gram that ends at each token, as a number to the base ``size``, and each text's number of tokens."""
-    codes, lengths = _codes(texts)
-    table = np.full(max([*vocab, 0]) + 2, size - 1, np.int64)
-    table[vocab] = np.arange(1, len(vocab) + 1)
-    ends = np.cumsum(lengths + ORDER - 1)
-    x = np.zeros(int(ends[-1]) if len(texts) else 0, np.int64)
-    at = np.arange(codes.size) + np.repeat(np.arange(1, len(texts) + 1) * (ORDER - 1), lengths)
-    x[at] = table[np.minimum(codes, table.size - 1)]
-    g = x.copy()
-    for k in range(1, ORDER):
-        g[k:] += x[:-k] * size ** k if k < x.size else 0
-    return g[at], lengths
-
-
-def counts(docs: DataFrame, target_ids: DataFrame, vocab: list[int], size: int = 48, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """gram, background and target: how often each 4-gram occurs in all documents and in the target's."""
-    wanted = target_ids.select(F.col(id_col).alias("_target")).filter("_target IS NOT NULL").distinct()
-    src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")) \
-        .join(wanted, F.col("_id") == F.col("_target"), "left") \
-        .select("_text", F.col("_target").isNotNull().alias("_in"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, size ** ORDER), np.int64)
-        for part in slices(batches, "_text"):
-            g, lengths = grams(texts_of(part, "_text"), vocab, size)
-            inside = np.repeat(part.column(1).to_numpy(zero_copy_only=False).astype(bool), lengths)
-            for which, some in ((0, g), (1, g[inside])):
-                if some.size:
-                    n = np.bincount(some)
-                    total[which, :n.size] += n
-        seen = np.flatnonzero(total[0])
-        for a in range(0, seen.size, 50_000):
-            at = seen[a:a + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[0][at]), pa.array(total[1][at])],
-                                             names=["gram", "background", "target"])
-
-    return src.mapInArrow(run, "gram long, background long, target long") \
-        .groupBy("gram").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-
-
-def losses(gram: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
-    """-ln P(last token | the three before it) of every 4-gram, seen or not."""
-    c = np.zeros(size ** ORDER, np.float32)
-    c[gram] = n
-    c = c.reshape((size,) * ORDER)
-    p = np.full(size, 1.0 / size, np.float32)
-    for order in range(1, ORDER + 1):
-        part = c.sum(axis=tuple(range(ORDER - order)), dtype=np.float64).astype(np.float32) if order < ORDER else c
-        kinds = (part > 0).sum(-1, keepdims=True, dtype=np.float32)
-        whole = part.sum(-1, keepdims=True)
-        p = np.where(whole > 0, (part + kinds * p) / np.maximum(whole + kinds, 1), p)
-    return -np.log(p).ravel()
-
-
-@dataclass(frozen=True)
-class Models:
-    vocab: list[int]
-    size: int
-    target: np.ndarray
-    background: np.ndarray
-
-
-def learn(docs: DataFrame, target_ids: DataFrame, size: int = 48, id_col: str = "doc_id", text_col: str = "text") -> Models:
-    """Both models, counted over all of ``docs``; the target is the documents whose id is in ``target_ids``."""
-    vocab = vocabulary(docs, size, text_col)
-    table = stored(counts(docs, target_ids, vocab, size, id_col, text_col)).toPandas()  # at most size**4 rows
-    gram = table["gram"].to_numpy(np.int64)
-    return Models(vocab, size, losses(gram, table["target"].to_numpy(np.float32), size),
-                  losses(gram, table["background"].to_numpy(np.float32), size))
-
-
-def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The id, n_tokens, target_loss, background_loss and score (their difference) of every row."""
-    src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    id_type = src.schema["_id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for part in slices(batches, "_text"):
-            g, lengths = grams(texts_of(part, "_text"), m.vocab, m.size)
-            ends = np.cumsum(lengths)
-            means = []
-            for table in (m.target, m.background):
-                sums = np.concatenate(([0.0], np.cumsum(table[g], dtype=np.float64)))
-                means.append((sums[ends] - sums[ends - lengths]) / np.maximum(lengths, 1))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(lengths), *map(pa.array, means), pa.array(means[0] - means[1])],
-                names=["_id", "n_tokens", "target_loss", "background_loss", "score"])
+_CHAR = 21  # bits of a code point, which is shifted by one: 0 stands before a text's beginning
 
-    return src.mapInArrow(run, f"_id {id_type}, n_tokens long, target_loss double, background_loss double, score double") \
-        .withColumnRenamed("_id", id_col)
 
+_PIECE = 1 << 20  # places of a block taken at a time
 
-# ------------------------------------------------- all characters of the corpus
 
-_CHAR = 21  # bits of a code point, which is shifted by one: 0 stands before a text's beginning
+class _Texts:
+    """The 4-grams of a block's joined texts.
 
+    ``row`` has three zeros before each text and the places of its characters among
+    ``symbols``.  A 4-gram's code joins the numbers of its two halves: to the base of
+    the number of symbols, or by rank among the block's pairs where there are too many.
+    """
 
-def _tokens(blob: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Context (three characters) and last character of every token of a block's joined texts."""
-    codes = np.frombuffer(blob, np.uint32)
-    x = np.zeros(codes.size + lengths.size * (ORDER - 1), np.int64)
-    at = np.arange(codes.size) + np.repeat(np.arange(1, lengths.size + 1) * (ORDER - 1), lengths)
-    x[at] = codes.astype(np.int64) + 1
-    context = (x[at - 3] << 2 * _CHAR) | (x[at - 2] << _CHAR) | x[at - 1]
-    return context, x[at]
-
-
-def _distinct(blob: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A block's distinct 4-grams, in a fixed order: context, character and code; and every token's code."""
-    context, char = _tokens(blob, lengths)
-    symbols = np.unique(np.concatenate((char, np.zeros(1, np.int64))))
-    n = symbols.size
-    if n < 1 << 15:  # the code is the 4-gram to the base n
-        place = np.zeros(int(symbols[-1]) + 1, np.int64)
-        place[symbols] = np.arange(n)
-        mask = (1 << _CHAR) - 1
-        code = ((place[context >> 2 * _CHAR] * n + place[(context >> _CHAR) & mask]) * n + place[context & mask]) * n + place[char]
-        seen = np.sort(code)
-        seen = seen[np.concatenate((np.ones(min(1, seen.size), bool), seen[1:] != seen[:-1]))]
-        return (symbols[seen // n ** 3] << 2 * _CHAR) | (symbols[seen // n ** 2 % n] << _CHAR) | symbols[seen // n % n], symbols[seen % n], seen, code
-    contexts, rank = np.unique(context, return_inverse=True)
-    code = (rank << _CHAR) | char
-    seen = np.unique(code)
-    return contexts[seen >> _CHAR], seen & ((1 << _CHAR) - 1), seen, code
+    def __init__(self, blob: bytes, lengths: np.ndarray):
+        codes = np.frombuffer(blob, np.uint32)
+        seen = np.zeros(0x110000, bool)
+        for a in range(0, codes.size, _PIECE):
+            seen[codes[a:a + _PIECE]] = True
+        self.symbols = np.concatenate((np.zeros(1, np.int64), np.flatnonzero(seen) + 1))
+        place = np.cumsum(seen, dtype=np.int32)
+        inside = np.ones(codes.size + lengths.size * (ORDER - 1), bool)
+        opens = np.cumsum(lengths) - lengths + np.arange(lengths.size) * (ORDER - 1)
+        for k in range(ORDER - 1):
+            inside[opens + k] = False
+        places = np.empty(codes.size, np.int32)
+        for a in range(0, codes.size, _PIECE):
+            places[a:a + _PIECE] = place[codes[a:a + _PIECE]]
+        self.row = np.zeros(inside.size, np.int32)
+        self.row[inside] = places
+        self.ends = np.cumsum(lengths)
+        self.pairs = None if self.symbols.size < 1 << 15 else _merged([np.unique(p) for p in self._halves()])
+        self.base = self.symbols.size ** 2 if self.pairs is None else self.pairs.size
+
+    def _halves(self) -> Iterator[np.ndarray]:
+        """Of each piece, the pair that ends at each place, from two places before the piece on."""
+        for a in range(ORDER - 1, self.row.size, _PIECE):
+            part = self.row[a - 3:a + _PIECE].astype(np.int64)
+            yield part[:-1] * self.symbols.size + part[1:]
+
+    def pieces(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Codes of the 4-grams that end at each token, and the tokens' texts, both in their order."""
+        done = 0
+        for a, pair in zip(range(ORDER - 1, self.row.size, _PIECE), self._halves(), strict=True):
+            if self.pairs is not None:
+                pair = np.searchsorted(self.pairs, pair)
+            code = (pair[:-2] * self.base + pair[2:])[self.row[a:a + _PIECE] > 0]
+            yield code, np.searchsorted(self.ends, np.arange(done, done + code.size), "right")
+            done += code.size
+
+    def distinct(self) -> np.ndarray:
+        """All codes, ascending."""
+        return _merged([np.unique(code) for code, _ in self.pieces()])
+
+    def spelled(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Context (three characters of ``_CHAR`` bits) and last character of 4-grams."""
+        halves = [code // self.base, code % self.base]
+        if self.pairs is not None:
+            halves = [self.pairs[h] for h in halves]
+        n = self.symbols.size
+        a, b, c, d = (self.symbols[x] for h in halves for x in (h // n, h % n))
+        return (a << 2 * _CHAR) | (b << _CHAR) | c, d
+
+
+def _merged(parts: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
 
 
 def _blocks(src: DataFrame, id_type: str, block_bytes: int) -> DataFrame:
@@ -241,13 +155,23 @@ def _block_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
             blob, lengths = _text_of(row)
-            context, char, seen, code = _distinct(blob, lengths)
-            inside = code[np.repeat(np.array(row["inside"], bool), lengths)]
-            n = [np.searchsorted(x, seen, "right") - np.searchsorted(x, seen) for x in (np.sort(code), np.sort(inside))]
+            texts = _Texts(blob, lengths)
+            wanted = np.array(row["inside"], bool)
+            parts, ns = [], []
+            for code, owner in texts.pieces():
+                some, n = np.unique(code, return_counts=True)
+                among = np.sort(code[wanted[owner]])
+                parts.append(some)
+                ns.append((n, np.searchsorted(among, some, "right") - np.searchsorted(among, some)))
+            seen = _merged(parts)
+            n = np.zeros((2, seen.size), np.int64)
+            for some, both in zip(parts, ns, strict=True):
+                n[:, np.searchsorted(seen, some)] += both
+            context, char = texts.spelled(seen)
             for a in range(0, seen.size, 50_000):
                 s = slice(a, a + 50_000)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(seen[s].size, row["block"])), pa.array(np.arange(a, a + seen[s].size)), pa.array(context[s]),
+                    [pa.array(np.full(seen[s].size, row["block"])), pa.array(np.arange(a, a + seen[s].size), pa.int32()), pa.array(context[s]),
                      pa.array(char[s]), pa.array(n[0][s]), pa.array(n[1][s])],
                     names=["block", "at", "context", "char", "background", "target"])
 
@@ -286,7 +210,7 @@ def gram_losses(counted: DataFrame) -> DataFrame:
 
 
 def score_corpus(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 block_bytes: int = 2 << 20) -> DataFrame:
+                 block_bytes: int = 16 << 20) -> DataFrame:
     """The id, n_tokens, target_loss, background_loss and score of every row, by models over all characters of ``docs``."""
     wanted = target_ids.select(F.col(id_col).alias("_target")).filter("_target IS NOT NULL").distinct()
     src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")) \
@@ -294,7 +218,7 @@ def score_corpus(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id",
         .select("_id", "_text", F.col("_target").isNotNull().alias("_in"))
     id_type = src.schema["_id"].dataType.simpleString()
     blocks = stored(_blocks(src, id_type, block_bytes))
-    grams_ = blocks.mapInArrow(_block_grams, "block long, at long, context long, char long, background long, target long")
+    grams_ = blocks.mapInArrow(_block_grams, "block long, at int, context long, char long, background long, target long")
     counted = stored(grams_.groupBy("context", "char").agg(F.sum("background").alias("background"), F.sum("target").alias("target")))
     table = gram_losses(counted)
     answers = grams_.select("block", "at", "context", "char").join(table.withColumn("char", F.col("char") + 0), ["context", "char"]) \
@@ -307,13 +231,16 @@ def score_corpus(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id",
         tables = [losses_.column(c).to_numpy()[order] for c in ("target_loss", "background_loss")]
         for row in texts.select(["lengths", "size", "blob"]).to_pylist():
             blob, lengths = _text_of(row)
-            _, _, seen, code = _distinct(blob, lengths)
-            at = pd.Index(seen).get_indexer(code)
-            ends = np.cumsum(lengths)
-            means = []
-            for table_ in tables:
-                sums = np.concatenate(([0.0], np.cumsum(table_[at], dtype=np.float64)))
-                means.append((sums[ends] - sums[ends - lengths]) / np.maximum(lengths, 1))
+            block = _Texts(blob, lengths)
+            index = pd.Index(block.distinct())
+            sums = np.zeros((2, lengths.size))
+            for code, owner in block.pieces():
+                if code.size:
+                    at, first = index.get_indexer(code), owner[0]
+                    for which, table_ in enumerate(tables):
+                        n = np.bincount(owner - first, table_[at])
+                        sums[which, first:first + n.size] += n
+            means = sums / np.maximum(lengths, 1)
             parts.append((lengths, *means, means[0] - means[1]))
         ids = texts.column("ids").combine_chunks().flatten()
         columns = [np.concatenate(c) for c in zip(*parts, strict=True)]

@@ -63,58 +63,8 @@ def test_token_counts_of_a_table(spark):
 
 # ------------------------------------------------------------ language models
 
-def plain_models(texts, targets, size):
-    chars = Counter(c for t in texts for c in t.lower())
-    vocab = [c for c, _ in sorted(chars.items(), key=lambda x: (-x[1], x[0]))[:size - 2]]
-    number = {c: i + 1 for i, c in enumerate(vocab)}
-    tokens = [[0, 0, 0, *[number.get(c, size - 1) for c in t.lower()]] for t in texts]
-
-    def model(some):
-        n = Counter()
-        for x in some:
-            for i in range(3, len(x)):
-                for k in range(4):
-                    n[tuple(x[i - k:i + 1])] += 1
-        whole, kinds = Counter(), Counter()
-        for g, c in n.items():
-            whole[g[:-1]] += c
-            kinds[g[:-1]] += 1
-
-        def p(h, c):
-            low = 1 / size if not h else p(h[1:], c)
-            if h == ():
-                low = 1 / size
-            return (n[(*h, c)] + kinds[h] * low) / (whole[h] + kinds[h]) if whole[h] else low
-        return lambda x: sum(-math.log(p(tuple(x[i - 3:i]), x[i])) for i in range(3, len(x))) / max(len(x) - 3, 1)
-
-    a, b = model([x for x, t in zip(tokens, targets) if t]), model(tokens)
-    return [(len(x) - 3, a(x), b(x)) for x in tokens]
-
-
-def test_losses_equal_a_plain_model(spark):
-    texts = [(i, "".join(random.Random(i).choice("abcdeé A日") for _ in range(20 + i))) for i in range(12)] + [(20, ""), (21, None)]
-    docs = spark.createDataFrame(texts, "doc_id long, text string")
-    ids = spark.createDataFrame([(0,), (2,), (2,), (None,), (99,)], "doc_id long")
-    models = lm_scoring.learn(docs, ids, size=7)
-    got = {r["doc_id"]: r for r in lm_scoring.score(docs, models).collect()}
-    expected = plain_models([t or "" for _, t in texts], [i in (0, 2) for i, _ in texts], 7)
-    for (i, _), (n, a, b) in zip(texts, expected, strict=True):
-        r = got[i]
-        assert r["n_tokens"] == n and r["target_loss"] == pytest.approx(a, rel=1e-4) and r["background_loss"] == pytest.approx(b, rel=1e-4)
-        assert r["score"] == pytest.approx(r["target_loss"] - r["background_loss"])
-
-
-def test_language_model_edges(spark):
-    docs = odd(spark)
-    ids = docs.select("doc_id").limit(0)
-    out = lm_scoring.score(docs, lm_scoring.learn(docs, ids)).collect()
-    assert len(out) == len(ODD) and all(r["target_loss"] == pytest.approx(math.log(48), rel=1e-5) for r in out if r["n_tokens"])
-    empty = lm_scoring.learn(docs.limit(0), ids)
-    assert lm_scoring.score(docs.limit(0), empty).count() == 0
-
-
 def plain_models_over(texts, targets, size):
-    """As plain_models, but of all characters; ``size`` is only their number."""
+    """Of all characters; ``size`` is only their number."""
     names = sorted({c for t in texts for c in t.lower()})
     number = {c: i + 1 for i, c in enumerate(names)}
     tokens = [[0, 0, 0, *[number[c] for c in t.lower()]] for t in texts]
@@ -153,6 +103,26 @@ def test_losses_over_all_characters(spark):
     assert lm_scoring.score_corpus(docs.limit(0), ids).count() == 0
 
 
+def test_codes_of_4_grams(monkeypatch):
+    """Whatever the pieces and however many characters, the codes spell every text's 4-grams in their order."""
+    rng = random.Random(3)
+    many = [chr(0x4E00 + k) for k in range(20_000)] + [chr(0x20000 + k) for k in range(20_000)]
+    for texts in (["abcab", "", "b", "日本abc"], [], [""], ["".join(rng.sample(many, 39_000)), "ab", "".join(rng.choices("ab", k=50))]):
+        for piece in (7, 1000, 1 << 20):
+            if piece == 7 and sum(map(len, texts)) > 1000:
+                continue
+            monkeypatch.setattr(lm_scoring, "_PIECE", piece)
+            block = lm_scoring._Texts("".join(texts).encode("utf-32-le"), np.array([len(t) for t in texts], np.int64))
+            got = [(int(o), int(c), int(d)) for code, owner in block.pieces() for o, c, d in zip(owner, *block.spelled(code), strict=True)]
+            want = []
+            for i, t in enumerate(texts):
+                x = [0, 0, 0, *[ord(c) + 1 for c in t]]
+                want += [(i, (x[k - 3] << 42) | (x[k - 2] << 21) | x[k - 1], x[k]) for k in range(3, len(x))]
+            assert got == want
+            assert block.distinct().tolist() == sorted({int(c) for code, _ in block.pieces() for c in code})
+    assert block.pairs is not None
+
+
 # --------------------------------------------------------------- fingerprints
 
 def terms(t):
