@@ -604,6 +604,52 @@ def churn_metrics(spark, sf_dir):
     return evaluate(model, test)
 
 
+@register("churn_class_report")
+def churn_class_report(spark, sf_dir):
+    from mercato.plans.ml import report, train_churn
+    model, _, test = train_churn(_gold(spark, sf_dir).customer_rfm)
+    return report(model, test)
+
+
+# The plain rule that a fitted model has to beat: days since the last order as the score,
+# a recency score of 2 or less as the prediction.
+_RULE = """
+, s AS (SELECT recency_days AS score, CASE WHEN r_score <= 2 THEN 1 ELSE 0 END AS pred,
+  CASE WHEN rfm_segment IN ('At Risk', 'Needs Attention', 'Lost') THEN 1 ELSE 0 END AS label FROM gold_customer_rfm)"""
+
+
+def _rule(spark, sf_dir):
+    from mercato.plans.ml import churn_frame
+    return churn_frame(_gold(spark, sf_dir).customer_rfm).select(
+        "customer_key", "recency_days", "churn_label", F.when(F.col("r_score") <= 2, 1).otherwise(0).alias("prediction"))
+
+
+@register("churn_rule_auc", with_ctes(["gold_customer_rfm"], _RULE + """,
+g AS (SELECT score, COUNT(*) FILTER (label = 1) AS p, COUNT(*) FILTER (label = 0) AS n FROM s WHERE score IS NOT NULL GROUP BY score),
+c AS (SELECT p, n, SUM(n) OVER (ORDER BY score) - n AS below FROM g)
+SELECT CAST(SUM(p * (2 * below + n)) AS DOUBLE) / NULLIF(CAST(2 * SUM(p) * SUM(n) AS DOUBLE), 0) AS auc,
+  CAST(SUM(p) AS BIGINT) AS positives, CAST(SUM(n) AS BIGINT) AS negatives
+FROM c"""))
+def churn_rule_auc(spark, sf_dir):
+    from mercato.plans.metrics import exact_auc
+    return exact_auc(_rule(spark, sf_dir), "recency_days", "churn_label", "customer_key")
+
+
+@register("churn_rule_report", with_ctes(["gold_customer_rfm"], _RULE + """,
+k AS (SELECT k.class, COUNT(*) FILTER (label = k.class) AS support, COUNT(*) FILTER (pred = k.class) AS predicted,
+  COUNT(*) FILTER (label = k.class AND pred = k.class) AS hit FROM s, (VALUES (0), (1)) k(class) GROUP BY k.class),
+m AS (SELECT CAST(class AS VARCHAR) AS class, COALESCE(hit / NULLIF(predicted, 0), 0) AS precision, COALESCE(hit / NULLIF(support, 0), 0) AS recall,
+  COALESCE(2 * hit / NULLIF(support + predicted, 0), 0) AS f1, support, hit FROM k WHERE support + predicted > 0)
+SELECT 'class' AS kind, class, precision, recall, f1, support FROM m
+UNION ALL SELECT 'all', 'accuracy', NULL, NULL, SUM(hit) / SUM(support), CAST(SUM(support) AS BIGINT) FROM m
+UNION ALL SELECT 'all', 'macro avg', SUM(precision) / COUNT(*), SUM(recall) / COUNT(*), SUM(f1) / COUNT(*), CAST(SUM(support) AS BIGINT) FROM m
+UNION ALL SELECT 'all', 'weighted avg', SUM(precision * support) / SUM(support), SUM(recall * support) / SUM(support),
+  SUM(f1 * support) / SUM(support), CAST(SUM(support) AS BIGINT) FROM m"""))
+def churn_rule_report(spark, sf_dir):
+    from mercato.plans.metrics import class_report
+    return class_report(_rule(spark, sf_dir), "churn_label", "prediction")
+
+
 @register("churn_feature_importance")
 def churn_feature_importance(spark, sf_dir):
     from mercato.plans.ml import feature_importance, train_churn

@@ -13,7 +13,6 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions.numeric import round_half_up
 from mercato.operators.ranking import global_rank
+from mercato.plans.metrics import class_report, exact_auc
 
 NUMERIC = ["recency_days", "frequency", "lifetime_value", "avg_order_value", "r_score", "f_score", "m_score",
            "rfm_score", "customer_lifetime_days"]
@@ -80,23 +80,32 @@ def score(model: PipelineModel, frame: DataFrame) -> DataFrame:
                       p.alias("churn_probability")).withColumn("risk_tier", risk_tier(F.col("churn_probability")))
 
 
+def _predicted(model: PipelineModel, test: DataFrame) -> DataFrame:
+    return model.transform(test).select("customer_key", "churn_label", F.col("prediction").cast("int").alias("prediction"),
+                                        vector_to_array("rawPrediction")[1].alias("raw"))
+
+
 def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
-    """AUC, accuracy, precision, recall, F1 (positive class) as one row."""
-    pred = model.transform(test)
-    auc = BinaryClassificationEvaluator(labelCol="churn_label", rawPredictionCol="rawPrediction",
-                                        metricName="areaUnderROC").evaluate(pred)
+    """AUC (exact), accuracy, precision, recall, F1 (positive class) as one row."""
+    pred = _predicted(model, test)
+    auc = exact_auc(pred, "raw", "churn_label", "customer_key").first()["auc"]
     c = pred.agg(F.count_if((F.col("prediction") == 1) & (F.col("churn_label") == 1)).alias("tp"),
                  F.count_if((F.col("prediction") == 1) & (F.col("churn_label") == 0)).alias("fp"),
                  F.count_if((F.col("prediction") == 0) & (F.col("churn_label") == 1)).alias("fn"),
                  F.count_if((F.col("prediction") == 0) & (F.col("churn_label") == 0)).alias("tn"))
     prec = F.col("tp") / F.nullif(F.col("tp") + F.col("fp"), F.lit(0))
     rec = F.col("tp") / F.nullif(F.col("tp") + F.col("fn"), F.lit(0))
-    return c.select(F.lit(auc).alias("auc"),
+    return c.select(F.lit(auc).cast("double").alias("auc"),
                     ((F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")))
                     .alias("accuracy"), prec.alias("precision"), rec.alias("recall"),
                     (2 * prec * rec / F.nullif(prec + rec, F.lit(0))).alias("f1"), "tp", "fp", "fn", "tn")
 
 
+def report(model: PipelineModel, test: DataFrame) -> DataFrame:
+    """Precision, recall, F1 and support per class, with accuracy and averages."""
+    return class_report(_predicted(model, test), "churn_label", "prediction")
+
+
 def feature_importance(model: PipelineModel) -> DataFrame:
     gbt = model.stages[-1]
     names = NUMERIC + CATEGORICAL
