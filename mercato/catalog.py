@@ -800,6 +800,24 @@ def preview_shipping(spark, sf_dir):
                        "shipping_analysis")
 
 
+# -- ranking without a window over all rows ------------------------------------------------
+
+@register("rfm_narrowed", ORACLE["gold_customer_rfm"])
+def rfm_narrowed(spark, sf_dir):
+    """RFM with the quintile bounds searched for down to pieces of 64 customers."""
+    return G.as_output(G.customer_rfm(silver(spark, sf_dir).fact_orders, rows_per_bucket=64), "customer_rfm")
+
+
+@register("order_price_ranks", """
+SELECT o_orderkey, o_totalprice, ROW_NUMBER() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS price_rank FROM orders""")
+def order_price_ranks(spark, sf_dir):
+    """Every order's place by price, from at least eight sorted ranges."""
+    from mercato.operators.ranking import global_rank
+    from mercato.sources.tables import read
+    rows = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return global_rank(rows, [("o_totalprice", False), ("o_orderkey", True)], "price_rank", min_buckets=8)[0]
+
+
 # -- feeds, incremental refresh, enforced writes, text lookup ------------------------------
 
 from mercato import catalog_serving  # noqa: E402

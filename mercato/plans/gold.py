@@ -12,7 +12,7 @@ Scale notes
   aggregation with map-side partial aggregation; no group is gathered whole.
 * window functions are partitioned by (region, segment) or run over one row
   per quarter / month, i.e. over tables bounded by the calendar, never by the
-  data volume; the per-customer scores use ``distributed_ntile``.
+  data volume; the per-customer scores use ``ranking.ntiles``.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from mercato.functions.numeric import (MONEY, count_if_pct, exact_avg, growth_pct, ratio_pct,
                                        round_half_up)
 from mercato.operators.joins import broadcast_bounded
-from mercato.operators.ranking import distributed_ntile
+from mercato.operators.ranking import ntiles
 from mercato.session import checkpoint_dir
 
 NOTEBOOK, VIEW = "notebook", "view"
@@ -128,10 +128,8 @@ def rfm_segment_by_rules(r, f, m):
 def _scores(base: DataFrame, base_materialized: bool = False, **kw) -> DataFrame:
     """Quintile scores; ties broken by customer_key (NULL key sorts first)."""
     key = ("customer_key", True)
-    s = distributed_ntile(base, 5, [("recency_days", False), key], "r_score",
-                          materialized=base_materialized, **kw)
-    s = distributed_ntile(s, 5, [("frequency", True), key], "f_score", **kw)
-    s = distributed_ntile(s, 5, [("monetary", True), key], "m_score", **kw)
+    s = ntiles(base, 5, {"r_score": [("recency_days", False), key], "f_score": [("frequency", True), key],
+                         "m_score": [("monetary", True), key]}, materialized=base_materialized, **kw)
     return s.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from mercato.operators.ranking import distributed_ntile, exact_percentiles, global_rank
+from mercato.operators.ranking import distributed_ntile, exact_percentiles, global_rank, ntiles, total_percentiles
 
 
 def _data(spark, n, distinct):
@@ -48,3 +48,44 @@ def test_percentiles_match_builtin(spark):
     assert a.keys() == b.keys()
     for g in a:
         assert a[g] == pytest.approx(b[g], rel=1e-12)
+
+
+def test_several_orders_are_searched_together(spark):
+    df = _data(spark, 4001, 3).withColumn("s", F.concat(F.lit("n"), F.col("nv")))
+    orders = {"a": [("v", False), ("k", True)], "b": [("nv", True), ("k", True)], "c": [("s", True), ("k", True)]}
+    got = ntiles(df, 6, orders, rows_per_bucket=40)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan  # a tile is an expression over the stored row
+    want = df.withColumn("a", F.ntile(6).over(Window.orderBy(F.desc("v"), "k"))) \
+        .withColumn("b", F.ntile(6).over(Window.orderBy("nv", "k"))).withColumn("c", F.ntile(6).over(Window.orderBy("s", "k")))
+    assert sorted(got.select("k", "a", "b", "c").collect()) == sorted(want.select("k", "a", "b", "c").collect())
+
+
+def test_narrowing_takes_several_rounds(spark):
+    from mercato.operators import ranking
+    df = _data(spark, 60_000, 7)
+    got = ntiles(df, 3, {"t": [("v", True), ("k", True)]}, rows_per_bucket=3)
+    want = df.withColumn("t", F.ntile(3).over(Window.orderBy("v", "k")))
+    assert got.groupBy("t").agg(F.sum("k"), F.count("k")).sort("t").collect() == \
+        want.groupBy("t").agg(F.sum("k"), F.count("k")).sort("t").collect()
+    assert ranking.SAMPLE_PER_BOUNDARY < 60_000
+
+
+def test_repeated_keys_are_refused(spark):
+    with pytest.raises(ValueError, match="unique"):
+        ntiles(spark.range(300).select(F.lit(1).alias("v")), 4, {"t": [("v", True)]}, rows_per_bucket=10)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1777])
+def test_total_percentiles(spark, n):
+    df = _data(spark, n, 50)
+    got = total_percentiles(df, {"a": ("v", 0.75), "b": ("nv", 0.25), "c": ("v", 1.0)}, "k", rows_per_bucket=20)
+    want = df.agg(F.percentile("v", 0.75), F.percentile("nv", 0.25), F.percentile("v", 1.0)).first()
+    assert list(got.values()) == [pytest.approx(w) if w is not None else None for w in want]
+
+
+def test_empty_and_few_rows_by_ranges(spark):
+    empty, n = global_rank(spark.range(0), [("id", True)], "r", min_buckets=4)
+    assert (empty.count(), n) == (0, 0)
+    few, _ = global_rank(spark.range(3), [("id", False)], "r", min_buckets=8)
+    assert sorted((r.id, r.r) for r in few.collect()) == [(0, 3), (1, 2), (2, 1)]
