@@ -1,9 +1,11 @@
 """Layer writer and the bronze → silver → gold refresh job.
 
-* ``write_layer``: overwrite a table as Parquet, laid out for pruning:
-  range-partitioned and sorted by the clustering columns so row-group min/max
-  statistics skip data for range filters; facts joined on ``order_key`` are
-  *bucketed* by it so gold's lineitem ⋈ orders join runs without a shuffle.
+* ``write_layer``: overwrite a table as Parquet, laid out for pruning: in ranges of a
+  space-filling curve over the clustering columns (``plans/clustering``), so file
+  statistics skip data for a filter on any of them; facts joined on ``order_key`` are
+  *bucketed* by it, one file a bucket, so gold's lineitem ⋈ orders join runs without a
+  shuffle.  Every table is registered in a database of its warehouse's own, with its
+  comment.
 * ``refresh``: every stage reads the previous stage back from storage (the
   storage layer is the stage boundary, lineage is cut and a lost executor only
   re-runs the current stage); a run log records what was written.
@@ -12,20 +14,23 @@
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.operators.joins import plan_stats
 from mercato.plans import gold as G
+from mercato.plans.clustering import cluster
 from mercato.plans.silver import (dim_customer, dim_date, dim_geography, dim_part, dim_supplier,
                                   fact_lineitem, fact_orders)
 from mercato.sources import tables as src
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 BRONZE_TABLES = ["region", "nation", "supplier", "part", "partsupp", "customer", "orders", "lineitem"]
-# clustering keys per table (high-cardinality filter / join keys)
+# columns that filters name, per table
 BRONZE_CLUSTER = {"supplier": ["s_nationkey"], "part": ["p_brand", "p_type"],
                   "partsupp": ["ps_partkey", "ps_suppkey"], "customer": ["c_nationkey", "c_mktsegment"],
                   "orders": ["o_orderdate", "o_custkey"], "lineitem": ["l_shipdate", "l_orderkey"]}
@@ -37,53 +42,84 @@ GOLD_CLUSTER = {"daily_sales": ["sale_date", "region"], "monthly_sales": ["year_
                 "supplier_scorecard": ["supplier_region"]}
 
 
+# what spreads rows of equal clustering values; other tables by a hash of the row
+CLUSTER_KEY = {"supplier": ["s_suppkey"], "part": ["p_partkey"], "customer": ["c_custkey"], "orders": ["o_orderkey"],
+               "dim_customer": ["customer_key"], "dim_supplier": ["supplier_key"], "dim_part": ["part_key"],
+               "customer_rfm": ["customer_key"], "supplier_scorecard": ["supplier_key"]}
+
+
 def _n_files(df: DataFrame) -> int:
-    try:
-        _, size = plan_stats(df)
-    except Exception:
-        return 1
-    return max(1, min(10_000, size // TARGET_FILE_BYTES + 1))
+    """Files of about ``TARGET_FILE_BYTES`` by the optimizer's estimate, without a ceiling."""
+    return max(1, -(-plan_stats(df)[1] // TARGET_FILE_BYTES))
 
 
 def table_path(base: str, layer: str, name: str) -> str:
     return os.path.join(base, layer, name)
 
 
-def write_layer(df: DataFrame, base: str, layer: str, name: str, cluster_by: list[str] | None = None,
-                bucket_by: str | None = None, buckets: int | None = None, comment: str | None = None) -> str:
-    """Overwrite ``<base>/<layer>/<name>`` (Parquet) and return its path.
+def database(base: str, layer: str) -> str:
+    """The layer's database: one for each warehouse."""
+    return f"{layer}_{hashlib.md5(base.rstrip('/').encode()).hexdigest()[:12]}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
-    bucket_by: written as a bucketed catalog table (``<layer>.<name>``) whose
-    files live at the same path, so joins on the bucket key skip the shuffle.
+
+def _describe(spark: SparkSession, table: str, comment: str | None) -> None:
+    if comment:
+        text = comment.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"COMMENT ON TABLE {table} IS '{text}'")
+
+
+def write_layer(df: DataFrame, base: str, layer: str, name: str, cluster_by: list[str] | None = None,
+                bucket_by: str | None = None, buckets: int | None = None, comment: str | None = None,
+                stored: bool = False) -> str:
+    """Overwrite ``<base>/<layer>/<name>`` (Parquet), register it in the layer's database and return its path.
+
+    bucket_by: dealt by the key first, so each bucket is one file, and written as a
+    bucketed table; joins on the bucket key skip the shuffle.
+    cluster_by: cutting the ranges reads the rows more than once, so they are written to
+    a staging folder first unless they are ``stored`` already (plain reads of files).
+    Files come from the session's shuffle partitions, put together by measured size; a
+    table estimated larger than that many files of ``TARGET_FILE_BYTES`` gets as many
+    ranges as it needs.
     """
     spark = df.sparkSession
-    path = table_path(base, layer, name)
+    path, db = table_path(base, layer, name), database(base, layer)
+    table = f"{db}.{name}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     if bucket_by:
         n = buckets or _n_files(df)
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-        (df.write.mode("overwrite").bucketBy(n, bucket_by).sortBy(bucket_by)
-         .option("path", path).format("parquet").saveAsTable(f"{layer}.{name}"))
-        if comment:
-            spark.sql(f"ALTER TABLE {layer}.{name} SET TBLPROPERTIES ('comment' = '{comment.replace(chr(39), '')}')")
+        (df.repartition(n, bucket_by).write.mode("overwrite").bucketBy(n, bucket_by).sortBy(bucket_by)
+         .option("path", path).format("parquet").saveAsTable(table))
+        _describe(spark, table, comment)
         return path
-    out = df
+    staging = None
     if cluster_by:
-        out = df.repartitionByRange(_n_files(df), *cluster_by).sortWithinPartitions(*cluster_by)
-    w = out.write.mode("overwrite")
-    if comment:
-        w = w.option("comment", comment)
-    w.parquet(path)
+        if not stored:
+            staging = os.path.join(base, "_staging", uuid.uuid4().hex)
+            df.write.parquet(staging)
+            df = spark.read.parquet(staging)
+        n = _n_files(df)
+        wide = n > int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = cluster(df, cluster_by, CLUSTER_KEY.get(name), n if wide else None)
+    df.write.mode("overwrite").parquet(path)
+    if staging:
+        _delete(spark, staging)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # the entry; the files stay
+    spark.catalog.createTable(table, path=path, source="parquet")
+    _describe(spark, table, comment)
     return path
 
 
 def read_layer(spark: SparkSession, base: str, layer: str, name: str) -> DataFrame:
-    """The catalog's bucketed table if it lies in this warehouse, else the files."""
-    path = table_path(base, layer, name)
-    if name in SILVER_BUCKET and layer == "silver" and spark.catalog.tableExists(f"{layer}.{name}"):
-        described = spark.sql(f"DESCRIBE FORMATTED {layer}.{name}").where("col_name = 'Location'").first()
-        if described is not None and described["data_type"].split(":")[-1].rstrip("/") == path.split(":")[-1].rstrip("/"):
-            return spark.table(f"{layer}.{name}")
-    return spark.read.parquet(path)
+    """The warehouse's bucketed table where the catalog knows it, else the files."""
+    table = f"{database(base, layer)}.{name}"
+    if name in SILVER_BUCKET and layer == "silver" and spark.catalog.tableExists(table):
+        return spark.table(table)
+    return spark.read.parquet(table_path(base, layer, name))
 
 
 def bronze(df: DataFrame, source_table: str, batch_id: str) -> DataFrame:
@@ -126,7 +162,8 @@ def refresh(spark: SparkSession, src_dir: str, base: str, batch_id: str | None =
 
     if "bronze" in layers:
         for t in BRONZE_TABLES:
-            put("bronze", t, bronze(src.raw(spark, src_dir, t), t, batch_id), cluster_by=BRONZE_CLUSTER.get(t))
+            put("bronze", t, bronze(src.raw(spark, src_dir, t), t, batch_id), cluster_by=BRONZE_CLUSTER.get(t),
+                stored=t != "partsupp")
     b = lambda t: read_layer(spark, base, "bronze", t).drop("_ingested_at", "_source_table", "_batch_id")
     if "silver" in layers:
         put("silver", "dim_geography", dim_geography(b("region"), b("nation")))
@@ -139,7 +176,7 @@ def refresh(spark: SparkSession, src_dir: str, base: str, batch_id: str | None =
         put("silver", "fact_orders", fact_orders(b("orders"), s("dim_customer")), bucket_by="order_key")
         put("silver", "fact_lineitem", fact_lineitem(b("lineitem"), b("partsupp"), s("dim_part"),
                                                      s("dim_supplier")), bucket_by="order_key",
-            buckets=_buckets_of(spark, "silver.fact_orders"))
+            buckets=_buckets_of(spark, f"{database(base, 'silver')}.fact_orders"))
     if "gold" in layers:
         s = lambda t: read_layer(spark, base, "silver", t)
         li, od = s("fact_lineitem"), s("fact_orders")

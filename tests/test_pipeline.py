@@ -105,13 +105,17 @@ def test_streaming_two_drops_equal_batch_and_rerun_adds_nothing(spark):
 
 
 def test_read_layer_stays_in_its_warehouse(spark, tmp_path):
-    from mercato.plans.layers import write_layer
+    from mercato.plans.layers import database, write_layer
     df = spark.range(3).withColumnRenamed("id", "order_key")
     for base, rows in (("a", df), ("b", df.where("order_key > 0"))):
         write_layer(rows, str(tmp_path / base), "silver", "fact_orders", bucket_by="order_key", buckets=2)
     assert read_layer(spark, str(tmp_path / "a"), "silver", "fact_orders").count() == 3
     assert read_layer(spark, str(tmp_path / "b"), "silver", "fact_orders").count() == 2
-    spark.sql("DROP TABLE silver.fact_orders")
+    for base in ("a", "b"):
+        bucketed = f"{database(str(tmp_path / base), 'silver')}.fact_orders"
+        plan = spark.table(bucketed).join(spark.table(bucketed).hint("merge"), "order_key")
+        assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+        spark.sql(f"DROP DATABASE {database(str(tmp_path / base), 'silver')} CASCADE")
 
 
 def test_invalid_app_parameters_raise(spark):
