@@ -424,6 +424,40 @@ WHERE year_quarter >= '0000-Q0' AND year_quarter <= '9999-Q9'"""))(
     _tool_query("get_executive_summary", start_quarter="0000-Q0", end_quarter="9999-Q9"))
 
 
+register("fn_customer_profile", with_ctes(["dim_customer", "gold_customer_rfm"], f"""
+SELECT c.customer_key, customer_name, c.market_segment, nation_name, region_name, balance_tier, rfm_segment, rfm_score,
+  {d('monetary')} AS lifetime_value, frequency, recency_days, {rhu('avg_order_value', 2)} AS avg_order_value
+FROM dim_customer c LEFT JOIN gold_customer_rfm r ON c.customer_key = r.customer_key WHERE c.customer_key = 7"""))(
+    _tool_query("get_customer_profile", cust_key=7))
+
+register("fn_revenue_by_region_asia_1996", with_ctes(["gold_monthly_sales"], f"""
+SELECT year_month, region, {d('SUM(net_revenue)')} AS net_revenue, CAST(SUM(num_orders) AS BIGINT) AS num_orders,
+  {rhu(O.avg('profit_margin_pct', 2), 2)} AS profit_margin_pct, {rhu(O.avg('yoy_growth_pct', 2), 2)} AS yoy_growth_pct
+FROM gold_monthly_sales WHERE region = 'ASIA' AND year_month >= '1996-01' AND year_month <= '1996-12'
+GROUP BY year_month, region"""))(
+    _tool_query("get_revenue_by_region", region_name="ASIA", start_month="1996-01", end_month="1996-12"))
+
+register("fn_supplier_scorecard_europe", with_ctes(["gold_supplier_scorecard"], f"""
+SELECT supplier_name, supplier_nation, supplier_region, {d('net_revenue')} AS net_revenue, profit_margin_pct,
+  on_time_delivery_pct, return_rate_pct, total_line_items FROM gold_supplier_scorecard s
+WHERE supplier_region = 'EUROPE' ORDER BY s.net_revenue DESC NULLS LAST, supplier_key LIMIT 10"""))(
+    _tool_query("get_supplier_scorecard", region_filter="EUROPE", sort_metric="net_revenue", top_n=10))
+
+
+@register("fn_executive_summary_json", with_ctes(["gold_executive_summary"], f"""
+SELECT year_quarter, total_orders, active_customers, {d('gross_order_value')} AS gross_order_value, avg_order_value,
+  revenue_per_customer, qoq_revenue_growth_pct FROM gold_executive_summary
+WHERE year_quarter >= '1995-Q1' AND year_quarter <= '1996-Q4'"""))
+def fn_executive_summary_json(spark, sf_dir):
+    """Asked by the JSON dispatcher; its JSON rows are read back into columns."""
+    from mercato.functions import tools
+    tools.register(spark, _gold(spark, sf_dir), names=["get_executive_summary"])
+    rows = tools.tool_rows(spark, "get_executive_summary", '{"start_quarter": "1995-Q1", "end_quarter": "1996-Q4"}')
+    fields = ("year_quarter string, total_orders bigint, active_customers bigint, gross_order_value double, "
+              "avg_order_value double, revenue_per_customer double, qoq_revenue_growth_pct double")
+    return rows.select(F.from_json("row", fields).alias("r")).select("r.*")
+
+
 # -- N1-N5 data quality ------------------------------------------------------------------
 
 def _silver_tables(spark, sf_dir):

@@ -145,6 +145,13 @@ def test_tools_bound_parameters_and_json(spark):
     assert tools.call(spark, "get_top_products", n=500, sort_by="net_revenue").count() == min(500, g.product_performance.count())
     prof = json.loads(tools.execute_tool(spark, "get_customer_profile", json.dumps({"cust_key": 3})))
     assert len(prof) == 1 and prof[0]["customer_key"] == 3
+    # ordered by the metric, in pages
+    args = json.dumps({"region_filter": "ALL", "sort_metric": "return_rate_pct", "top_n": 9})
+    pages = [json.loads(tools.execute_tool(spark, "get_supplier_scorecard", args, page=i, page_rows=4)) for i in range(4)]
+    rates = [r["return_rate_pct"] for p in pages for r in p]
+    assert [len(p) for p in pages] == [4, 4, 1, 0] and rates == sorted(rates)
+    plan = tools.call(spark, "get_top_products", n=7, sort_by="net_revenue")._jdf.queryExecution().optimizedPlan().toString()
+    assert "map(" not in plan  # the bound name left one column
     # quotes are data, not SQL
     evil = json.loads(tools.execute_tool(spark, "get_executive_summary", json.dumps(["1995-Q1' OR '1'='1", "z"])))
     assert evil == [] or isinstance(evil, list)
