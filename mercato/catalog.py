@@ -748,10 +748,19 @@ def forecast_mape_q(spark, sf_dir):
 
 @register("demand_forecast")
 def demand_forecast_q(spark, sf_dir):
-    from mercato.plans.ml import demand_forecast, forecast_input
+    from mercato.plans.forecast import demand_forecast
+    from mercato.plans.ml import forecast_input
     return demand_forecast(forecast_input(_gold(spark, sf_dir).monthly_sales))
 
 
+@register("forecast_coverage")
+def forecast_coverage_q(spark, sf_dir):
+    """Share of held-out months inside the 80 % interval, by region, over six folds."""
+    from mercato.plans.forecast import backtest, coverage
+    from mercato.plans.ml import forecast_input
+    return coverage(backtest(forecast_input(_gold(spark, sf_dir).monthly_sales)))
+
+
 # -- P1-P6 search and documents ----------------------------------------------------------
 
 @register("similar_vectors", f"""

@@ -2,15 +2,12 @@
 
 The reference trained scikit-learn / Prophet on the driver after ``toPandas()``.
 Here the churn model is a Spark ML pipeline (distributed training and scoring)
-and the forecast fits one small model per region inside
-``groupBy("region").applyInPandas`` — a region's monthly series is bounded by
-the calendar, never by the data volume.
+and the baseline forecast is exact DataFrame work; the fitted one is in
+``plans/forecast``.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
@@ -20,6 +17,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions.numeric import round_half_up
 from mercato.operators.ranking import global_rank
+from mercato.plans.forecast import demand_forecast  # noqa: F401
 from mercato.plans.metrics import class_report, exact_auc
 
 NUMERIC = ["recency_days", "frequency", "lifetime_value", "avg_order_value", "r_score", "f_score", "m_score",
@@ -180,51 +178,3 @@ def forecast_mape(fc: DataFrame) -> DataFrame:
     ape = round_half_up(F.abs(F.col("y") - F.col("yhat")) / F.nullif(F.col("y"), F.lit(0.0)), 8).cast("decimal(20,8)")
     return a.groupBy("region").agg(round_half_up(
         F.sum(ape).cast("double") / F.count(ape).cast("double") * F.lit(100.0), 4).alias("mape_pct"))
-
-
-FORECAST_SCHEMA = ("region string, ds date, y double, yhat double, yhat_lower double, yhat_upper double, "
-                   "is_forecast string")
-
-
-def _fit_predict(pdf: pd.DataFrame, horizon: int = 6, n_changepoints: int = 10, fourier: int = 6,
-                 cp_scale: float = 0.05, season_scale: float = 10.0) -> pd.DataFrame:
-    """Additive model y = trend(t) + yearly(t): piecewise-linear trend with
-    changepoints over the first 80% of history and Fourier yearly terms,
-    ridge-penalised least squares (the MAP fit of a Gaussian-prior version of
-    the Taylor & Letham 2018 model); 80% interval from the residual spread."""
-    pdf = pdf.sort_values("ds")
-    region = pdf["region"].iloc[0]
-    ds = pd.to_datetime(pdf["ds"])
-    y = pdf["y"].astype(float).to_numpy()
-    last = ds.iloc[-1]
-    future = pd.date_range(last + pd.offsets.MonthBegin(1), periods=horizon, freq="MS")
-    all_ds = pd.DatetimeIndex(list(ds) + list(future))
-    t_days = (all_ds - ds.iloc[0]).days.to_numpy(dtype=float)
-    span = max(t_days[len(y) - 1], 1.0)
-    t = t_days / span
-    scale = max(np.abs(y).max(), 1.0)
-    ys = y / scale
-    n_hist = len(y)
-    cps = np.linspace(0, 0.8, n_changepoints + 2)[1:-1] if n_hist > 3 else np.array([])
-    cols = [np.ones_like(t), t] + [np.maximum(0.0, t - c) for c in cps]
-    yearly = t_days / 365.25
-    for k in range(1, fourier + 1):
-        cols += [np.sin(2 * np.pi * k * yearly), np.cos(2 * np.pi * k * yearly)]
-    X = np.column_stack(cols)
-    pen = np.array([0.0, 0.0] + [1.0 / cp_scale ** 2] * len(cps) + [1.0 / season_scale ** 2] * (2 * fourier))
-    Xh = X[:n_hist]
-    beta = np.linalg.solve(Xh.T @ Xh + np.diag(pen) * 1e-2, Xh.T @ ys)
-    yhat = X @ beta * scale
-    resid = y - yhat[:n_hist]
-    sd = float(np.std(resid, ddof=1)) if n_hist > 2 else 0.0
-    z = 1.2815515655446004  # 80% two-sided normal interval
-    out = pd.DataFrame({"region": region, "ds": all_ds.date, "y": list(y) + [np.nan] * horizon,
-                        "yhat": yhat, "yhat_lower": yhat - z * sd, "yhat_upper": yhat + z * sd})
-    out["is_forecast"] = np.where(out["y"].isna(), "forecast", "actual")
-    return out
-
-
-def demand_forecast(series: DataFrame, horizon: int = 6) -> DataFrame:
-    """gold_demand_forecast: one model per region, fitted on the executors."""
-    s = series.select("region", "ds", F.col("y").cast("double").alias("y"))
-    return s.groupBy("region").applyInPandas(lambda p: _fit_predict(p, horizon), FORECAST_SCHEMA)
