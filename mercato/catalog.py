@@ -797,6 +797,16 @@ def catalog_embeddings(spark, sf_dir):
     return emb.select("product_id", "search_text", F.size(F.filter(v, lambda x: x != 0)).alias("nonzero_terms"))
 
 
+@register("catalog_dense_embeddings")
+def catalog_dense_embeddings(spark, sf_dir):
+    """The catalogue along 16 directions learned from all of it."""
+    from mercato.plans.dense import embed, fit
+    from mercato.plans.serving import product_catalog
+    from mercato.streaming.ingest import scratch
+    texts = product_catalog(silver(spark, sf_dir).dim_part)
+    return embed(fit(texts, "product_id", scratch(spark, "dense")), texts, "product_id")
+
+
 # -- ST1 streaming ingest ------------------------------------------------------------------
 
 @register("stream_ingest_events")
