@@ -618,11 +618,23 @@ def churn_training(spark, sf_dir):
     return churn_frame(_gold(spark, sf_dir).customer_rfm)
 
 
+def _churn(spark, sf_dir):
+    """Model, scores and test rows, kept in the checkpoint folder for one application and one state of the input files."""
+    import hashlib
+
+    from mercato.plans.ml import stored_churn
+    from mercato.session import checkpoint_dir
+    from mercato.sources.tables import read
+    files = [r[0] for t in ("orders", "customer", "nation", "region") for r in
+             read(spark, sf_dir, t).select(F.struct("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+                                           .cast("string")).distinct().collect()]
+    state = hashlib.md5("\n".join(sorted(files)).encode()).hexdigest()
+    folder = f"{checkpoint_dir(spark)}/churn-{spark.sparkContext.applicationId}-{state}"
+    return stored_churn(_gold(spark, sf_dir).customer_rfm, folder)
+
+
 def churn_scores_df(spark, sf_dir):
-    from mercato.plans.ml import churn_frame, score, train_churn
-    rfm = _gold(spark, sf_dir).customer_rfm
-    model, _, _ = train_churn(rfm)
-    return score(model, churn_frame(rfm))
+    return _churn(spark, sf_dir)[1]
 
 
 register("churn_scores")(churn_scores_df)
@@ -633,18 +645,56 @@ register("app_riskiest_customers")(lambda s, p: A.riskiest_customers(churn_score
 
 @register("churn_metrics")
 def churn_metrics(spark, sf_dir):
-    from mercato.plans.ml import evaluate, train_churn
-    model, _, test = train_churn(_gold(spark, sf_dir).customer_rfm)
+    from mercato.plans.ml import evaluate
+    model, _, test = _churn(spark, sf_dir)
     return evaluate(model, test)
 
 
 @register("churn_class_report")
 def churn_class_report(spark, sf_dir):
-    from mercato.plans.ml import report, train_churn
-    model, _, test = train_churn(_gold(spark, sf_dir).customer_rfm)
+    from mercato.plans.ml import report
+    model, _, test = _churn(spark, sf_dir)
     return report(model, test)
 
 
+# The same reports over a documented rule in place of the fitted model.
+_RULE_SCORES = f"""
+, p AS (SELECT customer_key, market_segment, customer_region, {d('monetary')} AS lifetime_value, rfm_score,
+  {rhu('(CAST(15 AS DOUBLE) - rfm_score) / CAST(12 AS DOUBLE)', 4)} AS churn_probability FROM gold_customer_rfm),
+r AS (SELECT *, CASE WHEN churn_probability <= 0.4 THEN 'Low' WHEN churn_probability <= 0.6 THEN 'Medium'
+  WHEN churn_probability <= 0.8 THEN 'High' ELSE 'Critical' END AS risk_tier FROM p)"""
+
+
+def _rule_scores(spark, sf_dir):
+    from mercato.plans.ml import rule_scores
+    return rule_scores(_gold(spark, sf_dir).customer_rfm)
+
+
+register("rule_churn_risk", with_ctes(["gold_customer_rfm"], _RULE_SCORES + f"""
+SELECT risk_tier, COUNT(*) AS customers, {rhu(O.avg('churn_probability', 4), 3)} AS avg_churn_prob,
+  {rhu(O.avg('lifetime_value', 2), 0)} AS avg_ltv, {rhu(d('SUM(CAST(lifetime_value AS DECIMAL(20,2)))'), 0)} AS total_ltv_at_risk
+FROM r GROUP BY risk_tier"""))(lambda s, p: A.churn_risk_distribution(_rule_scores(s, p)))
+
+register("rule_churn_summary", with_ctes(["gold_customer_rfm"], _RULE_SCORES + f"""
+SELECT risk_tier, COUNT(*) AS customers, {rhu(O.avg('churn_probability', 4), 3)} AS avg_probability,
+  {rhu(O.avg('lifetime_value', 2), 0)} AS avg_ltv FROM r GROUP BY risk_tier"""))(
+    lambda s, p: A.churn_tier_summary(_rule_scores(s, p)))
+
+register("rule_riskiest_customers", with_ctes(["gold_customer_rfm"], _RULE_SCORES + f"""
+SELECT customer_key, risk_tier, {rhu('churn_probability', 3)} AS churn_prob, {rhu('lifetime_value', 0)} AS ltv, market_segment
+FROM r ORDER BY churn_probability DESC, customer_key NULLS FIRST LIMIT 50"""))(
+    lambda s, p: A.riskiest_customers(_rule_scores(s, p)))
+
+
+@register("fn_churn_risk_rule", with_ctes(["gold_customer_rfm"], _RULE_SCORES + """
+SELECT customer_key, market_segment, customer_region, lifetime_value, rfm_score, churn_probability, risk_tier
+FROM r WHERE risk_tier = 'High' ORDER BY churn_probability DESC, customer_key NULLS FIRST LIMIT 40"""))
+def fn_churn_risk_rule(spark, sf_dir):
+    from mercato.functions import tools
+    tools.register(spark, _gold(spark, sf_dir), churn_scores=_rule_scores(spark, sf_dir), names=["get_churn_risk"])
+    return tools.call(spark, "get_churn_risk", risk_level="High", top_n=40)
+
+
 # The plain rule that a fitted model has to beat: days since the last order as the score,
 # a recency score of 2 or less as the prediction.
 _RULE = """
@@ -686,9 +736,8 @@ def churn_rule_report(spark, sf_dir):
 
 @register("churn_feature_importance")
 def churn_feature_importance(spark, sf_dir):
-    from mercato.plans.ml import feature_importance, train_churn
-    model, _, _ = train_churn(_gold(spark, sf_dir).customer_rfm)
-    return feature_importance(model)
+    from mercato.plans.ml import feature_importance
+    return feature_importance(_churn(spark, sf_dir)[0])
 
 
 @register("fn_churn_risk")
@@ -787,7 +836,13 @@ def extract_fields_q(spark, sf_dir):
     return page_fields(read(spark, sf_dir, "pages"))
 
 
-@register("catalog_embeddings")
+@register("catalog_embeddings", with_ctes(["dim_part"], r"""
+, c AS (SELECT part_key AS product_id,
+  concat_ws(' | ', part_name, brand, manufacturer, part_type, container, price_band) AS search_text FROM dim_part),
+t AS (SELECT DISTINCT product_id, unnest(regexp_split_to_array(lower(search_text), '[^\p{L}\p{N}]+')) AS term FROM c),
+u AS (SELECT term FROM t WHERE term <> '' GROUP BY term HAVING COUNT(*) < (SELECT COUNT(*) FROM c)),
+n AS (SELECT product_id, COUNT(*) AS n FROM t JOIN u USING (term) GROUP BY product_id)
+SELECT product_id, search_text, CAST(COALESCE(n, 0) AS INTEGER) AS nonzero_terms FROM c LEFT JOIN n USING (product_id)"""))
 def catalog_embeddings(spark, sf_dir):
     from mercato.plans.search import embed
     from mercato.plans.serving import product_catalog
@@ -809,7 +864,7 @@ def catalog_dense_embeddings(spark, sf_dir):
 
 # -- ST1 streaming ingest ------------------------------------------------------------------
 
-@register("stream_ingest_events")
+@register("stream_ingest_events", "SELECT *, 'events' AS _source_table, 'stream' AS _batch_id FROM events")
 def stream_ingest_events(spark, sf_dir):
     """Events arrive as two file drops (cut at the median timestamp); the stream
     ingests both once; a second run with the same checkpoint adds nothing."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,15 +51,24 @@ def stratified_split(df: DataFrame, label: str, key: str, train_frac: float = 0.
     return j.where("_train").drop("_train"), j.where(~F.col("_train")).drop("_train")
 
 
-def churn_pipeline(seed: int = 42, max_iter: int = 100, max_depth: int = 5, step: float = 0.1) -> Pipeline:
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", stringOrderType="alphabetAsc", handleInvalid="keep")
-           for c in CATEGORICAL]
+def fit_churn(train: DataFrame, seed: int = 42, max_iter: int = 100, max_depth: int = 5, step: float = 0.1) -> PipelineModel:
+    """Scaled numbers and category codes into boosted trees.
+
+    Codes follow the categories' alphabet; a category that training did not see, or none,
+    has code -1.
+    """
+    indexed = [StringIndexer(inputCol=c, outputCol=f"_{c}_idx", stringOrderType="alphabetAsc", handleInvalid="keep").fit(train)
+               for c in CATEGORICAL]
+    # the indexer gives what it does not know the number of its labels
+    codes = ", ".join(f"CASE WHEN _{c}_idx >= {len(m.labels)} THEN -1.0 ELSE _{c}_idx END AS {c}_idx"
+                      for c, m in zip(CATEGORICAL, indexed, strict=True))
+    unknown = SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__")
     num = VectorAssembler(inputCols=NUMERIC, outputCol="_num", handleInvalid="keep")
     scale = StandardScaler(inputCol="_num", outputCol="_num_scaled", withMean=True, withStd=True)
     feats = VectorAssembler(inputCols=["_num_scaled"] + [f"{c}_idx" for c in CATEGORICAL], outputCol="features")
     gbt = GBTClassifier(labelCol="churn_label", featuresCol="features", maxIter=max_iter, maxDepth=max_depth,
                         stepSize=step, seed=seed)
-    return Pipeline(stages=[*idx, num, scale, feats, gbt])
+    return Pipeline(stages=[*indexed, unknown, num, scale, feats, gbt]).fit(train)
 
 
 def risk_tier(p):
@@ -118,7 +127,32 @@ def train_churn(rfm: DataFrame, seed: int = 42, **kw):
     """(model, train, test)."""
     frame = churn_frame(rfm)
     train, test = stratified_split(frame, "churn_label", "customer_key", seed=seed)
-    return churn_pipeline(seed=seed, **kw).fit(train), train, test
+    return fit_churn(train, seed=seed, **kw), train, test
+
+
+def stored_churn(rfm: DataFrame, folder: str) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """(model, scores of all customers, test rows), trained once and kept at ``folder``.
+
+    The folder is complete once the scores are there, which are written last.
+    """
+    spark = rfm.sparkSession
+    model_path, test_path, scores_path = f"{folder}/model", f"{folder}/test", f"{folder}/scores"
+    done = spark._jvm.org.apache.hadoop.fs.Path(scores_path, "_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        model, _, test = train_churn(rfm)
+        model.write().overwrite().save(model_path)
+        test.write.mode("overwrite").parquet(test_path)
+        score(model, churn_frame(rfm)).write.mode("overwrite").parquet(scores_path)
+    return PipelineModel.load(model_path), spark.read.parquet(scores_path), spark.read.parquet(test_path)
+
+
+def rule_scores(rfm: DataFrame) -> DataFrame:
+    """The columns of ``score`` by a plain rule: (15 - rfm_score) / 12, so 0 for the best scores and 1 for the worst."""
+    p = round_half_up((F.lit(15.0) - F.col("rfm_score")) / F.lit(12.0), 4)
+    return churn_frame(rfm).select(
+        "customer_key", "market_segment", "customer_region", "recency_days", "frequency", "lifetime_value", "rfm_score",
+        "churn_label", F.when(p > 0.5, 1).otherwise(0).alias("churn_prediction"), p.alias("churn_probability")) \
+        .withColumn("risk_tier", risk_tier(F.col("churn_probability")))
 
 
 # -- forecasting (M9-M11) ----------------------------------------------------------------
