@@ -12,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.numeric import round_half_up
@@ -171,39 +171,34 @@ def baseline_forecast(series: DataFrame, horizon: int = 6) -> DataFrame:
     slope b = (n·Σty − Σt·Σy) / (n·Σt² − (Σt)²), a = (Σy − b·Σt) / n;
     index s[m] = mean over month m of round(y / (a + b·t), 8);
     yhat = round((a + b·t) · s[m] / 100, 2) for history and ``horizon`` months.
+    A series has one row a month; all steps are windows over the region's rows, which
+    meet in one exchange.
     """
-    m = F.year("ds") * 12 + F.month("ds") - 1
-    s = series.withColumn("_m", m).withColumn("_yc", (F.col("y") * 100).cast("long"))
-    t0 = s.groupBy("region").agg(F.min("_m").alias("_m0"), F.max("_m").alias("_m1"))
-    s = s.join(t0, "region").withColumn("_t", F.col("_m") - F.col("_m0"))
-    st = s.groupBy("region").agg(F.count(F.lit(1)).alias("_n"), F.sum("_t").alias("_st"),
-                                 F.sum("_yc").alias("_sy"), F.sum(F.col("_t") * F.col("_t")).alias("_stt"),
-                                 F.sum(F.col("_t") * F.col("_yc")).alias("_sty"))
+    region, month = Window.partitionBy("region"), Window.partitionBy("region", "_moy")
+    s = (series.where(F.col("region").isNotNull())
+         .withColumns({"_m": F.year("ds") * 12 + F.month("ds") - 1, "_yc": (F.col("y") * 100).cast("long")})
+         .withColumns({"_m1": F.max("_m").over(region), "_t": F.col("_m") - F.min("_m").over(region)}))
+    sums = {"_n": F.count(F.lit(1)), "_st": F.sum("_t"), "_sy": F.sum("_yc"), "_stt": F.sum(F.col("_t") * F.col("_t")),
+            "_sty": F.sum(F.col("_t") * F.col("_yc"))}
+    s = s.withColumns({name: total.over(region) for name, total in sums.items()})
     wide = "decimal(38,0)"
     big = [F.col(c).cast("decimal(18,0)") * F.col(d).cast("decimal(20,0)") for c, d in (("_n", "_sty"), ("_st", "_sy"))]
-    b = ((big[0].cast(wide) - big[1].cast(wide)).cast("double")
-         / F.nullif((F.col("_n") * F.col("_stt") - F.col("_st") * F.col("_st")).cast("double"), F.lit(0.0)))
-    st = st.withColumn("_b", b).withColumn(
-        "_a", (F.col("_sy").cast("double") - F.col("_b") * F.col("_st").cast("double")) / F.col("_n").cast("double"))
-    fit = F.col("_a") + F.col("_b") * F.col("_t").cast("double")
-    hist = s.join(st.select("region", "_a", "_b"), "region").withColumn("_fit", fit)
-    hist = hist.withColumn("_ratio", round_half_up(F.col("_yc").cast("double") / F.nullif(F.col("_fit"), F.lit(0.0)), 8)
-                           .cast("decimal(20,8)")).withColumn("_moy", F.month("ds"))
-    idx = hist.groupBy("region", "_moy").agg(
-        (F.sum("_ratio").cast("double") / F.count("_ratio").cast("double")).alias("_s"))
-    fut = (t0.join(st.select("region", "_a", "_b"), "region")
-           .withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-           .select("region", "_a", "_b", (F.col("_m1") - F.col("_m0") + F.col("_k")).alias("_t"),
-                   F.make_date(F.floor((F.col("_m1") + F.col("_k")) / 12).cast("int"),
-                               ((F.col("_m1") + F.col("_k")) % 12 + 1).cast("int"), F.lit(1)).alias("ds"),
-                   F.lit(None).cast("double").alias("y")))
-    fut = fut.withColumn("_fit", fit).withColumn("_moy", F.month("ds"))
-    rows = hist.select("region", "ds", F.col("y").cast("double").alias("y"), "_fit", "_moy") \
-        .unionByName(fut.select("region", "ds", "y", "_fit", "_moy"))
-    out = rows.join(idx, ["region", "_moy"], "left")
-    return out.select("region", "ds", "y",
-                      round_half_up(F.col("_fit") * F.col("_s") / F.lit(100.0), 2).alias("yhat"),
-                      F.when(F.col("y").isNull(), "forecast").otherwise("actual").alias("is_forecast"))
+    s = s.withColumn("_b", (big[0].cast(wide) - big[1].cast(wide)).cast("double")
+                     / F.nullif((F.col("_n") * F.col("_stt") - F.col("_st") * F.col("_st")).cast("double"), F.lit(0.0)))
+    s = s.withColumn("_a", (F.col("_sy").cast("double") - F.col("_b") * F.col("_st").cast("double")) / F.col("_n").cast("double"))
+    # the last month of a region brings the coming ones
+    ahead = F.when(F.col("_m") == F.col("_m1"), F.sequence(F.lit(0), F.lit(horizon))).otherwise(F.array(F.lit(0)))
+    s = s.withColumn("_k", F.explode(ahead)).withColumns({
+        "ds": F.when(F.col("_k") == 0, F.col("ds")).otherwise(F.add_months(F.trunc("ds", "month"), F.col("_k"))),
+        "_fit": F.col("_a") + F.col("_b") * (F.col("_t") + F.col("_k")).cast("double"),
+        **{c: F.when(F.col("_k") == 0, F.col(c)) for c in ("y", "_yc")}})
+    s = s.withColumns({"_moy": F.month("ds"), "_ratio": round_half_up(
+        F.col("_yc").cast("double") / F.nullif(F.col("_fit"), F.lit(0.0)), 8).cast("decimal(20,8)")})
+    index = F.sum("_ratio").over(month).cast("double") / F.nullif(F.count("_ratio").over(month).cast("double"), F.lit(0.0))
+    return s.withColumn("_s", index).select(
+        "region", "ds", F.col("y").cast("double").alias("y"),
+        round_half_up(F.col("_fit") * F.col("_s") / F.lit(100.0), 2).alias("yhat"),
+        F.when(F.col("_k") > 0, "forecast").otherwise("actual").alias("is_forecast"))
 
 
 def forecast_mape(fc: DataFrame) -> DataFrame:
