@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,10 +22,29 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the cluster's checkpoint folder and read from there.
 
     Cuts the lineage, so that later passes read files that every executor can
-    reach instead of computing the upstream stages again.
+    reach instead of computing the upstream stages again.  Shuffle files of steps
+    that nothing reads any more are let go.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    release_shuffles(df.sparkSession)
+    return out
+
+
+_released = {"at": 0.0}
+
+
+def release_shuffles(spark: SparkSession, seconds: float = 5.0) -> None:
+    """Let Spark's cleaner delete the files of shuffles that no plan refers to.
+
+    It learns of them only when the driver's JVM collects garbage, which a driver with
+    little to do may put off for half an hour; a job of many steps would keep the shuffles
+    of all of them.  Asked for once in ``seconds`` at most.
+    """
+    now = time.monotonic()
+    if now - _released["at"] >= seconds:
+        spark._jvm.System.gc()
+        _released["at"] = time.monotonic()
 
 
 def delete_folder(spark: SparkSession, folder: str) -> None:
