@@ -844,12 +844,10 @@ u AS (SELECT term FROM t WHERE term <> '' GROUP BY term HAVING COUNT(*) < (SELEC
 n AS (SELECT product_id, COUNT(*) AS n FROM t JOIN u USING (term) GROUP BY product_id)
 SELECT product_id, search_text, CAST(COALESCE(n, 0) AS INTEGER) AS nonzero_terms FROM c LEFT JOIN n USING (product_id)"""))
 def catalog_embeddings(spark, sf_dir):
-    from mercato.plans.search import embed
+    from mercato.plans.search import embed, nonzero_terms
     from mercato.plans.serving import product_catalog
     _, emb = embed(product_catalog(silver(spark, sf_dir).dim_part))
-    from pyspark.ml.functions import vector_to_array
-    v = vector_to_array("embedding")
-    return emb.select("product_id", "search_text", F.size(F.filter(v, lambda x: x != 0)).alias("nonzero_terms"))
+    return emb.select("product_id", "search_text", nonzero_terms("embedding").alias("nonzero_terms"))
 
 
 @register("catalog_dense_embeddings")

@@ -18,6 +18,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from mercato.functions.numeric import round_half_up
 from mercato.plans import textindex
@@ -41,6 +42,12 @@ def embed(df: DataFrame, input_col: str = "search_text", model=None):
     return model, model.transform(df).drop("_tokens", "_tf", "_tfidf")
 
 
+@F.udf(IntegerType())
+def nonzero_terms(embedding):
+    """How many terms an embedding has a weight for, from its sparse form: as an array it has a number for each of 2**18 terms."""
+    return int(embedding.numNonzeros())
+
+
 def reembed_changed(model, diff: DataFrame, key: list[str], input_col: str = "search_text") -> DataFrame:
     """P4: embed only inserted/updated rows of a snapshot diff (deletes → tombstones)."""
     upserts = diff.where(F.col("change_type").isin("insert", "update"))

@@ -121,3 +121,13 @@ def test_text_index_edges(spark, tmp_path):
     assert got == [("a", None), ("a", 1), ("d", 1), ("d", 1)]
     empty = textindex.build(texts.limit(0), ["id"], str(tmp_path / "e"))
     assert textindex.search(empty, asks, 2, str(tmp_path / "u"))[0].count() == 0
+
+
+def test_terms_are_counted_without_making_vectors_dense(spark):
+    from pyspark.ml.linalg import SparseVector, Vectors
+
+    from mercato.plans.search import nonzero_terms
+    width = 1 << 30  # dense, 8 GB a vector
+    rows = [(1, SparseVector(width, {3: 0.5, 70: 0.0, width - 1: 2.0})), (2, SparseVector(width, {})), (3, Vectors.dense([0.0, 1.0]))]
+    counts = spark.createDataFrame(rows, ["id", "embedding"]).select("id", nonzero_terms("embedding").alias("n")).collect()
+    assert {r.id: r.n for r in counts} == {1: 2, 2: 0, 3: 1}
