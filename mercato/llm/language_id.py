@@ -183,14 +183,21 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dimension: int =
 
 
 def keep_languages(docs: DataFrame, prototypes: dict[str, np.ndarray], least: float, dimension: int = 1024,
-                   seed: int = 7, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, unchanged, whose text has a language with a score of ``least`` or more."""
+                   seed: int = 7, text_col: str = "text", lang_col: str | None = None) -> DataFrame:
+    """The rows of ``docs`` whose text has a language with a score of ``least`` or more.
+
+    ``lang_col``: a column that gets the predicted language in place of what it held; all else is unchanged.
+    """
     at = docs.columns.index(text_col)
+    into = None if lang_col is None else docs.columns.index(lang_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = scorer(prototypes, dimension, seed)
         for part in slices(batches, text_col, 1 << 20):
             langs, scores = score([t or "" for t in part.column(at).to_pylist()])
+            if into is not None:
+                field = part.schema.field(into)
+                part = part.set_column(into, field, pa.array(langs, pa.string()).cast(field.type))
             yield part.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(langs, scores, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

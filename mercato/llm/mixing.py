@@ -50,6 +50,18 @@ def tempered(docs: DataFrame, power: float, source_col: str = "source") -> DataF
         .select(F.col(source_col), F.pow(F.col("_n").cast("double"), F.lit(power)).alias("weight"))
 
 
+def tempered_within(docs: DataFrame, power: float, within_col: str, source_col: str = "source") -> DataFrame:
+    """Target weights of cells: sources as in ``tempered``, and in each source its values of ``within_col`` by the same power.
+
+    One row for each source and value there is: ``source_col``, ``within_col``, weight.
+    """
+    cells = docs.groupBy(source_col, within_col).agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    root = F.pow("_n", F.lit(power))
+    whole = cells.groupBy(F.col(source_col).alias("_source")).agg((F.pow(F.sum("_n"), F.lit(power)) / F.sum(root)).alias("_scale"))
+    return cells.join(whole, F.col(source_col).eqNullSafe(F.col("_source"))) \
+        .select(source_col, within_col, (F.col("_scale") * root).alias("weight"))
+
+
 def rates(docs: DataFrame, weights: DataFrame, total: Column | None = None, source_col: str = "source") -> DataFrame:
     """source, draws and cdf: how many draws a document makes, and the distribution of each.
 

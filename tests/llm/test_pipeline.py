@@ -39,3 +39,25 @@ def test_run_on_an_empty_table(spark, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_languages_of_the_first_stage_decide_the_mixture(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    wrong = docs.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string")) % 4 != 2, F.col("lang")))  # unknown where nothing is learned
+    spoken = corpus_pipeline.keep_languages(spark, wrong, SF).cache()
+    given = spoken.join(docs.select("doc_id", F.col("lang").alias("right")), "doc_id")
+    assert spoken.filter("lang IS NULL").count() == 0
+    assert given.filter("lang = right").count() >= 0.95 * given.count()
+    # the same documents with and without what the stage found
+    unjudged = wrong.join(spoken.select("doc_id"), "doc_id", "left_semi").select(*spoken.columns)
+    counts = [{r.doc_id: r["count"] for r in corpus_pipeline.mix_sources(spark, d, SF).groupBy("doc_id").count().collect()} for d in (spoken, unjudged)]
+    assert counts[0] != counts[1]
+
+
+def test_tempered_within_keeps_the_shares_of_sources(spark):
+    from mercato.llm import mixing
+    rows = [("a", "x")] * 90 + [("a", "y")] * 10 + [("b", None)] * 25 + [(None, "x")] * 4
+    docs = spark.createDataFrame(rows, "source string, lang string")
+    got = {(r.source, r.lang): r.weight for r in mixing.tempered_within(docs, 0.5, "lang").collect()}
+    assert got[("b", None)] == pytest.approx(5) and got[(None, "x")] == pytest.approx(2)
+    assert got[("a", "x")] + got[("a", "y")] == pytest.approx(10) and got[("a", "x")] / got[("a", "y")] == pytest.approx(3)
