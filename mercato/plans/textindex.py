@@ -10,9 +10,11 @@ that cannot hold one:
    there is the bar;
 3. of the other blocks only those whose bound reaches the bar are scored.
 
-All steps are joins and grouped aggregates on executors, for any number of queries.
-A frequent term has postings in many blocks; as joins are by (term, block), it is
-spread over as many tasks as it has blocks.
+All steps run on executors, for any number of queries.  Some neighbouring blocks make
+up a *piece*.  Weights need one idf for each term of a piece, not of a row, and a piece is
+scored in one place, from which only each query's best rows leave: neither the (row,
+term) pairs nor the (query, row) pairs are ever shuffled.  A piece has at most
+``PIECE`` blocks of rows, so a frequent term is spread over as many groups as there are pieces.
 
 Weights are whole numbers: term frequency times ``round(1000 * (ln((n + 1) / (df + 1)) + 1))``.
 Sums of their products are exact whatever their order (in doubles, below 2**53), so
@@ -26,11 +28,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 TOKEN = r"[^\p{L}\p{N}]+"  # whatever is no letter or digit cuts
 _SLACK = 1 + 1e-9  # for the rounding of bounds
+PIECE = 8  # blocks that are weighed and scored together
 
 
 def terms_of(text: Column) -> Column:
@@ -49,16 +55,100 @@ def norm(weight: Column) -> Column:
 
 @dataclass
 class TextIndex:
-    """Tables of a stored index: ``rows``, ``idf``, ``postings`` and ``maxima``."""
+    """Tables of a stored index: ``rows``, ``idf``, ``postings`` and, out of these, ``maxima``.
+
+    ``postings`` has one row for each term of a block.  The one without a term holds all
+    rows of the block, with their norms as weights.
+    """
 
     spark: SparkSession
     base: str
     ids: list[str]
 
     def table(self, name: str) -> DataFrame:
+        if name == "maxima":
+            return self.table("postings").where(F.col("term").isNotNull()).select("term", "block", "most")
         return self.spark.read.parquet(f"{self.base}/{name}")
 
 
+_POSTINGS = "term string, block long, most double, rows array<long>, ws array<double>"
+
+
+def _flat(lists: pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
+    """How many values each list has, and the values."""
+    whole = lists.combine_chunks()
+    return pc.list_value_length(whole).to_numpy(zero_copy_only=False), whole.flatten()
+
+
+def _weigh_piece(rows: pa.Table, vocabulary: pa.Table, block_rows: int) -> pa.Table:
+    """A piece's postings, from its rows' tokens and its terms' idf."""
+    rows, vocabulary = rows.sort_by("row"), vocabulary.sort_by("term")
+    counts, tokens = _flat(pc.split_pattern(rows["_tokens"], " "))
+    terms, row = vocabulary["term"].combine_chunks(), rows["row"].to_numpy()
+    n = len(terms)
+    # (row, term) pairs in order, with the number of tokens
+    cell, tf = np.unique(np.repeat(np.arange(len(row)), counts) * n + pc.index_in(tokens, terms).to_numpy(), return_counts=True)
+    at, term = cell // n, cell % n
+    w = tf * vocabulary["idf"].to_numpy()[term]
+    norms = np.sqrt(np.bincount(at, w * w, len(row)))
+    block = row // block_rows
+    order = np.lexsort((at, term, block[at]))
+    at, term, w = at[order], term[order], w[order]
+    starts = np.flatnonzero(np.r_[True, (np.diff(term) != 0) | (np.diff(block[at]) != 0)])
+    first = np.flatnonzero(np.r_[True, np.diff(block) != 0])
+
+    def lists(begin: np.ndarray, values: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.r_[begin, len(values)], pa.int32()), pa.array(values))
+
+    names = ["term", "block", "most", "rows", "ws"]
+    return pa.concat_tables([
+        pa.table([terms.take(pa.array(term[starts])).cast(pa.string()), pa.array(block[at[starts]]),
+                  pa.array(np.maximum.reduceat(w / norms[at], starts)), lists(starts, row[at]), lists(starts, w)], names=names),
+        pa.table([pa.nulls(len(first), pa.string()), pa.array(block[first]), pa.nulls(len(first), pa.float64()),
+                  lists(first, row), lists(first, norms)], names=names)])
+
+
+def _score_piece(postings: pa.Table, asked: pa.Table, k: int) -> pa.Table:
+    """Of a piece, each query's best rows within its blocks, with all that tie with the k-th."""
+    held = postings.filter(pc.is_valid(postings["term"]))
+    plain = postings.filter(pc.is_null(postings["term"])).sort_by("block")
+    sizes, row = _flat(plain["rows"])
+    row, norms = row.to_numpy(), _flat(plain["ws"])[1].to_numpy()
+    block, order = np.repeat(plain["block"].to_numpy(), sizes), np.argsort(row)
+    row, norms, block = row[order], norms[order], block[order]
+    held = held.sort_by("term")
+    counts, at = _flat(held["rows"])
+    at, w = np.searchsorted(row, at.to_numpy()), _flat(held["ws"])[1].to_numpy()
+    ends = np.cumsum(counts)
+    # all lists of a term lie together
+    of_term = pc.run_end_encode(held["term"].combine_chunks()) if len(held) else None
+    terms = of_term.values if of_term is not None else pa.array([], pa.string())
+    last = ends[of_term.run_ends.to_numpy() - 1] if of_term is not None else np.zeros(0, np.int64)
+    begin = np.r_[0, last][:-1]
+    out = []
+    sizes, asked_terms = _flat(asked["terms"])
+    places, wqs = pc.index_in(asked_terms, terms).fill_null(-1).to_numpy(), _flat(asked["wqs"])[1].to_numpy()
+    stops, blocks, qnorms = np.cumsum(sizes), asked["blocks"].to_pylist(), asked["qnorm"].to_numpy()
+    for i, stop in enumerate(stops):
+        mine = slice(stop - sizes[i], stop)
+        known = np.flatnonzero(places[mine] >= 0)
+        if not known.size:
+            continue
+        where, wq = places[mine][known], wqs[mine][known]
+        dots = np.bincount(np.concatenate([at[begin[p]:last[p]] for p in where]),
+                           np.concatenate([w[begin[p]:last[p]] * x for p, x in zip(where, wq, strict=True)]), len(row))
+        ok = np.flatnonzero((dots > 0) & np.isin(block, blocks[i]))
+        scores = dots[ok] / (qnorms[i] * norms[ok])
+        if ok.size > k:
+            best = scores >= np.partition(scores, ok.size - k)[ok.size - k]
+            ok, scores = ok[best], scores[best]
+        out.append((np.full(ok.size, i), row[ok], scores))
+    query, found, score = (np.concatenate(c) if out else np.zeros(0, t)
+                           for c, t in zip(zip(*out, strict=True) if out else ((), (), ()), (np.int64, np.int64, np.float64), strict=True))
+    return pa.table([asked["query_id"].combine_chunks().take(pa.array(query)), pa.array(found, pa.int64()), pa.array(score, pa.float64())],
+                    names=["query_id", "row", "score"])
+
+
 def build(texts: DataFrame, ids: list[str], base: str, text_col: str = "text", order_by: list[str] | None = None,
           block_rows: int = 512) -> TextIndex:
     """Store the index of a table at ``base``.
@@ -77,16 +167,16 @@ def build(texts: DataFrame, ids: list[str], base: str, text_col: str = "text", o
     if order_by:
         order = [f"_o{i}" for i in range(len(order_by))]
         src = src.repartitionByRange(*order, *ids).sortWithinPartitions(*order, *ids)
-    rows = put(src.select(F.monotonically_increasing_id().alias("row"), *ids, "_text"), "rows")
+    rows = put(src.select(F.monotonically_increasing_id().alias("row"), *ids, F.array_join(terms_of(F.col("_text")), " ").alias("_tokens")),
+               "rows")
     n = rows.agg(F.count(F.lit(1)).cast("double").alias("n"))
-    tf = put(frequencies(rows, "row", text_col="_text"), "tf")
-    idf = put(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(n)).select(
+    lettered = rows.where(F.length("_tokens") > 0).select("row", "_tokens", F.floor(F.col("row") / (block_rows * PIECE)).cast("long").alias("piece"))
+    distinct = lettered.select("piece", F.explode(F.array_distinct(F.split("_tokens", " "))).alias("term"))
+    idf = put(distinct.groupBy("term").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(n)).select(
         "term", F.floor(F.lit(1000) * (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1) + 0.5).cast("double").alias("idf")), "idf")
-    weighted = tf.join(idf, "term").select("row", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norms = weighted.groupBy("row").agg(norm(F.col("w")).alias("norm"))
-    block = F.floor(F.col("row") / block_rows).cast("long").alias("block")
-    postings = put(weighted.join(norms, "row").select("term", block, "row", "w", "norm"), "postings")
-    put(postings.groupBy("term", "block").agg(F.max(F.col("w") / F.col("norm")).alias("most")), "maxima")
+    vocabulary = distinct.distinct().withColumnRenamed("piece", "_piece").join(idf, "term")
+    put(lettered.groupBy("piece").cogroup(vocabulary.groupBy("_piece")).applyInArrow(
+        lambda some, known: _weigh_piece(some, known, block_rows), _POSTINGS), "postings")
     return index
 
 
@@ -99,12 +189,18 @@ def weigh(index: TextIndex, queries: DataFrame) -> DataFrame:
 
 def _scores(index: TextIndex, cells: DataFrame, weights: DataFrame, k: int) -> DataFrame:
     """Each query's best rows within its cells, with all that tie with the k-th."""
-    asked = cells.select("query_id", "block").join(weights, "query_id")
-    dots = asked.join(index.table("postings"), ["term", "block"]).groupBy("query_id", "qnorm", "row", "norm") \
-        .agg(F.sum(F.col("wq") * F.col("w")).alias("dot"))
-    scored = dots.select("query_id", "row", (F.col("dot") / (F.col("qnorm") * F.col("norm"))).alias("score"))
+    piece = F.floor(F.col("block") / PIECE).cast("long").alias("piece")
+    texts = weights.groupBy("query_id", "qnorm").agg(F.collect_list(F.struct("term", "wq")).alias("_t")) \
+        .select("query_id", "qnorm", F.col("_t.term").alias("terms"), F.col("_t.wq").alias("wqs"))
+    asked = cells.groupBy("query_id", piece).agg(F.collect_list("block").alias("blocks")).join(texts, "query_id")
+    # what no query asks for stays where it is
+    stored = index.table("postings").select("term", "block", "rows", "ws", piece)
+    postings = stored.join(weights.select("term").distinct(), "term", "left_semi").unionByName(stored.where(F.col("term").isNull()))
+    kind = cells.schema["query_id"].dataType.simpleString()
+    local = postings.groupBy("piece").cogroup(asked.groupBy("piece")).applyInArrow(
+        lambda held, queries: _score_piece(held, queries, k), f"query_id {kind}, row long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"))
-    return scored.withColumn("_rank", F.rank().over(best)).where(F.col("_rank") <= k).drop("_rank")
+    return local.withColumn("_rank", F.rank().over(best)).where(F.col("_rank") <= k).drop("_rank")
 
 
 def search(index: TextIndex, queries: DataFrame, k: int, folder: str, probe: int = 4) -> tuple[DataFrame, DataFrame]:
@@ -131,7 +227,7 @@ def search(index: TextIndex, queries: DataFrame, k: int, folder: str, probe: int
     cut = Window.partitionBy("query_id").orderBy(F.desc("score"))
     some = found.withColumn("_rank", F.rank().over(cut)).where(F.col("_rank") <= k)
     last = Window.partitionBy("query_id").orderBy(F.desc("score"), *index.ids)
-    top = some.join(index.table("rows").drop("_text"), "row").withColumn("rank", F.row_number().over(last).cast("int")) \
+    top = some.join(index.table("rows").drop("_tokens"), "row").withColumn("rank", F.row_number().over(last).cast("int")) \
         .where(F.col("rank") <= k).select("query_id", *index.ids, "score", "rank")
     scored = bounds.where(F.col("place") <= probe).select("query_id").unionByName(second.select("query_id")) \
         .groupBy("query_id").agg(F.count(F.lit(1)).alias("scored"))

@@ -131,3 +131,18 @@ def test_terms_are_counted_without_making_vectors_dense(spark):
     rows = [(1, SparseVector(width, {3: 0.5, 70: 0.0, width - 1: 2.0})), (2, SparseVector(width, {})), (3, Vectors.dense([0.0, 1.0]))]
     counts = spark.createDataFrame(rows, ["id", "embedding"]).select("id", nonzero_terms("embedding").alias("n")).collect()
     assert {r.id: r.n for r in counts} == {1: 2, 2: 0, 3: 1}
+
+
+def test_scores_leave_a_piece_as_its_best_rows_only(spark, tmp_path):
+    """Every row has the query's word: (query, row) pairs are not shuffled, each piece hands on its best."""
+    rows = [(i, "common " + " ".join(["word"] * (i % 7)) + f" w{i}") for i in range(2000)]
+    texts = spark.createDataFrame(rows, "id long, text string").coalesce(2)
+    index = textindex.build(texts, ["id"], str(tmp_path / "i"), block_rows=16)
+    asks = spark.createDataFrame([("a", "word"), ("b", "common")], "query_id string, text string")
+    weights = textindex.weigh(index, asks)
+    cells = index.table("maxima").join(weights, "term").select("query_id", "block").distinct()
+    plan = textindex._scores(index, cells, weights, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "sum(" not in plan.split("FlatMapCoGroupsInArrow")[0]
+    top, _ = textindex.search(index, asks, 3, str(tmp_path / "s"))
+    got = {(r.query_id, r["rank"]): r.id for r in top.collect()}
+    assert [got["a", r] for r in (1, 2, 3)] == [6, 13, 20] and len(got) == 6
