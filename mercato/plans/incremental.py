@@ -17,11 +17,17 @@ A line joins its order, wherever it arrives: orders are kept by hash bucket of
 their key (``orders``), lines whose order is not there yet wait (``waiting``).
 Lines whose order came with the same batch, the usual case, need no old order.
 
+Each join of lines with orders is run once and stored for the batch, found and missing
+orders alike, as the months, sums, keys and waiting lines all read it; the finished days
+are made from the sums and keys just written.
+
 All tables of a batch become visible together, and a batch id takes effect once.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,66 +79,72 @@ class SalesView:
         lines = lines.select(*LINE, sign.alias(SIGN))
         orders = orders.select("order_key", *GRAIN)
         bucket = bucket_of(["order_key"], self.buckets)
-        with_order, writes = self._match(lines, orders, bucket, listing)
-        delta = with_order.withColumn(PART, _month())
-        months = touched_parts(delta)
-        sums = self._merged("sums", self._sums(delta), [*GRAIN], months, listing).where(F.col("lines") != 0)
-        keys = self._merged("keys", self._keys(delta), [*GRAIN, "kind", "key"], months, listing).where(F.col("lines") != 0)
-        if months:
-            writes["sums"], writes["keys"] = Write(sums, months), Write(keys, months)
-            writes["daily"] = Write(self._finished(sums, keys), months)
-        self.store.publish(writes, batch_id)
+        work = f"_batch/{uuid.uuid4().hex}"
+        try:
+            delta, writes = self._match(lines, orders, bucket, listing, work)
+            months = touched_parts(delta.withColumn(PART, _month()))
+            if months:
+                writes["sums"] = Write(self._merged("sums", self._sums(delta), GRAIN, months, listing), months)
+                writes["keys"] = Write(self._merged("keys", self._keys(delta), [*GRAIN, "kind", "key"], months, listing), months)
+                writes["daily"] = Write(lambda new: self._finished(*[self.store.read(t, months, new) for t in ("sums", "keys")]), months)
+            self.store.publish(writes, batch_id)
+        finally:
+            self.store._fs().delete(self.store._path(work), True)
         return months
 
-    def _match(self, lines: DataFrame, orders: DataFrame, bucket, listing: dict) -> tuple[DataFrame, dict[str, Write]]:
+    def _found(self, lines: DataFrame, orders: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+        """The lines joined with their orders, and those without; the join is stored, so that it runs once."""
+        lines.join(orders.withColumn("_found", F.lit(True)), "order_key", "left").write.parquet(f"{self.store.base}/{folder}")
+        both = self.spark.read.parquet(f"{self.store.base}/{folder}")
+        return both.where("_found").drop("_found"), both.where("_found IS NULL").select(*lines.columns)
+
+    def _match(self, lines: DataFrame, orders: DataFrame, bucket, listing: dict, work: str) -> tuple[DataFrame, dict[str, Write]]:
         """Lines with their order, and what changes among the kept orders and the waiting lines."""
         new_orders = orders.withColumn(PART, bucket)
         order_buckets = touched_parts(new_orders)
         writes = {"orders": Write(new_orders, order_buckets, append=True)} if order_buckets else {}
-        matched = lines.join(orders, "order_key")
+        matched, without = self._found(lines, orders, f"{work}/new")
         # null keys have no order, now or later
-        without = lines.where(F.col("order_key").isNotNull()).join(orders.select("order_key"), "order_key", "left_anti").withColumn(PART, bucket)
-        line_buckets = touched_parts(without)
+        without = without.where(F.col("order_key").isNotNull())
+        line_buckets = touched_parts(without.withColumn(PART, bucket))
         kept, waiting = self.store.read("orders", line_buckets, listing), self.store.read("waiting", order_buckets, listing)
-        late = matched.limit(0)
         if line_buckets:
             rest = without
             if kept is not None:
-                late = without.drop(PART).join(kept, "order_key")
-                rest = without.join(kept.select("order_key"), "order_key", "left_anti")
-            writes["waiting"] = Write(rest, line_buckets, append=True)
+                late, rest = self._found(without, kept, f"{work}/late")
+                matched = matched.unionByName(late)
+            writes["waiting"] = Write(rest.withColumn(PART, bucket), line_buckets, append=True)
         if waiting is not None and order_buckets:
-            matched = matched.unionByName(waiting.join(orders, "order_key"))
-            still = waiting.join(orders.select("order_key"), "order_key", "left_anti").withColumn(PART, bucket)
+            arrived, still = self._found(waiting, orders, f"{work}/arrived")
+            matched, still = matched.unionByName(arrived), still.withColumn(PART, bucket)
             if "waiting" in writes:
                 # one write a table: buckets with new waiting lines keep their old ones beside them
                 other = [p for p in line_buckets if p not in order_buckets]
                 untouched = self.store.read("waiting", other, listing).withColumn(PART, bucket)
                 still = still.unionByName(untouched).unionByName(writes["waiting"].rows)
             writes["waiting"] = Write(still, sorted({*order_buckets, *line_buckets}))
-        return matched.unionByName(late), writes
+        return matched, writes
 
     def _sums(self, delta: DataFrame) -> DataFrame:
         kinds = dict(delta.dtypes)
         signed = [F.sum(F.col(m) * F.col(SIGN)).cast(_sum_type(kinds[m])).alias(m) for m in MEASURES]
         behind = [F.sum(F.when(F.col(m).isNotNull(), F.col(SIGN)).otherwise(0)).alias(f"n_{m}") for m in MEASURES]
-        return delta.groupBy(PART, *GRAIN).agg(*signed, *behind, F.sum(SIGN).alias("lines"))
+        return delta.groupBy(*GRAIN).agg(*signed, *behind, F.sum(SIGN).alias("lines"))
 
     def _keys(self, delta: DataFrame) -> DataFrame:
+        """One row a line, kind and key; they are counted together with the kept ones."""
         each = F.explode(F.array(F.struct(F.lit("order").alias("kind"), F.col("order_key").alias("key")),
                                  F.struct(F.lit("product").alias("kind"), F.col("part_key").alias("key"))))
-        counted = delta.groupBy(PART, *GRAIN, "order_key", "part_key").agg(F.sum(SIGN).alias(SIGN))
-        return counted.select(PART, *GRAIN, SIGN, each.alias("_k")).where(F.col("_k.key").isNotNull()) \
-            .groupBy(PART, *GRAIN, F.col("_k.kind").alias("kind"), F.col("_k.key").alias("key")).agg(F.sum(SIGN).alias("lines"))
+        return delta.select(*GRAIN, each.alias("_k"), F.col(SIGN).alias("lines")).where(F.col("_k.key").isNotNull()) \
+            .select(*GRAIN, "_k.kind", "_k.key", "lines")
 
     def _merged(self, table: str, new: DataFrame, by: list[str], months: list[str], listing: dict) -> DataFrame:
+        """New and kept rows added up; a month belongs to a day, so that it need not be grouped by."""
         old = self.store.read(table, months, listing)
-        if old is None:
-            return new
         kinds = dict(new.dtypes)
-        rest = [c for c in new.columns if c not in (PART, *by)]
-        return new.unionByName(old.withColumn(PART, _month())).groupBy(PART, *by) \
-            .agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in rest])
+        rest = [c for c in new.columns if c not in by]
+        return (new if old is None else new.unionByName(old)).groupBy(*by).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in rest]) \
+            .where(F.col("lines") != 0).withColumn(PART, _month())
 
     def _finished(self, sums: DataFrame, keys: DataFrame) -> DataFrame:
         counts = keys.where(F.col("lines") > 0).groupBy(*GRAIN).agg(
@@ -140,8 +152,8 @@ class SalesView:
         same = [sums[c].eqNullSafe(counts[c]) for c in GRAIN]
         value = {m: F.when(F.col(f"n_{m}") > 0, F.col(m)) for m in MEASURES}  # a sum of nothing is null
         rows = sums.join(counts, same, "left").select(
-            PART, *[sums[c] for c in GRAIN], "num_orders", value["quantity"].alias("total_quantity"),
+            *[sums[c] for c in GRAIN], "num_orders", value["quantity"].alias("total_quantity"),
             value["net_revenue"].alias("net_revenue"), value["gross_revenue"].alias("gross_revenue"),
             value["supply_cost"].alias("total_cost"), value["profit"].alias("total_profit"),
             value["discount"].alias("_discount"), F.col("n_discount").alias("_discounts"), "distinct_products")
-        return rows.select(PART, *G.daily_columns())
+        return rows.select(_month().alias(PART), *G.daily_columns())

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +26,12 @@ PART = "_part"
 
 @dataclass
 class Write:
-    """Rows for the ``touched`` parts of a table: in their place, or added to what is there."""
+    """Rows for the ``touched`` parts of a table: in their place, or added to what is there.
 
-    rows: DataFrame
+    ``rows`` may be a function of the draft listing, for rows made from tables that the same publish wrote before.
+    """
+
+    rows: DataFrame | Callable[[dict], DataFrame]
     touched: list[str]
     append: bool = False
 
@@ -151,7 +155,8 @@ class Store:
             return
         for table, w in writes.items():
             # files of even size: small parts put together, large ones split
-            folders = self._write(table, new["version"], w.rows.hint("rebalance", PART))
+            rows = w.rows if isinstance(w.rows, DataFrame) else w.rows(new)
+            folders = self._write(table, new["version"], rows.hint("rebalance", PART))
             strange = sorted(folders.keys() - set(w.touched))
             if strange:
                 raise ValueError(f"rows of {table} lie in parts {strange}, which the write does not name")
@@ -161,7 +166,7 @@ class Store:
                     parts.pop(p, None)
             for part, folder in folders.items():
                 parts[part] = [*parts.get(part, []), folder]
-            new["tables"][table] = {"schema": _without_part(w.rows).jsonValue(), "parts": parts}
+            new["tables"][table] = {"schema": _without_part(rows).jsonValue(), "parts": parts}
         self._switch(new)
 
     def stage(self, table: str, rows: DataFrame) -> Staged:

@@ -153,6 +153,21 @@ def test_a_refresh_reads_touched_months_only(spark, tmp_path, facts):
     assert sales(view.daily()) == sales(G.daily_sales(lines, orders))
 
 
+def test_a_batch_computes_its_lines_once(spark, tmp_path, facts):
+    lines, orders = facts
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    view = SalesView(spark, str(tmp_path / "view"), buckets=2)
+    view.apply(lines.mapInArrow(counted, lines.schema), orders, "b1")
+    assert seen.value == lines.count()
+    assert sales(view.daily()) == sales(G.daily_sales(lines, orders))
+
+
 # ---------------------------------------------------------------- enforced writes
 
 def test_bad_rows_are_never_visible(spark, tmp_path):
