@@ -195,6 +195,16 @@ def test_lines_join_only_the_lookups_they_need(spark):
     assert [_scans(g.daily_sales, k) for k in keys[2:]] == [1, 1]
 
 
+def test_lines_of_a_larger_table_are_dealt_over_more_tasks(spark):
+    s = silver(spark, SF001)
+    assert s.lines_by_order("order_key").rdd.getNumPartitions() == 4
+    assert s.lines_by_order("order_key", task_bytes=10_000).rdd.getNumPartitions() > 8
+    # the join by order takes them as they are dealt
+    plan = G.daily_sales(s.lines_by_order(*G.LINES_OF["daily_sales"], task_bytes=10_000), s.fact_orders)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(order_key" in line]
+    assert len([line for line in dealt if "REPARTITION_BY_NUM" in line]) == 1 and "hashpartitioning(order_key" in plan
+
+
 def test_daily_sales_counts_orders_and_products_once(spark):
     line = ("order_key long, part_key long, quantity double, net_revenue decimal(12,2), gross_revenue decimal(12,2), "
             "supply_cost decimal(12,2), profit decimal(12,2), discount decimal(4,2)")
