@@ -19,6 +19,7 @@ from mercato.functions.numeric import round_half_up
 from mercato.operators.ranking import global_rank
 from mercato.plans.forecast import demand_forecast  # noqa: F401
 from mercato.plans.metrics import class_report, exact_auc
+from mercato.session import checkpoint_dir
 
 NUMERIC = ["recency_days", "frequency", "lifetime_value", "avg_order_value", "r_score", "f_score", "m_score",
            "rfm_score", "customer_lifetime_days"]
@@ -51,12 +52,24 @@ def stratified_split(df: DataFrame, label: str, key: str, train_frac: float = 0.
     return j.where("_train").drop("_train"), j.where(~F.col("_train")).drop("_train")
 
 
+def spread(rows: DataFrame, key: str, rows_per_task: int = 250_000) -> DataFrame:
+    """The rows stored once and dealt by ``key`` over all cores, and over more tasks when they are many.
+
+    Fitting passes over its rows for every level of every tree, and a ranked frame may come in one partition.
+    """
+    spark = rows.sparkSession
+    checkpoint_dir(spark)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-rows.count() // rows_per_task))
+    return rows.repartition(tasks, key).checkpoint(eager=True)
+
+
 def fit_churn(train: DataFrame, seed: int = 42, max_iter: int = 100, max_depth: int = 5, step: float = 0.1) -> PipelineModel:
     """Scaled numbers and category codes into boosted trees.
 
     Codes follow the categories' alphabet; a category that training did not see, or none,
     has code -1.
     """
+    train = spread(train, "customer_key")
     indexed = [StringIndexer(inputCol=c, outputCol=f"_{c}_idx", stringOrderType="alphabetAsc", handleInvalid="keep").fit(train)
                for c in CATEGORICAL]
     # the indexer gives what it does not know the number of its labels
