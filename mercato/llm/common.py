@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.session import checkpoint_dir
@@ -21,10 +21,31 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the cluster's checkpoint folder and read from there.
 
     Cuts the lineage, so that later passes read files that every executor can
-    reach instead of computing the upstream stages again.
+    reach instead of computing the upstream stages again.  Nothing reads the step's
+    shuffles after that, so their files go at once, not when the driver next happens to
+    collect garbage: a job of many steps would keep the shuffles of all of them.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return let_go(df).checkpoint(eager=True)
+
+
+_LET_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def let_go(df: DataFrame) -> DataFrame:
+    """``df`` as a plan of its own, whose shuffle files Spark deletes when an action on it ends."""
+    conf = df.sparkSession.conf
+    before = conf.get(_LET_GO)
+    conf.set(_LET_GO, "true")
+    try:
+        return df.select("*")  # a plan takes the setting up when it is made
+    finally:
+        conf.set(_LET_GO, before)
+
+
+def one_row(df: DataFrame) -> Row:
+    """The row of a table of one row."""
+    return let_go(df).collect()[0]
 
 
 def delete_folder(spark: SparkSession, folder: str) -> None:

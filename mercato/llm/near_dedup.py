@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.common import Spans, mix, shuffle_partitions, slices, stored
+from mercato.llm.common import Spans, mix, one_row, shuffle_partitions, slices, stored
 
 BANDS, ROWS = 40, 4
 SAMPLES = 768  # all go into the sketch, the first BANDS * ROWS into the bands
@@ -229,7 +229,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(m, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .unionAll(m.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
         e = stored(small)
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        now = one_row(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))))
         if now == sign:
             return e.select(F.col("u").alias("node"), F.col("v").alias("label")) \
                 .unionAll(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
@@ -351,7 +351,7 @@ def _by_class(rows: DataFrame, classes: DataFrame, key: list[str]) -> DataFrame:
     are sent to the tasks, so the rows of a class that a third of all rows belong to
     stay where they are.
     """
-    total, most = classes.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.coalesce(F.max("copies"), F.lit(0))).first()
+    total, most = one_row(classes.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.coalesce(F.max("copies"), F.lit(0))))
     bound = max(1000, total // 100_000)
     if most <= bound:
         return rows.join(classes, key).drop("copies")

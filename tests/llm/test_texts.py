@@ -5,6 +5,7 @@ import inspect
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -301,6 +302,22 @@ def test_sketch_limit_leaves_room_for_both_noises():
     assert (near_dedup.most_ones(least) - ones.mean()) / ones.std() > 5
 
 
+def test_finished_steps_leave_no_shuffle_files(spark):
+    def files():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return set(re.findall(r"shuffle_\d+_\d+_0\.data", disk.getAllFiles().mkString(" ")))
+
+    edges = spark.createDataFrame([(i, i + 1) for i in range(0, 60, 2)] + [(1, 2), (7, 8)], "a long, b long")
+    before = files()
+    got = near_dedup.components(edges)
+    for _ in range(100):  # executors delete them on their own time
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert {r.node: r.label for r in got.collect()}[3] == 0
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(200)] + [(rng.randint(300, 400), rng.randint(300, 400)) for _ in range(60)] + [(500, 500 + i) for i in range(1, 90)]
