@@ -9,7 +9,8 @@ The vocabulary is all lower-cased characters of the corpus, and counts are taken
 over whole texts of all documents (``score_corpus``):
 
 1. One pass cuts the documents into blocks of about ``block_bytes`` of text, kept
-   compressed, and each block's distinct 4-grams are counted.
+   compressed.  The target is looked up by ids alone and comes back as one bit a document
+   of each block, so no text is shuffled for it.  Each block's distinct 4-grams are counted.
 2. 4-grams, contexts and all shorter orders are tables that grow with the corpus;
    joins of them give every 4-gram's two losses.  Probabilities are smoothed by
    interpolation with the shorter contexts: a context gives its lower order as
@@ -33,6 +34,7 @@ or not in the corpus do nothing; other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +43,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import shuffle_partitions, slices, stored, texts_of
+from mercato.llm.common import delete_folder, shuffle_partitions, slices, stored, texts_of
+from mercato.session import checkpoint_dir
 
 ORDER = 4
 
@@ -50,6 +53,8 @@ _CHAR = 21  # bits of a code point, which is shifted by one: 0 stands before a t
 
 
 _PIECE = 1 << 20  # places of a block taken at a time
+_BITS = 1 << 15  # of one bitmap of Spark's
+_INSIDE = "array<struct<number: bigint, bits: binary>>"
 
 
 class _Texts:
@@ -115,7 +120,7 @@ def _merged(parts: list[np.ndarray]) -> np.ndarray:
 
 
 def _blocks(src: DataFrame, id_type: str, block_bytes: int) -> DataFrame:
-    """Rows of _id, _text and _in as blocks: a number, the ids, the texts' lengths, who is in the target, the joined texts."""
+    """Rows of _id and _text as blocks: a number, the ids, the texts' lengths, the joined texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         block = TaskContext.get().partitionId() << 32
@@ -125,12 +130,11 @@ def _blocks(src: DataFrame, id_type: str, block_bytes: int) -> DataFrame:
             ids = pa.concat_arrays([p.column(0) for p in held])
             texts = [t.lower() for p in held for t in texts_of(p, "_text")]
             blob = "".join(texts).encode("utf-32-le", "surrogatepass")
-            inside = [v for p in held for v in p.column(2).to_pylist()]
             return pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                 pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([inside], pa.list_(pa.bool_())),
+                 pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
                  pa.array([len(blob)], pa.int64()), pa.array([pa.compress(blob, "zstd", asbytes=True)], pa.binary())],
-                names=["block", "ids", "lengths", "inside", "size", "blob"])
+                names=["block", "ids", "lengths", "size", "blob"])
 
         for part in slices(batches, "_text", block_bytes):
             held.append(part)
@@ -141,7 +145,24 @@ def _blocks(src: DataFrame, id_type: str, block_bytes: int) -> DataFrame:
         if held:
             yield emit()
 
-    return src.mapInArrow(run, f"block long, ids array<{id_type}>, lengths array<long>, inside array<boolean>, size long, blob binary")
+    return src.mapInArrow(run, f"block long, ids array<{id_type}>, lengths array<long>, size long, blob binary")
+
+
+def _inside(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
+    """block and inside: for each 32,768 documents of a block with any in the target, their number (from 1) and a bit for each."""
+    found = blocks.select("block", F.posexplode("ids").alias("at", "_id")).join(wanted, F.col("_id") == F.col("_target")) \
+        .select("block", (F.col("at") + 1).alias("at"))  # bitmaps begin at 1
+    bits = found.groupBy("block", F.bitmap_bucket_number("at").alias("number")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    return bits.groupBy("block").agg(F.collect_list(F.struct("number", "bits")).alias("inside"))
+
+
+def _flags(inside: list[dict] | None, n: int) -> np.ndarray:
+    """Whether each of a block's ``n`` documents is in the target."""
+    out = np.zeros(n, bool)
+    for part in inside or ():
+        bits = np.flatnonzero(np.unpackbits(np.frombuffer(part["bits"], np.uint8), bitorder="little"))
+        out[(part["number"] - 1) * _BITS + bits] = True
+    return out
 
 
 def _text_of(row: dict) -> tuple[bytes, np.ndarray]:
@@ -156,7 +177,7 @@ def _block_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = batch.slice(i, 1).to_pylist()[0]
             blob, lengths = _text_of(row)
             texts = _Texts(blob, lengths)
-            wanted = np.array(row["inside"], bool)
+            wanted = _flags(row["inside"], lengths.size)
             parts, ns = [], []
             for code, owner in texts.pieces():
                 some, n = np.unique(code, return_counts=True)
@@ -176,6 +197,11 @@ def _block_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     names=["block", "at", "context", "char", "background", "target"])
 
 
+def _grams(blocks: DataFrame) -> DataFrame:
+    return blocks.select("block", "lengths", "inside", "size", "blob") \
+        .mapInArrow(_block_grams, "block long, at int, context long, char long, background long, target long")
+
+
 def gram_losses(counted: DataFrame) -> DataFrame:
     """context, char and the target's and the background's loss of every 4-gram, from its counts.
 
@@ -213,13 +239,18 @@ def score_corpus(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id",
                  block_bytes: int = 16 << 20) -> DataFrame:
     """The id, n_tokens, target_loss, background_loss and score of every row, by models over all characters of ``docs``."""
     wanted = target_ids.select(F.col(id_col).alias("_target")).filter("_target IS NOT NULL").distinct()
-    src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")) \
-        .join(wanted, F.col("_id") == F.col("_target"), "left") \
-        .select("_id", "_text", F.col("_target").isNotNull().alias("_in"))
+    src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     id_type = src.schema["_id"].dataType.simpleString()
     blocks = stored(_blocks(src, id_type, block_bytes))
-    grams_ = blocks.mapInArrow(_block_grams, "block long, at int, context long, char long, background long, target long")
+    spark = docs.sparkSession
+    # as files, whose size Spark knows: a small table of bits leaves the blocks where they are
+    folder = f"{checkpoint_dir(spark)}/lm-scoring-{uuid.uuid4()}"
+    _inside(blocks, wanted).write.option("compression", "zstd").parquet(folder)
+    marked = blocks.join(spark.read.parquet(folder), "block", "left")
+    grams_ = _grams(marked)
     counted = stored(grams_.groupBy("context", "char").agg(F.sum("background").alias("background"), F.sum("target").alias("target")))
+    delete_folder(spark, folder)
+    grams_ = _grams(blocks.withColumn("inside", F.lit(None).cast(_INSIDE)))  # only which there are
     table = gram_losses(counted)
     answers = grams_.select("block", "at", "context", "char").join(table.withColumn("char", F.col("char") + 0), ["context", "char"]) \
         .select("block", "at", "target_loss", "background_loss")
@@ -246,6 +277,6 @@ def score_corpus(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id",
         columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
         return pa.Table.from_arrays([ids, *map(pa.array, columns)], names=["_id", "n_tokens", "target_loss", "background_loss", "score"])
 
-    tasks = shuffle_partitions(docs.sparkSession)
+    tasks = shuffle_partitions(spark)
     return blocks.select("block", "ids", "lengths", "size", "blob").repartition(tasks, "block").groupBy("block") \
         .cogroup(answers.repartition(tasks, "block").groupBy("block")).applyInArrow(judge, out).withColumnRenamed("_id", id_col)

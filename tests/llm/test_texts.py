@@ -104,6 +104,21 @@ def test_losses_over_all_characters(spark):
     assert lm_scoring.score_corpus(docs.limit(0), ids).count() == 0
 
 
+def test_the_target_is_found_without_its_texts(spark, monkeypatch):
+    """However many targets there are, blocks are cut where the texts are read, and bits say who is in."""
+    seen, cut = [], lm_scoring._blocks
+    monkeypatch.setattr(lm_scoring, "_blocks", lambda src, *rest: seen.append(src.columns) or cut(src, *rest))
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("ab"), F.col("id") % 7).alias("text"))
+    ids = spark.createDataFrame([(0,), (32766,), (32767,), (32768,), (39_999,), (39_999,), (None,), (50_000,)], "doc_id long")
+    lm_scoring.score_corpus(docs.coalesce(1), ids)
+    assert seen == [["_id", "_text"]]
+    blocks = cut(docs.coalesce(1).toDF("_id", "_text"), "bigint", 16 << 20)
+    wanted = ids.select(F.col("doc_id").alias("_target")).filter("_target IS NOT NULL").distinct()
+    got = np.concatenate([lm_scoring._flags([x.asDict() for x in r.inside], len(r.ids))
+                          for r in blocks.join(lm_scoring._inside(blocks, wanted), "block", "left").collect()])
+    assert np.flatnonzero(got).tolist() == [0, 32766, 32767, 32768, 39_999]
+
+
 def test_codes_of_4_grams(monkeypatch):
     """Whatever the pieces and however many characters, the codes spell every text's 4-grams in their order."""
     rng = random.Random(3)
