@@ -8,8 +8,8 @@ is the number of suffixes that it opens.
 1. Each task turns a few megabytes of texts of a language into a *block*: its different
    words and the row of their codes, compressed, and stores it.
 2. Routed by their one leading word, all suffixes of an infrequent word are
-   abandoned at once: word counts are summed over the blocks, and each block gets back
-   which of its words are frequent.  The others end suffixes, as no frequent phrase
+   abandoned at once: a word's rows of all blocks are counted where they meet, and each
+   block gets back which of its words are frequent.  The others end suffixes, as no frequent phrase
    holds them.
 3. Each block's suffixes of two words or more are written, equal ones as one row
    with a count, and routed by all their leading words: cut into ranges of about
@@ -312,9 +312,13 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, keep: int
     totals = stored(blocks.groupBy("lang").agg(F.sum("size").alias("n")))
     word = F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w")
     of_block = blocks.select("block", "lang", word).select("block", "lang", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    single = stored(of_block.groupBy("lang", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
-    kept = of_block.select("block", "lang", "place", "word").join(single.select("lang", "word"), ["lang", "word"]) \
-        .groupBy("block").agg(F.collect_list("place").alias("places"))  # as many as a block has words
+    # a block has a word at most once, so a word has as many rows as there are blocks with it; one of them keeps its letters
+    same = Window.partitionBy("lang", "word")
+    known = put(of_block.select("block", "place", "lang", "word", F.sum("n").over(same).alias("n"), F.min("block").over(same).alias("first"))
+                .filter(F.col("n") >= least)
+                .select("block", "place", "lang", F.when(F.col("block") == F.col("first"), F.col("word")).alias("word"), "n"), "known")
+    single = known.filter("word IS NOT NULL").select("lang", "word", "n")
+    kept = known.groupBy("block").agg(F.collect_list("place").alias("places"))  # as many as a block has words
     suffixes = put(_suffixes(blocks, kept, longest), "suffixes")
     rows, size = suffixes.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("suffix")), F.lit(0))).first()
     longer = phrase_counts(suffixes, rows, size, longest, least, range_rows).filter("size >= 2")

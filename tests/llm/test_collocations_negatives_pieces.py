@@ -57,6 +57,16 @@ def test_collocations_equal_brute_force(spark, block):
         assert Counter(map(tuple, got)) == plain_collocations(rows, least, keep)
 
 
+def test_words_are_counted_where_their_rows_meet(spark, monkeypatch):
+    """The blocks' words are shuffled once: no table of frequent words is joined with them."""
+    made, suffixes = [], collocations._suffixes
+    monkeypatch.setattr(collocations, "_suffixes", lambda blocks, kept, longest: made.append(kept) or suffixes(blocks, kept, longest))
+    rows = [("en", "a b a b c")] * 60 + [("de", "a b x")] * 50 + [(None, "a b")] * 40
+    got = collocations.collocations(spark.createDataFrame(rows, "lang string, text string"), 100, slice_bytes=64).collect()
+    assert Counter(map(tuple, got)) == plain_collocations(rows, 100, 2000)
+    assert "Join" not in made[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_collocations_of_nothing(spark):
     schema = "lang string, text string"
     assert collocations.collocations(spark.createDataFrame([], schema)).count() == 0
