@@ -16,6 +16,14 @@ The five numbers are 25 bits each of three 64-bit hashes of the term's hash.  ln
 is compared, so nothing overflows; it depends on nothing but the term and t, so equal
 values are equal samples, and a sample is a plain minimum in a grouped aggregation.
 
+Most draws cannot be a minimum, and a bound without logarithms tells so: y <= w, and
+c = -ln(u1 u2) >= 1 - u1 u2, so a is at least that over w, times e^-r, the product q of r's
+two uniforms.  At a weight of 1, y e^r = (1 / q)^(1 - b) <= 1 + (1 - b) (1 / q - 1) is closer.
+A draw whose bound is above ``LIMIT`` over the sum of its text's weights is
+left out before its logarithms.  A smallest a below that limit is the
+smallest of all draws; a document with a sample that has none (once in e^LIMIT samples) draws
+again with all its terms.  So the samples are those of all draws.
+
 Each document is also compared with an *edited* text and with the next document
 by id.  Documents are dealt by range of the id into many small buckets, each
 with a copy of the first document of the following one, so every document meets
@@ -37,9 +45,9 @@ from pyspark.sql import functions as F
 from mercato.llm.common import stored
 
 SAMPLES = 64
-#: So many are drawn side by side: with more, the generated methods grow too large for the JVM to compile.
-SIDE = 8  # a multiple of 4
-_SALT = np.random.default_rng(20240902).integers(-(1 << 63), (1 << 63) - 1, 3 * SIDE, dtype=np.int64).tolist()
+LIMIT = 10.0
+_NONE = -(1 << 15)  # the mark of no sample
+_SALT = np.random.default_rng(20240902).integers(-(1 << 63), (1 << 63) - 1, SAMPLES + 2, dtype=np.int64).tolist()
 
 
 # ------------------------------------------------------------ order of the ids
@@ -97,64 +105,79 @@ def _terms(text: Column) -> Column:
 
 def _uniform(word: str, lane: int) -> str:
     """A number in (0, 1) from 25 bits of a 64-bit word."""
-    return f"((shiftrightunsigned({word}, {39 - 25 * lane}) & 33554431L) + 0.5D) / 33554432D"
-
+    return f"((shiftrightunsigned({word}, {39 - 25 * lane}) & 33554431L) + 0.5D) * {2.0 ** -25}D"
 
-def _draw(weighted: DataFrame, key: list[str]) -> DataFrame:
-    """key, own and other: the marks of both texts' samples, 16 bits each, as arrays of longs, zeros without samples.
 
-    ``weighted``: key, term, and the weights w0 in the first and w1 in the second text.
-    """
-    turns = range(SAMPLES // SIDE)
-    h = weighted.withColumn("turn", F.explode(F.array(*map(F.lit, turns)))) \
-        .select(*key, "turn", F.when(F.col("term").isNotNull(), F.xxhash64("term", "turn")).alias("e"), F.ln("w0").alias("l0"), F.ln("w1").alias("l1"))
-    words = h.select("*", *[F.expr(f"xxhash64(e ^ {_SALT[3 * k + i]}L) AS h{k}_{i}") for k in range(SIDE) for i in range(3)])
-    drawn = words.select(*key, "turn", "l0", "l1", *[
-        F.expr(text) for k in range(SIDE) for text in (
-            f"-ln({_uniform(f'h{k}_0', 0)} * ({_uniform(f'h{k}_0', 1)})) AS r{k}",
-            f"ln(-ln({_uniform(f'h{k}_1', 0)} * ({_uniform(f'h{k}_1', 1)}))) AS c{k}",
-            f"{_uniform(f'h{k}_2', 0)} AS b{k}")])
+def _weighted(rows: DataFrame, key: list[str]) -> DataFrame:
+    """key, term, its weights w0 in the text and w1 in the edited text, and the sums s0 and s1 of all weights there."""
+    texts = F.array(F.struct(F.lit(0).alias("v"), F.col("text").alias("t")), F.struct(F.lit(1).alias("v"), F.col("edited").alias("t")))
+    terms = rows.select(*key, F.explode(texts).alias("x")) \
+        .select(*key, F.col("x.v").alias("v"), _terms(F.col("x.t")).alias("all")) \
+        .select(*key, "v", F.size("all").alias("s"), "all") \
+        .select(*key, "v", "s", F.explode_outer("all").alias("p")) \
+        .select(*key, "v", "s", F.when(F.col("p").isNotNull(), F.xxhash64(F.col("p.p"), F.col("p.q"))).alias("term"))
+    # a weight of 0 has no logarithm and draws nothing; nor does a text without words, whose term is null
+    weights = [F.when(F.col("term").isNotNull(), F.nullif(F.count_if(F.col("v") == v), F.lit(0))).cast("double").alias(f"w{v}") for v in range(2)]
+    return terms.groupBy(*key, "term").agg(*weights, *[F.max(F.when(F.col("v") == v, F.col("s"))).cast("double").alias(f"s{v}") for v in range(2)])
+
+
+def _draws(weighted: DataFrame, key: list[str], limit: float | None) -> DataFrame:
+    """key, sample, and ln(a) of each draw in both texts, as ``own`` and ``other``: null above ``limit`` over the sum of weights."""
+    logs = [F.ln(f"w{v}").alias(f"l{v}") for v in range(2)]
+    if limit is not None:
+        logs += [F.ln(F.lit(limit) / F.col(f"s{v}")).alias(f"bar{v}") for v in range(2)]
+        logs.append((F.greatest(F.col("w0") / F.col("s0"), F.col("w1") / F.col("s1")) * (limit * (1 + 1e-9))).alias("most"))  # more than rounding
+        logs.append((F.greatest("w0", "w1") > 1).alias("heavy"))
+    r, c, b = "xxhash64(term ^ salt)", f"xxhash64(term ^ salt ^ {_SALT[SAMPLES]}L)", f"xxhash64(term ^ salt ^ {_SALT[SAMPLES + 1]}L)"
+    drawn = weighted.select(*key, F.coalesce("term", F.lit(0)).alias("term"), *logs).select("*", F.posexplode(F.array(*map(F.lit, _SALT[:SAMPLES]))).alias("sample", "salt"))
+    if limit is not None:
+        least, q = f"(1D - {_uniform(c, 0)} * {_uniform(c, 1)})", f"({_uniform(r, 0)} * {_uniform(r, 1)})"
+        drawn = drawn.filter(F.expr(f"{least} * {q} <= most")) \
+            .filter(F.expr(f"heavy OR {least} * {q} <= most * (1D - {_uniform(b, 0)} * (1D - {q}))"))
     # ln a = ln c - r (t - b) - r is a function of the term and t alone, so its bits stand for the sample
-    def best(k: int, name: str, weight: str) -> Column:
-        return F.expr(f"min(c{k} - r{k} * (floor({weight} / r{k} + b{k}) - b{k}) - r{k}) AS {name}{k}")
-
-    samples = drawn.groupBy(*key, "turn").agg(*[best(k, name, weight) for name, weight in (("own", "l0"), ("other", "l1")) for k in range(SIDE)])
-
-    def lanes(name: str, q: int) -> str:
-        return " | ".join(f"shiftleft(pmod(xxhash64({name}{4 * q + i}), 65535L) + 1, {16 * i})" for i in range(4))
-
-    marks = samples.select(*key, "turn", *[F.expr(f"CASE WHEN {name}0 IS NULL THEN 0L ELSE {lanes(name, q)} END AS {name}_{q}")
-                                           for name in ("own", "other") for q in range(SIDE // 4)])
-    return marks.groupBy(*key).agg(*[
-        F.expr("array(" + ", ".join(f"max(CASE WHEN turn = {t} THEN {name}_{q} END)" for t in turns for q in range(SIDE // 4)) + f") AS {name}")
-        for name in ("own", "other")])
+    made = drawn.withColumns({"hr": F.expr(r), "hc": F.expr(c)}).withColumns({
+        "r": F.expr(f"-ln({_uniform('hr', 0)} * ({_uniform('hr', 1)}))"), "c": F.expr(f"ln(-ln({_uniform('hc', 0)} * ({_uniform('hc', 1)})))"),
+        "b": F.expr(_uniform(b, 0))}) \
+        .withColumns({name: F.expr(f"c - r * (floor(l{v} / r + b) - b) - r") for v, name in enumerate(("own", "other"))})
+    if limit is None:
+        return made.select(*key, "sample", "own", "other")
+    # a generator leaves out what is above both bars; a filter would be moved to where all is computed once more
+    kept = F.expr("IF(own <= bar0 OR other <= bar1, array(named_struct('own', IF(own <= bar0, own, NULL), 'other', IF(other <= bar1, other, NULL))), "
+                  "array())")
+    return made.select(*key, "sample", F.inline(kept))
+
+
+def _marks(draws: DataFrame, key: list[str]) -> DataFrame:
+    """key, own and other: the marks of both texts' samples, 16 bits each, ``_NONE`` without; and how many each has."""
+    names = ("own", "other")
+    samples = draws.groupBy(*key, "sample").agg(*[F.min(name).alias(name) for name in names])
+    marks = [F.expr(f"cast(if({name} IS NULL, {_NONE}, pmod(xxhash64({name}), 65535L) + {_NONE + 1}) AS smallint) AS {name}") for name in names]
+    whole = samples.select(*key, "sample", *marks).groupBy(*key).agg(
+        F.sort_array(F.collect_list(F.struct("sample", *names))).alias("all"), *[F.count_if(F.col(name) > _NONE).alias(f"{name}_found") for name in names])
+    return whole.select(*key, *[F.col(f"all.{name}").alias(name) for name in names], *[f"{name}_found" for name in names])
 
 
 def _hex(marks: str) -> Column:
     """Marks as a string, four digits a sample."""
-    return F.array_join(F.transform(marks, lambda m: F.lpad(F.lower(F.hex(m)), 16, "0")), "")
+    return F.array_join(F.transform(marks, lambda m: F.lpad(F.lower(F.hex(m.cast("int") - _NONE)), 4, "0")), "")
 
 
 def _likeness(a: str, b: str) -> Column:
     """The share of equal samples; 1 if neither text has any."""
-    def lanes(x: Column) -> list[Column]:
-        return [F.shiftrightunsigned(x, 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in range(4)]
-
     def total(f) -> Column:
-        counts = F.zip_with(a, b, lambda x, y: sum((f(p, q).cast("int") for p, q in zip(lanes(x), lanes(y), strict=True)), F.lit(0)))
-        return F.aggregate(counts, F.lit(0), lambda s, c: s + c)
+        return F.aggregate(F.zip_with(a, b, lambda p, q: f(p, q).cast("int")), F.lit(0), lambda s, c: s + c)
 
-    filled = total(lambda p, q: (p > 0) | (q > 0))
-    return F.when(filled == 0, F.lit(1.0)).otherwise(total(lambda p, q: (p == q) & (p > 0)) / F.greatest(filled, F.lit(1)))
+    filled = total(lambda p, q: (p > _NONE) | (q > _NONE))
+    return F.when(filled == 0, F.lit(1.0)).otherwise(total(lambda p, q: (p == q) & (p > _NONE)) / F.greatest(filled, F.lit(1)))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_bucket: int = 48,
-                 partition_chars: int = 3 << 20) -> DataFrame:
+                 partition_chars: int = 3 << 20, limit: float = LIMIT) -> DataFrame:
     """id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of every row.
 
     The edited text has the last half of its code points replaced by the first as
     many (or all) of the next document.  ``partition_chars``: about how much text
-    a task holds the terms of.
+    a task holds the terms of.  ``limit``: see above; any gives the same rows.
     """
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     chars = src.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -166,15 +189,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half),
                                               F.substring(F.coalesce("after", F.lit("")), F.lit(1), half)))
     key = ["bucket", "at"]  # rows stay where they are: each grouping below is by the bucket and more
-    texts = F.array(F.struct(F.lit(0).alias("v"), F.col("text").alias("t")), F.struct(F.lit(1).alias("v"), F.col("edited").alias("t")))
-    terms = rows.select(*key, F.explode(texts).alias("x")) \
-        .select(*key, F.col("x.v").alias("v"), F.explode_outer(_terms(F.col("x.t"))).alias("p")) \
-        .select(*key, "v", F.when(F.col("p").isNotNull(), F.xxhash64(F.col("p.p"), F.col("p.q"))).alias("term"))
-    # a weight of 0 has no logarithm and draws nothing; nor does a text without words, whose term is null
-    weight = {name: F.when(F.col("term").isNotNull(), F.nullif(F.count_if(F.col("v") == v), F.lit(0))).cast("double").alias(name)
-              for v, name in enumerate(("w0", "w1"))}
-    weighted = terms.groupBy(*key, "term").agg(*weight.values())
-    marks = _draw(weighted, key)
+    found = _marks(_draws(_weighted(rows, key), key, limit), key)
+    settled = stored(found.filter((F.col("own_found") == SAMPLES) & (F.col("other_found") == SAMPLES)).select(*key, "own", "other"))
+    left = rows.join(settled.select(*key).repartition(tasks, "bucket"), key, "left_anti")
+    again = _marks(_draws(_weighted(left, key), key, None), key).select(*key, "own", "other")
+    marks = settled.unionByName(again).repartition(tasks, "bucket")
     in_order = Window.partitionBy("bucket").orderBy("at")
     judged = marks.withColumn("next", F.lead("own").over(in_order)).select(
         *key, _hex("own").alias("fingerprint"), _hex("other").alias("edited_fingerprint"),

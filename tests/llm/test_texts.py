@@ -209,6 +209,20 @@ def test_fingerprints_keep_the_weights(spark):
         assert abs(off.mean()) < 0.04 and off.std() < 0.12
 
 
+def test_left_out_draws_change_no_sample(spark):
+    """Whatever the limit, also one that makes nearly all documents draw again, the samples are those of all draws."""
+    rng = random.Random(5)
+    long = [(10 + i, " ".join(f"w{rng.randrange(60)}" for _ in range(rng.randrange(2, 400)))) for i in range(40)]
+    docs = odd(spark).drop("n").filter("doc_id IS NULL OR doc_id <> 6").unionByName(spark.createDataFrame(long, "doc_id long, text string"))
+    want, *others = (Counter(map(tuple, fingerprint.fingerprints(docs, limit=limit).collect())) for limit in (1e12, 10.0, 0.5))
+    assert all(want == got for got in others)
+    key = ["bucket", "at"]
+    weighted = spark.range(500).selectExpr("0 AS bucket", "0 AS at", "xxhash64(id) AS term", "1D AS w0", "1D AS w1", "500D AS s0", "500D AS s1")
+    few, all_ = fingerprint._draws(weighted, key, 10.0), fingerprint._draws(weighted, key, None)
+    assert all_.count() == 500 * 64 and 5 * 64 < few.count() < 0.05 * all_.count()
+    assert sorted(fingerprint._marks(few, key).first()["own"]) == sorted(fingerprint._marks(all_, key).first()["own"])
+
+
 # ------------------------------------------------------------ near duplicates
 
 def plain_groups(rows, percent=75):
