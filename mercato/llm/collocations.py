@@ -11,6 +11,11 @@ is the number of suffixes that it opens.
    abandoned at once: a word's rows of all blocks are counted where they meet, and each
    block gets back which of its words are frequent.  The others end suffixes, as no frequent phrase
    holds them.
+   Then by two: a block's different pairs of neighbours are hashed to numbers of a few bits more
+   than there are words, cut into parts of the numbers' range and sent as packed gaps and counts, about
+   two bytes a pair. Where a part of all blocks meets, numbers are counted, and each block gets back a bit for
+   each of its pairs. Pairs with one number count together, so no frequent pair is lost; the others
+   end suffixes too.
 3. Each block's suffixes of two words or more are written, equal ones as one row
    with a count, and routed by all their leading words: cut into ranges of about
    ``range_rows`` rows in the order of language and words.  A frequent word or phrase is
@@ -45,7 +50,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.common import delete_folder, shuffle_partitions, slices, stored
+from mercato.llm.common import Spans, delete_folder, let_go, mix, shuffle_partitions, slices, stored
 from mercato.session import checkpoint_dir
 
 #: Ends every word in a suffix or phrase; no word holds one.  So the suffixes that
@@ -134,10 +139,95 @@ def _blocks(docs: DataFrame, lang: Column, slice_bytes: int, text_col: str) -> D
     return src.mapInArrow(run, "block long, lang string, size long, words array<string>, counts array<long>, bytes long, codes binary")
 
 
+def _numbers(words: pa.Array) -> np.ndarray:
+    """A number for each word, the same in every block."""
+    binary = words.cast(pa.large_binary())
+    at = np.frombuffer(binary.buffers()[1], "<i8")[binary.offset:binary.offset + len(binary) + 1]
+    letters = np.frombuffer(binary.buffers()[2] or b"", np.uint8)[at[0]:at[-1]]
+    return Spans(letters)(at[:-1] - at[0], at[1:] - at[0])
+
+
+def _codes(one: pa.RecordBatch) -> np.ndarray:
+    """The row of a block's codes."""
+    return np.frombuffer(pa.decompress(one.column("codes")[0].as_py(), decompressed_size=one.column("bytes")[0].as_py(), codec="zstd", asbytes=True), "<i4")
+
+
+def _pairs(one: pa.RecordBatch, codes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers below 2 ** ``bits`` of a block's pairs of neighbours, ascending; where pairs stand; and each one's place among the numbers."""
+    words = one.column("words").flatten().cast(pa.large_string())
+    at = np.flatnonzero((codes[:-1] >= 0) & (codes[1:] >= 0))
+    own, place = np.unique(codes[at].astype(np.int64) * len(words) + codes[at + 1], return_inverse=True)
+    lang = _numbers(one.column("lang").cast(pa.large_string()))
+    number = _numbers(words) if len(words) else np.zeros(0, np.uint64)
+    left, right = own // max(len(words), 1), own % max(len(words), 1)
+    hashed = mix(mix(number[left] + lang) + number[right]) >> np.uint64(64 - bits)
+    numbers, of_pair = np.unique(hashed, return_inverse=True)
+    return numbers, at, of_pair[place]
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers by planes of bytes, compressed: planes of zeros take no place."""
+    return pa.compress(np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, decompressed_size=8 * int(n), codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view("<u8").reshape(-1)
+
+
+def _cuts(numbers: np.ndarray, bits: int, parts: int) -> np.ndarray:
+    """Where each part of the numbers' range starts among the ascending ``numbers``, and their end."""
+    bounds = np.array([(p << bits) // parts for p in range(parts + 1)], np.uint64)
+    return np.searchsorted(numbers, bounds)
+
+
+def _pair_counts(blocks: DataFrame, bits: int, parts: int) -> DataFrame:
+    """block, part, n (numbers), gaps and counts of each block's pairs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                numbers, _, place = _pairs(one, _codes(one), bits)
+                counts = np.bincount(place, minlength=numbers.size)
+                cuts = _cuts(numbers, bits, parts)
+                some = np.flatnonzero(np.diff(cuts))
+                if not some.size:
+                    continue
+                spans = [slice(cuts[p], cuts[p + 1]) for p in some]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(some.size, one.column("block")[0].as_py())), pa.array(some), pa.array(np.diff(cuts)[some]),
+                     pa.array([_packed(np.diff(numbers[x], prepend=np.uint64(0))) for x in spans], pa.binary()),
+                     pa.array([_packed(counts[x]) for x in spans], pa.binary())], names=["block", "part", "n", "gaps", "counts"])
+
+    return blocks.select("block", "lang", "words", "bytes", "codes").mapInArrow(run, "block long, part long, n long, gaps binary, counts binary")
+
+
+def _frequent_pairs(pairs: DataFrame, least: int, parts: int) -> DataFrame:
+    """block, part and marks: a bit for each of a block's numbers of the part, whether all blocks have ``least`` of it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        part = table.column("part").to_numpy()
+        for p in np.unique(part):
+            rows = table.filter(pa.array(part == p))
+            sizes = rows.column("n").to_numpy()
+            numbers = np.concatenate([np.cumsum(_unpacked(x, n), dtype=np.uint64) for x, n in zip(rows.column("gaps").to_pylist(), sizes, strict=True)])
+            counts = np.concatenate([_unpacked(x, n) for x, n in zip(rows.column("counts").to_pylist(), sizes, strict=True)])
+            different, place = np.unique(numbers, return_inverse=True)
+            total = np.bincount(place, counts, different.size)  # in doubles, exact below 2 ** 53
+            enough = np.split((total >= least)[place], np.cumsum(sizes)[:-1])
+            yield pa.RecordBatch.from_arrays([rows.column("block").combine_chunks(), rows.column("part").combine_chunks(),
+                                              pa.array([np.packbits(x).tobytes() for x in enough], pa.binary())], names=["block", "part", "marks"])
+
+    return pairs.repartitionById(parts, F.col("part").cast("int")).mapInArrow(run, "block long, part long, marks binary")
+
+
 def _suffixes(blocks: DataFrame, kept: DataFrame, longest: int) -> DataFrame:
     """lang, suffix, n and salt of the blocks' suffixes of two frequent words or more.
 
-    ``kept``: block and places of its frequent words.
+    ``kept``: block, places of its frequent words, marks of its pairs by part, and the bits and parts of their numbers.
     """
     both = blocks.select("block", "lang", "words", "bytes", "codes").join(kept, "block")
 
@@ -145,12 +235,21 @@ def _suffixes(blocks: DataFrame, kept: DataFrame, longest: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 one = batch.slice(i, 1)
-                lang, size = one.column("lang")[0].as_py(), one.column("bytes")[0].as_py()
+                lang = one.column("lang")[0].as_py()
                 words = one.column("words").flatten().cast(pa.large_string())
-                codes = np.frombuffer(pa.decompress(one.column("codes")[0].as_py(), decompressed_size=size, codec="zstd", asbytes=True), "<i4")
+                codes = _codes(one)
                 frequent_ = np.zeros(len(words) + 1, bool)  # the last place answers for -1
                 frequent_[one.column("places").flatten().to_numpy()] = True
-                grid, count = distinct_suffixes(np.where(frequent_[codes], codes, -1), longest)
+                row = np.where(frequent_[codes], codes, -1)
+                bits = one.column("bits")[0].as_py()
+                numbers, at, place = _pairs(one, codes, bits)
+                cuts = _cuts(numbers, bits, one.column("parts")[0].as_py())
+                marked = np.zeros(numbers.size, bool)
+                for mark in one.column("marks")[0].as_py():
+                    first, last = cuts[mark["part"]], cuts[mark["part"] + 1]
+                    marked[first:last] = np.unpackbits(np.frombuffer(mark["marks"], np.uint8), count=last - first)
+                row = np.insert(row, at[~marked[place]] + 1, -1)
+                grid, count = distinct_suffixes(row, longest)
                 salt = one.column("block")[0].as_py()
                 for at in range(0, count.size, 1 << 16):
                     rows = slice(at, at + (1 << 16))
@@ -305,7 +404,7 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, keep: int
     folder = f"{checkpoint_dir(spark)}/collocations-{uuid.uuid4()}"
 
     def put(df: DataFrame, name: str) -> DataFrame:
-        df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
+        let_go(df).write.option("compression", "zstd").parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
     blocks = put(_blocks(docs, F.col(f"`{lang_col}`"), slice_bytes, text_col), "blocks")
@@ -318,8 +417,17 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, keep: int
                 .filter(F.col("n") >= least)
                 .select("block", "place", "lang", F.when(F.col("block") == F.col("first"), F.col("word")).alias("word"), "n"), "known")
     single = known.filter("word IS NOT NULL").select("lang", "word", "n")
-    kept = known.groupBy("block").agg(F.collect_list("place").alias("places"))  # as many as a block has words
+    words = blocks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    bits, parts = min(max(words.bit_length() + 4, 20), 60), max(1, -(-words // range_rows))  # a part: at most about as many pairs as a range has rows
+    marks = put(_frequent_pairs(_pair_counts(blocks, bits, parts), least, parts), "pairs")
+    # a union: nothing is joined with the table of words. A block has as many places as words, and a bit for each pair
+    kept = known.select("block", "place", F.lit(None).cast("struct<part:bigint,marks:binary>").alias("mark")) \
+        .unionByName(marks.select("block", F.lit(None).cast(known.schema["place"].dataType).alias("place"), F.struct("part", "marks").alias("mark"))) \
+        .groupBy("block").agg(F.collect_list("place").alias("places"), F.collect_list("mark").alias("marks")) \
+        .withColumns({"bits": F.lit(bits), "parts": F.lit(parts)})
     suffixes = put(_suffixes(blocks, kept, longest), "suffixes")
+    delete_folder(spark, f"{folder}/blocks")
+    delete_folder(spark, f"{folder}/pairs")
     rows, size = suffixes.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("suffix")), F.lit(0))).first()
     longer = phrase_counts(suffixes, rows, size, longest, least, range_rows).filter("size >= 2")
     phrases = stored(single.select("lang", F.concat("word", F.lit(_END)).alias("phrase"), F.lit(1).alias("size"), "n").unionByName(longer))

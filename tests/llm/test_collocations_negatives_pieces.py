@@ -67,6 +67,33 @@ def test_words_are_counted_where_their_rows_meet(spark, monkeypatch):
     assert "Join" not in made[0]._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_only_suffixes_of_frequent_pairs_are_shuffled(spark, monkeypatch):
+    """Frequent words that seldom meet open no suffix; those of frequent pairs are all there, in blocks and parts of any size."""
+    routed, counted = [], collocations.phrase_counts
+    monkeypatch.setattr(collocations, "phrase_counts", lambda suffixes, rows, *rest: routed.append(rows) or counted(suffixes, rows, *rest))
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(rng.choice(["en", "de"]), " ".join(rng.choice(words) for _ in range(30))) for _ in range(300)]
+    rows += [("en", "x y z. x y é")] * 40 + [("de", "x y z")] * 30 + ODD
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    for slice_bytes, range_rows in ((1 << 20, 1 << 20), (2000, 100)):
+        got = collocations.collocations(df, 20, slice_bytes=slice_bytes, range_rows=range_rows).collect()
+        assert Counter(map(tuple, got)) == plain_collocations(rows, 20, 2000)
+    assert max(routed) < 1500  # of some 8,700 pairs of frequent words
+
+
+def test_pairs_are_packed_without_loss():
+    rng = np.random.default_rng(8)
+    numbers = np.unique(rng.integers(0, 1 << 37, 5000).astype(np.uint64))
+    for parts in (1, 7, 20000):
+        cuts = collocations._cuts(numbers, 37, parts)
+        assert cuts[0] == 0 and cuts[-1] == numbers.size
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b > a:
+                gaps = np.diff(numbers[a:b], prepend=np.uint64(0))
+                assert np.array_equal(np.cumsum(collocations._unpacked(collocations._packed(gaps), b - a), dtype=np.uint64), numbers[a:b])
+
+
 def test_collocations_of_nothing(spark):
     schema = "lang string, text string"
     assert collocations.collocations(spark.createDataFrame([], schema)).count() == 0
